@@ -47,7 +47,7 @@ def try_parse_date(
 
 def parse_timestamp(c: ColumnOrName, fmt: str | None = None) -> Column:
     col = as_column(c)
-    return F.to_timestamp(col, F.lit(fmt)) if fmt else F.to_timestamp(col)
+    return F.to_timestamp(col, fmt) if fmt else F.to_timestamp(col)
 
 
 def date_gap(later: ColumnOrName, earlier: ColumnOrName) -> Column:

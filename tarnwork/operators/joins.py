@@ -51,35 +51,50 @@ def join(l: DataFrame, r: DataFrame, on: On, how: str = "inner", broadcast: bool
     return l.join(right, list(on), how)
 
 
-def unmatched(l: DataFrame, r: DataFrame, on: On, via: str = "anti") -> DataFrame:
-    """Rows of ``l`` without a partner in ``r``. ``via="outer"`` takes the long way
-    over an outer join and a NULL test."""
-    if via == "outer":
-        pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in ([on] if isinstance(on, str) else on)}
-        names = {b: f"__r{i}" for i, b in enumerate(pairs.values())}
-        # One row per key is enough to tell whether there is a partner.
-        right = r.select(*[F.col(b).alias(n) for b, n in names.items()]).distinct()
-        cond = F.lit(True)
-        for a, b in pairs.items():
-            cond = cond & (l[a] == right[names[b]])
-        first = next(iter(names.values()))
-        return l.join(right, cond, "left").where(F.col(first).isNull()).drop(*names.values())
-    return join(l, r, on, "left_anti")
-
-
-def full_join(l: DataFrame, r: DataFrame, on: str | Sequence[str], skewed: bool = False) -> DataFrame:
-    """Full outer join on shared names. Neither side of a full outer join can be
-    split by the adaptive planner; ``skewed=True`` builds it from a left outer
-    join and the right-hand rows without a partner, both of which can."""
-    keys = [on] if isinstance(on, str) else list(on)
-    if not skewed:
-        return l.join(r, keys, "full")
-    matched = l.join(r, keys, "inner")
-    left_only = l.join(r.select(*keys).distinct(), keys, "left_anti")
-    right_only = r.join(l.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(left_only, allowMissingColumns=True).unionByName(
-        right_only, allowMissingColumns=True
-    )
+def _pairs(on: str | Sequence[str] | Mapping[str, str]) -> dict[str, str]:
+    if isinstance(on, Mapping):
+        return dict(on)
+    return {k: k for k in ([on] if isinstance(on, str) else on)}
+
+
+def unmatched(
+    l: DataFrame, r: DataFrame, on: str | Sequence[str] | Mapping[str, str], via: str = "anti"
+) -> DataFrame:
+    """Rows of ``l`` without a partner in ``r``. The right side is reduced to its
+    distinct keys before the shuffle, so a key repeated there costs nothing.
+    ``via="outer"`` takes the long way over an outer join and a NULL test."""
+    pairs = _pairs(on)
+    right = r.select(*[F.col(b).alias(f"__r_{b}") for b in pairs.values()]).distinct()
+    cond = F.lit(True)
+    for a, b in pairs.items():
+        cond = cond & (l[a] == F.col(f"__r_{b}"))
+    if via == "anti":
+        return l.join(right, cond, "left_anti")
+    first = next(iter(pairs.values()))
+    return l.join(right, cond, "left").where(F.col(f"__r_{first}").isNull()).drop(*right.columns)
+
+
+def full_join(
+    l: DataFrame,
+    r: DataFrame,
+    on: str | Sequence[str] | Mapping[str, str],
+    split: bool = True,
+) -> DataFrame:
+    """Full outer join on shared names (one key column), or on differently named
+    columns (both kept). Other columns must not share names; prefix them.
+
+    The adaptive planner cannot split either side of a full outer join where a key
+    is hot. ``split`` therefore builds the result from the inner join and the
+    unmatched rows of both sides, all of which it can; ``split=False`` is the
+    single join for inputs known to have no hot keys.
+    """
+    if not split:
+        return join(l, r, on, "full")
+    reverse = {b: a for a, b in _pairs(on).items()}
+    matched = join(l, r, on, "inner")
+    return matched.unionByName(
+        unmatched(l, r, on), allowMissingColumns=True
+    ).unionByName(unmatched(r, l, reverse), allowMissingColumns=True)
 
 
 def reconcile(
@@ -91,8 +106,8 @@ def reconcile(
     defaults: Mapping[str, object],
 ) -> DataFrame:
     """Full outer join of two prefixed tables with a default per column."""
-    a, b = prefix_columns(l, lp), prefix_columns(r, rp)
-    return a.join(b, a[lp + key] == b[rp + key], "full").na.fill(dict(defaults))
+    both = full_join(prefix_columns(l, lp), prefix_columns(r, rp), {lp + key: rp + key})
+    return both.na.fill(dict(defaults))
 
 
 def cross(l: DataFrame, r: DataFrame, max_rows: int = CROSS_ROWS) -> DataFrame:

@@ -355,12 +355,15 @@ def null_defaults_and_joined_text(spark, d):
 
 
 @query(
-    """SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_nationkey) AS nations
-       FROM nation GROUP BY 1"""
+    """SELECT o_custkey, string_agg(month, ',' ORDER BY month) AS months
+       FROM (SELECT DISTINCT o_custkey, strftime(o_orderdate, '%Y-%m') AS month FROM orders) GROUP BY 1"""
 )
-def implode_nations(spark, d):
-    a = agg.implode(table(spark, d, "nation"), ["n_regionkey"], "n_name", ["n_nationkey"], "nations")
-    return a.withColumn("nations", F.array_join("nations", ","))
+def implode_order_months(spark, d):
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    # Distinct months: a customer's array cannot outgrow the calendar.
+    o = agg.distinct(table(spark, d, "orders").select("o_custkey", month))
+    a = agg.implode(o, ["o_custkey"], "month", ["month"], "months")
+    return a.withColumn("months", F.array_join("months", ","))
 
 
 @query(

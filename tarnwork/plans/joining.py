@@ -46,10 +46,10 @@ def inner_join_shared_name(spark, d):
     return joins.join(c, o, "c_custkey")
 
 
-@query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("SELECT c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def inner_join_two_names(spark, d):
-    n, r = table(spark, d, "nation"), table(spark, d, "region")
-    return project.select(joins.join(n, r, {"n_regionkey": "r_regionkey"}), ["n_name", "r_name"])
+    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    return project.select(joins.join(c, n, {"c_nationkey": "n_nationkey"}), ["c_name", "n_name"])
 
 
 @query(
@@ -109,11 +109,6 @@ def full_join(spark, d):
     return joins.full_join(*_full_sides(spark, d), "o_custkey")
 
 
-@query(_FULL)
-def full_join_split(spark, d):
-    return joins.full_join(*_full_sides(spark, d), "o_custkey", skewed=True)
-
-
 @query(
     """WITH a AS (SELECT o_custkey AS custkey, round(sum(o_totalprice), 2) AS spent, max(o_orderpriority) AS priority
                   FROM orders WHERE year(o_orderdate) = 1996 GROUP BY 1),
@@ -173,17 +168,17 @@ def salted_join_customer(spark, d):
 
 
 @query(
-    """WITH n AS (SELECT n_nationkey, n_name, CASE WHEN n_nationkey > 0 THEN n_nationkey // 2 END AS parent FROM nation)
-       SELECT a.n_nationkey, a.n_name, a.parent, b.n_name AS parent_name
-       FROM n a LEFT JOIN n b ON a.parent = b.n_nationkey"""
+    """WITH n AS (SELECT c_custkey, c_name, CASE WHEN c_custkey > 0 THEN c_custkey // 10 END AS parent FROM customer)
+       SELECT a.c_custkey, a.c_name, a.parent, b.c_name AS parent_name
+       FROM n a LEFT JOIN n b ON a.parent = b.c_custkey"""
 )
-def resolve_parent_nation(spark, d):
-    n = table(spark, d, "nation").select(
-        "n_nationkey",
-        "n_name",
-        F.when(F.col("n_nationkey") > 0, F.floor(F.col("n_nationkey") / 2)).alias("parent"),
+def resolve_parent_customer(spark, d):
+    c = table(spark, d, "customer").select(
+        "c_custkey",
+        "c_name",
+        F.when(F.col("c_custkey") > 0, F.floor(F.col("c_custkey") / 10)).alias("parent"),
     )
-    return joins.resolve_parent(n, "n_nationkey", "parent", "n_name")
+    return joins.resolve_parent(c, "c_custkey", "parent", "c_name")
 
 
 @query(
@@ -284,9 +279,9 @@ def snake_case_names(spark, d):
     return project.snake_case_columns(c)
 
 
-@query("SELECT r_regionkey AS df1_r_regionkey, r_name AS df1_r_name FROM region")
+@query("SELECT s_suppkey AS df1_s_suppkey, s_name AS df1_s_name FROM supplier")
 def prefixed_names(spark, d):
-    return project.prefix_columns(table(spark, d, "region"), "df1_")
+    return project.prefix_columns(table(spark, d, "supplier").select("s_suppkey", "s_name"), "df1_")
 
 
 @query(
@@ -321,16 +316,16 @@ def row_ids(spark, d):
     return project.row_id(table(spark, d, "orders").select("o_orderkey"))
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey::VARCHAR AS region, CAST(NULL AS VARCHAR) AS city FROM nation")
+@query("SELECT c_custkey, c_name, c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS city FROM customer")
 def flatten_map(spark, d):
-    n = table(spark, d, "nation").select(
-        "n_nationkey",
+    c = table(spark, d, "customer").select(
+        "c_custkey",
         F.create_map(
-            F.lit("name"), F.col("n_name"), F.lit("region"), F.col("n_regionkey").cast("string")
-        ).alias("place"),
+            F.lit("name"), F.col("c_name"), F.lit("segment"), F.col("c_mktsegment")
+        ).alias("about"),
     )
     return project.flatten(
-        n, {"n_name": "place.name", "region": "place.region", "city": "place.city"}, ["n_nationkey"]
+        c, {"c_name": "about.name", "segment": "about.segment", "city": "about.city"}, ["c_custkey"]
     )
 
 

@@ -262,10 +262,17 @@ def union_top_bottom(spark, d):
     return window.union(top, bottom)
 
 
-@query("SELECT n_name, n_regionkey FROM nation ORDER BY n_regionkey DESC, n_name LIMIT 7")
-def sorted_nations(spark, d):
-    n = project.select(table(spark, d, "nation"), ["n_name", "n_regionkey"])
-    return window.limit(window.sort(n, ["-n_regionkey", "n_name"]), 7)
+@query("SELECT s_nationkey, s_name FROM supplier ORDER BY s_nationkey DESC, s_name")
+def sorted_suppliers(spark, d):
+    s = project.select(table(spark, d, "supplier"), ["s_nationkey", "s_name"])
+    return window.sort(s, ["-s_nationkey", "s_name"])
+
+
+@query("SELECT least(count(*), 100) AS row_count FROM customer")
+def limited_customers(spark, d):
+    return agg.scalar_agg(
+        window.limit(table(spark, d, "customer"), 100), {"row_count": F.count(F.lit(1))}
+    )
 
 
 @query("SELECT DISTINCT o_orderstatus FROM orders")

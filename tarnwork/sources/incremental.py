@@ -15,6 +15,10 @@ from tarnwork.sources.storage import exists, first_line
 from tarnwork.sources.writers import observed_rows
 
 
+#: Columns of Spark's binary file source; only the path is ever read.
+_FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def _read_csv_by_header(
     spark: SparkSession, paths: Sequence[str], options: Mapping[str, str]
 ) -> DataFrame:
@@ -81,7 +85,8 @@ def load_new_files(
     that is repeated after a failure replaces itself. CSV columns are text unless a
     schema is given, and with ``merge_schema`` files may differ in their columns.
     """
-    names = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_per_batch)
+    names = spark.readStream.format("binaryFile").schema(_FILE_COLUMNS)
+    names = names.option("maxFilesPerTrigger", files_per_batch)
     # Files are told apart by name, however old they are.
     names = names.option("maxFileAge", "36500d")
     if pattern:
