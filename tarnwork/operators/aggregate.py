@@ -177,8 +177,13 @@ def median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             ),
         )
 
+    entries = [entry(c) for c in cols]
+    some = entries[0].isNotNull()
+    for e in entries[1:]:
+        some = some | e.isNotNull()
     inside = (
-        ranked.select(F.explode(F.array_compact(F.array(*[entry(c) for c in cols]))).alias("e"))
+        ranked.where(some)
+        .select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
         .select("e.*")
         .groupBy("name", "value", "rank")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -12,14 +12,17 @@ window inside each ``(key, slice)``, and repair what crosses a slice border:
   ranks). Each slice is reduced to one row of totals; the totals of the earlier
   slices are added to the rows.
 
-Which keys are hot is an exact count, so slices come from exact, repeatable
-values (count, minimum, maximum) and a recomputed task cuts the same slices.
-
-Size of what is broadcast: a key is hot when it has more than ``hot_rows``
-rows, so there are fewer than ``total / hot_rows`` hot keys and fewer than
-``(2 * SLICES_PER_UNIT + 2) * total / hot_rows`` slices. With the defaults a table
-of 1e12 rows gives at most 50,000 hot keys and 500,000 short carry rows, some
-tens of megabytes.
+Which keys are hot, and where they are cut, is read from a sample: the rows whose
+hash of key and sort columns falls into one residue class. The sample decides
+speed only; every row goes through the window whatever the sample holds. It is a
+function of the row's values, so a task that is repeated after a lost executor
+cuts exactly the same slices, and all branches of a plan agree on them.
+
+Size of what is broadcast: a key is hot when its estimated count exceeds
+``hot_rows``, so there are about ``total / hot_rows`` hot keys at most, and fewer
+than ``(2 * SLICES_PER_UNIT + 2) * total / hot_rows`` slices. With the defaults a
+table of 1e12 rows gives at most 50,000 hot keys and 500,000 short carry rows,
+some tens of megabytes.
 """
 
 from __future__ import annotations
@@ -38,6 +41,12 @@ HOT_ROWS = 20_000_000
 #: Slices cut per ``hot_rows`` rows of a hot key.
 SLICES_PER_UNIT = 4
 
+#: A row takes more than this many bytes in any file format, so an input planned
+#: below ``hot_rows`` times it cannot hold a hot key and is not cut at all.
+MIN_ROW_BYTES = 3
+#: At most one row in this many is looked at to find the hot keys.
+MAX_SAMPLE_STEP = 64
+
 SLICE = "__slice"
 HOT = "__hot"
 
@@ -90,23 +99,34 @@ def attach(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left
     return df.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows. Counts are combined before the shuffle."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
+def may_hold_hot_keys(df: DataFrame, hot_rows: int) -> bool:
+    """Judge by the planner's size estimate, without running anything. Estimates
+    only ever shrink where rows are multiplied in place, so such plans, like those
+    of unknown size, count as large."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if "Generate " in plan.toString() or "Expand " in plan.toString():
+        return True
+    return int(str(plan.stats().sizeInBytes())) >= hot_rows * MIN_ROW_BYTES
 
 
 def slice_hot_keys(
-    df: DataFrame, keys: Sequence[str], first: str, hot_rows: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int
 ) -> DataFrame:
     """Add ``__hot`` and ``__slice``. Cold keys are one slice, number 0. In a hot
-    key, slices 1.. ascend along ``first``; values without a position come in
-    slice 0 (NULL, -inf: smallest) or in the last slice (inf, NaN: largest)."""
-    pos = "__pos"
+    key, slices 1.. ascend along the first sort column; values without a position
+    come in slice 0 (NULL, -inf: smallest) or in the last slice (inf, NaN: largest)."""
+    columns = [o.lstrip("-") for o in order]
+    first, pos = columns[0], "__pos"
     base = df.withColumn(pos, position(df, first))
+    # Enough of a hot key is seen to estimate it well: some 10,000 rows or more.
+    step = max(1, min(MAX_SAMPLE_STEP, hot_rows // 10_000))
+    seen = base
+    if step > 1:
+        seen = base.where(F.pmod(F.xxhash64(*keys, *columns), F.lit(step)) == 0)
     stats = (
-        base.groupBy(*keys)
+        seen.groupBy(*keys)
         .agg(
-            F.count(F.lit(1)).alias("__n"),
+            (F.count(F.lit(1)) * step).alias("__n"),
             F.min(pos).alias("__lo"),
             F.max(pos).alias("__hi"),
         )
@@ -114,7 +134,7 @@ def slice_hot_keys(
     )
     slices = F.ceil(F.col("__n") / F.lit(hot_rows)) * SLICES_PER_UNIT
     share = (F.col(pos) - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
-    cut = 1 + F.least(F.floor(share * slices), slices - 1)
+    cut = 1 + F.greatest(F.lit(0), F.least(F.floor(share * slices), slices - 1))
     largest = F.lit(False)
     if isinstance(df.schema[first].dataType, (T.FloatType, T.DoubleType)):
         largest = F.col(first) > 0  # true for +inf and for NaN
@@ -122,8 +142,8 @@ def slice_hot_keys(
         F.when(F.col("__n").isNull(), 0)
         .when(F.col(pos).isNull() & largest, slices + 1)
         .when(F.col(pos).isNull(), 0)
-        .when(F.col("__hi") == F.col("__lo"), 1)
-        .otherwise(cut)
+        .when(F.col("__hi") > F.col("__lo"), cut)
+        .otherwise(1)
     )
     return (
         attach(base, F.broadcast(stats), keys)
@@ -132,10 +152,6 @@ def slice_hot_keys(
     )
 
 
-def _slice_order(order: Sequence[str]) -> Column:
-    return F.col(SLICE).desc() if order[0].startswith("-") else F.col(SLICE).asc()
-
-
 def bounded_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -146,14 +162,15 @@ def bounded_window(
 ) -> DataFrame:
     """Evaluate ``build(window)`` where no frame looks further than ``reach`` rows.
 
-    ``hot_rows=None`` is the plain window, for inputs known to have small groups.
+    ``hot_rows=None`` is the plain window, for inputs known to have small groups;
+    inputs too small to hold a hot key get it as well.
     """
     sort = sort_columns(order)
     whole = Window.partitionBy(*keys).orderBy(*sort)
-    if hot_rows is None:
+    if hot_rows is None or not may_hold_hot_keys(df, hot_rows):
         return df.withColumns(build(whole))
 
-    sliced = slice_hot_keys(df, keys, order[0].lstrip("-"), hot_rows)
+    sliced = slice_hot_keys(df, keys, order, hot_rows)
     part = Window.partitionBy(*keys, SLICE).orderBy(*sort)
 
     def near(n: int) -> Column:
@@ -208,11 +225,11 @@ def running_window(
             frame = frame.withColumn(name, column)
         return frame
 
-    if hot_rows is None:
+    if hot_rows is None or not may_hold_hot_keys(df, hot_rows):
         single = add_local(df, whole).withColumns({n: F.lit(None) for n in carry})
         return single.select(*keep, *final)
 
-    sliced = slice_hot_keys(df, keys, order[0].lstrip("-"), hot_rows)
+    sliced = slice_hot_keys(df, keys, order, hot_rows)
     part = Window.partitionBy(*keys, SLICE).orderBy(*sort)
     carried = (
         add_local(sliced.where(F.col(HOT)), part)
