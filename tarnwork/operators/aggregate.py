@@ -57,11 +57,15 @@ def with_scalars(df: DataFrame, aggs: Aggs) -> DataFrame:
     return df.withColumns({n: row[n] for n in aggs})
 
 
-def with_group_stats(df: DataFrame, keys: Sequence[str], aggs: Aggs) -> DataFrame:
+def with_group_stats(
+    df: DataFrame, keys: Sequence[str], aggs: Aggs, few_groups: bool = False
+) -> DataFrame:
     """Aggregates of its group beside each row. The aggregate is combined before
     its shuffle, and the join back can be split by the adaptive planner where a
-    key is hot, which a window over the key cannot."""
-    return attach(df, group(df, keys, aggs), keys)
+    key is hot, which a window over the key cannot. With ``few_groups`` the
+    aggregate is measured and, if small, broadcast, so the rows stay where they are.
+    """
+    return attach(df, group(df, keys, aggs), keys, broadcast=few_groups)
 
 
 # -- reshaping -------------------------------------------------------------

@@ -8,31 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnwork.operators.project import prefix_columns
+from tarnwork.operators.skew import fits_broadcast
 
-#: Largest side that may be broadcast on request.
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
 #: Largest side that may be multiplied into every row.
 CROSS_ROWS = 1_000
 
 On = str | Sequence[str] | Mapping[str, str] | Column
 
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Measure a side, reading no more than ``max_rows + 1`` rows of it."""
-    size = (
-        df.limit(max_rows + 1)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
-        )
-        .first()
-    )
-    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
-
-
 def join(l: DataFrame, r: DataFrame, on: On, how: str = "inner", broadcast: bool = False) -> DataFrame:
     """Equi-join on shared names (one key column in the result), on differently
     named columns (``{left: right}``, both kept), or on a predicate.

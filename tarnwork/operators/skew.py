@@ -2,8 +2,9 @@
 
 A window partitioned by key sends every row of a key to one task. When a few
 keys own most of the table that task is the job. The functions here cut the
-rows of such *hot* keys into slices along the first sort column, evaluate the
-window inside each ``(key, slice)``, and repair what crosses a slice border:
+rows of such *hot* keys into slices along the first sort column (along the second,
+per value of the first, where the first has few values), evaluate the window
+inside each ``(key, slice)``, and repair what crosses a slice border:
 
 * ``bounded_window`` - frames that look a fixed number of rows back or ahead
   (previous value, next value, moving average). Only the rows next to a border
@@ -19,10 +20,10 @@ function of the row's values, so a task that is repeated after a lost executor
 cuts exactly the same slices, and all branches of a plan agree on them.
 
 Size of what is broadcast: a key is hot when its estimated count exceeds
-``hot_rows``, so there are about ``total / hot_rows`` hot keys at most, and fewer
-than ``(2 * SLICES_PER_UNIT + 2) * total / hot_rows`` slices. With the defaults a
-table of 1e12 rows gives at most 50,000 hot keys and 500,000 short carry rows,
-some tens of megabytes.
+``hot_rows``, so there are about ``total / hot_rows`` hot keys at most, and a key
+has at most some 20 slices per ``hot_rows / SLICES_PER_UNIT`` rows, usually one.
+With the defaults a table of 1e12 rows gives at most 50,000 hot keys and some
+200,000 short carry rows, tens of megabytes.
 """
 
 from __future__ import annotations
@@ -47,8 +48,15 @@ MIN_ROW_BYTES = 3
 #: At most one row in this many is looked at to find the hot keys.
 MAX_SAMPLE_STEP = 64
 
-SLICE = "__slice"
+#: Largest side that may be broadcast on request.
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+
 HOT = "__hot"
+SLICE, TIED, SUB = "__slice", "__tied", "__sub"
+#: A slice is named by these: its number along the first sort column or, where that
+#: has few values, the value and a number along the second column.
+CUT = [SLICE, TIED, SUB]
 
 Build = Callable[[WindowSpec], Mapping[str, Column]]
 
@@ -83,6 +91,21 @@ def position(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot slice along a column of type {dtype.simpleString()}")
 
 
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Measure a side, reading no more than ``max_rows + 1`` rows of it."""
+    size = (
+        df.limit(max_rows + 1)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
+        )
+        .first()
+    )
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
+
+
 def same_key(left: Sequence[Column], right: Sequence[Column]) -> Column:
     """NULL-safe equality of two key lists."""
     cond = F.lit(True)
@@ -91,9 +114,18 @@ def same_key(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return cond
 
 
-def attach(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+def attach(
+    df: DataFrame,
+    side: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    broadcast: bool = False,
+) -> DataFrame:
     """Join ``side`` (one row per key, key columns named like ``keys``) NULL-safely
-    and keep its other columns."""
+    and keep its other columns. ``broadcast=True`` asks for a broadcast, which is
+    granted when the side has been measured to be small."""
+    if broadcast and fits_broadcast(side):
+        side = F.broadcast(side)
     renamed = side.withColumnsRenamed({k: f"__r_{k}" for k in keys})
     cond = same_key([df[k] for k in keys], [renamed[f"__r_{k}"] for k in keys])
     return df.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
@@ -109,49 +141,85 @@ def may_hold_hot_keys(df: DataFrame, hot_rows: int) -> bool:
     return int(str(plan.stats().sizeInBytes())) >= hot_rows * MIN_ROW_BYTES
 
 
+def _number(df: DataFrame, name: str, pos: str, lo: str, hi: str, count: Column) -> Column:
+    """Slice number 1..count of a value; 0 and count + 1 for values without position."""
+    share = (F.col(pos) - F.col(lo)) / (F.col(hi) - F.col(lo))
+    cut = 1 + F.greatest(F.lit(0), F.least(F.floor(share * count), count - 1))
+    largest = F.lit(False)
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        largest = F.col(name) > 0  # true for +inf and for NaN
+    return (
+        F.when(F.col(pos).isNull() & largest, count + 1)
+        .when(F.col(pos).isNull(), 0)
+        .when(F.col(hi) > F.col(lo), cut)
+        .otherwise(1)
+    )
+
+
 def slice_hot_keys(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int
 ) -> DataFrame:
-    """Add ``__hot`` and ``__slice``. Cold keys are one slice, number 0. In a hot
-    key, slices 1.. ascend along the first sort column; values without a position
-    come in slice 0 (NULL, -inf: smallest) or in the last slice (inf, NaN: largest)."""
+    """Add ``__hot`` and the columns of ``CUT``. Cold keys are one slice. In a hot
+    key, slices ascend along the first sort column: values without a position come
+    in slice 0 (NULL, -inf: smallest) or in the last slice (inf, NaN: largest).
+    Where the first column has few values, each value is cut along the second."""
     columns = [o.lstrip("-") for o in order]
-    first, pos = columns[0], "__pos"
-    base = df.withColumn(pos, position(df, first))
+    first, second = columns[0], columns[1] if len(columns) > 1 else None
+    base = df.withColumn("__pos", position(df, first))
+    if second:
+        base = base.withColumn("__pos2", position(df, second))
     # Enough of a hot key is seen to estimate it well: some 10,000 rows or more.
     step = max(1, min(MAX_SAMPLE_STEP, hot_rows // 10_000))
     seen = base
     if step > 1:
         seen = base.where(F.pmod(F.xxhash64(*keys, *columns), F.lit(step)) == 0)
+    aggs = {
+        "__n": F.count(F.lit(1)) * step,
+        "__lo": F.min("__pos"),
+        "__hi": F.max("__pos"),
+    }
+    if second:
+        aggs |= {
+            "__values": F.greatest(F.approx_count_distinct(first), F.lit(1)),
+            "__lo2": F.min("__pos2"),
+            "__hi2": F.max("__pos2"),
+        }
     stats = (
         seen.groupBy(*keys)
-        .agg(
-            (F.count(F.lit(1)) * step).alias("__n"),
-            F.min(pos).alias("__lo"),
-            F.max(pos).alias("__hi"),
-        )
+        .agg(*[c.alias(n) for n, c in aggs.items()])
         .where(F.col("__n") > hot_rows)
     )
+    hot = F.col("__n").isNotNull()
     slices = F.ceil(F.col("__n") / F.lit(hot_rows)) * SLICES_PER_UNIT
-    share = (F.col(pos) - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
-    cut = 1 + F.greatest(F.lit(0), F.least(F.floor(share * slices), slices - 1))
-    largest = F.lit(False)
-    if isinstance(df.schema[first].dataType, (T.FloatType, T.DoubleType)):
-        largest = F.col(first) > 0  # true for +inf and for NaN
-    number = (
-        F.when(F.col("__n").isNull(), 0)
-        .when(F.col(pos).isNull() & largest, slices + 1)
-        .when(F.col(pos).isNull(), 0)
-        .when(F.col("__hi") > F.col("__lo"), cut)
-        .otherwise(1)
-    )
+    number = _number(df, first, "__pos", "__lo", "__hi", slices)
+    few, tied, part = F.lit(False), F.lit(None), F.lit(0)
+    if second:
+        few = F.col("__values") < slices * 4
+        tied = F.col(first)
+        per_value = F.ceil(slices / F.col("__values")) * 4
+        part = _number(df, second, "__pos2", "__lo2", "__hi2", per_value)
     return (
         attach(base, F.broadcast(stats), keys)
-        .withColumns({SLICE: number.cast("long"), HOT: F.col("__n").isNotNull()})
-        .drop(pos, "__n", "__lo", "__hi")
+        .withColumns(
+            {
+                SLICE: F.when(hot & ~few, number).otherwise(0).cast("long"),
+                TIED: F.when(hot & few, tied).cast(df.schema[first].dataType),
+                SUB: F.when(hot & few, part).otherwise(0).cast("long"),
+                HOT: hot,
+            }
+        )
+        .drop("__pos", "__pos2", *aggs)
     )
 
 
+def _cut_order(order: Sequence[str]) -> list[Column]:
+    """Slices of a key in the order of their rows."""
+    first = order[0].startswith("-")
+    second = len(order) > 1 and order[1].startswith("-")
+    directions = zip(CUT, (first, first, second))
+    return [F.col(c).desc() if down else F.col(c).asc() for c, down in directions]
+
+
 def bounded_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -171,7 +239,7 @@ def bounded_window(
         return df.withColumns(build(whole))
 
     sliced = slice_hot_keys(df, keys, order, hot_rows)
-    part = Window.partitionBy(*keys, SLICE).orderBy(*sort)
+    part = Window.partitionBy(*keys, *CUT).orderBy(*sort)
 
     def near(n: int) -> Column:
         one = F.lit(1)
@@ -216,8 +284,7 @@ def running_window(
     whole = Window.partitionBy(*keys).orderBy(*sort)
     final = [c.alias(n) for n, c in combine.items()]
     keep = [c for c in df.columns if c not in combine]
-    slice_order = F.col(SLICE).desc() if order[0].startswith("-") else F.col(SLICE).asc()
-    carry = before(Window.partitionBy(*keys).orderBy(slice_order))
+    carry = before(Window.partitionBy(*keys).orderBy(*_cut_order(order)))
 
     def add_local(frame: DataFrame, w: WindowSpec) -> DataFrame:
         # One at a time: a local column may build on an earlier one.
@@ -230,14 +297,14 @@ def running_window(
         return single.select(*keep, *final)
 
     sliced = slice_hot_keys(df, keys, order, hot_rows)
-    part = Window.partitionBy(*keys, SLICE).orderBy(*sort)
+    part = Window.partitionBy(*keys, *CUT).orderBy(*sort)
     carried = (
         add_local(sliced.where(F.col(HOT)), part)
-        .groupBy(*keys, SLICE)
+        .groupBy(*keys, *CUT)
         .agg(*[c.alias(n) for n, c in totals.items()])
     )
     for name, column in carry.items():
         carried = carried.withColumn(name, column)
-    carried = carried.select(*keys, SLICE, *carry)
-    joined = attach(add_local(sliced, part), F.broadcast(carried), [*keys, SLICE])
+    carried = carried.select(*keys, *CUT, *carry)
+    joined = attach(add_local(sliced, part), F.broadcast(carried), [*keys, *CUT])
     return joined.select(*keep, *final)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,14 +45,44 @@ def number_rows(
     )
 
 
+def _by_level(
+    df: DataFrame,
+    part: Sequence[str],
+    order: Sequence[str],
+    aggs: Mapping[str, Column],
+    build: Callable[[DataFrame], DataFrame],
+    out: str,
+) -> DataFrame:
+    """Results that all peers share, found once per distinct sort value. Peers are
+    combined before the first shuffle, and the join back can be split where one
+    value is hot."""
+    level = [*part, *dict.fromkeys(o.lstrip("-") for o in order)]
+    named = [c.alias(n) for n, c in aggs.items()]
+    levels = df.groupBy(*level).agg(*named) if named else df.select(*level).distinct()
+    return attach(df, build(levels).select(*level, out), level, broadcast=True)
+
+
 def rank(
     df: DataFrame,
     part: Sequence[str],
     order: Sequence[str],
     out: str = "rank",
     hot_rows: int | None = HOT_ROWS,
+    many_ties: bool = False,
 ) -> DataFrame:
-    """Rank with gaps. Peers share the first sort column, hence the slice."""
+    """Rank with gaps. Peers share all sort columns, hence the slice. With
+    ``many_ties`` the ranks are found per distinct sort value and joined back."""
+    if many_ties:
+        return _by_level(
+            df,
+            part,
+            order,
+            {"__rows": F.count(F.lit(1))},
+            lambda levels: running_sum(
+                levels, part, order, "__rows", "__upto", "rows", hot_rows
+            ).withColumn(out, F.col("__upto") - F.col("__rows") + 1),
+            out,
+        )
     return running_window(
         df,
         part,
@@ -71,7 +101,13 @@ def dense_rank(
     order: Sequence[str],
     out: str = "dense_rank",
     hot_rows: int | None = HOT_ROWS,
+    many_ties: bool = False,
 ) -> DataFrame:
+    """Rank without gaps; ``many_ties`` as for ``rank``."""
+    if many_ties:
+        return _by_level(
+            df, part, order, {}, lambda levels: number_rows(levels, part, order, out, hot_rows), out
+        )
     return running_window(
         df,
         part,
@@ -110,10 +146,13 @@ def earliest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     return top_n(df, keys, order, 1)
 
 
-def group_max_rows(df: DataFrame, part: Sequence[str], col: str) -> DataFrame:
-    """All rows that carry the maximum of ``col`` in their group, ties kept."""
+def group_max_rows(
+    df: DataFrame, part: Sequence[str], col: str, few_groups: bool = False
+) -> DataFrame:
+    """All rows that carry the maximum of ``col`` in their group, ties kept.
+    ``few_groups`` lets the maxima be broadcast once they are measured to be small."""
     peak = df.groupBy(*part).agg(F.max(col).alias("__peak"))
-    return attach(df, peak, part, "inner").where(F.col(col) == F.col("__peak")).drop("__peak")
+    return attach(df, peak, part, "inner", few_groups).where(F.col(col) == F.col("__peak")).drop("__peak")
 
 
 def top_ranked(df: DataFrame, order: Sequence[str], n: int, out: str = "rank") -> DataFrame:
@@ -134,10 +173,21 @@ def running_sum(
     out: str = "running_sum",
     frame: str = "range",
     hot_rows: int | None = HOT_ROWS,
+    many_ties: bool = False,
 ) -> DataFrame:
-    """``frame="range"`` gives peers the same value; ``"rows"`` counts row by row."""
+    """``frame="range"`` gives peers the same value, for which ``many_ties`` works
+    as for ``rank``; ``"rows"`` counts row by row."""
     if frame not in ("range", "rows"):
         raise ValueError("frame is 'range' or 'rows'")
+    if many_ties and frame == "range":
+        return _by_level(
+            df,
+            part,
+            order,
+            {"__sum": F.sum(col)},
+            lambda levels: running_sum(levels, part, order, "__sum", out, "rows", hot_rows),
+            out,
+        )
 
     def framed(w):
         return w.rangeBetween(_START, 0) if frame == "range" else w.rowsBetween(_START, 0)

@@ -192,7 +192,7 @@ def group_stats_beside_rows(spark, d):
         & (F.col("o_orderpriority") == F.lit("2-HIGH")),
     )
     s = agg.with_group_stats(
-        o, ["o_orderpriority"], {"avg_price": F.avg("o_totalprice"), "order_count": F.count(F.lit(1))}
+        o, ["o_orderpriority"], {"avg_price": F.avg("o_totalprice"), "order_count": F.count(F.lit(1))}, few_groups=True
     )
     return s.select("o_orderkey", "o_orderpriority", "o_totalprice", _r("avg_price", 4), "order_count")
 
@@ -386,7 +386,7 @@ def array_round_trip(spark, d):
 
 
 @query(
-    """SELECT l_returnflag, round(sum(l_extendedprice) + sum(l_extendedprice * l_tax), 4) AS total
+    """SELECT l_returnflag, round(sum(l_extendedprice) + sum(l_extendedprice * l_tax), 2) AS total
        FROM lineitem GROUP BY 1"""
 )
 def nested_sum(spark, d):
@@ -398,7 +398,7 @@ def nested_sum(spark, d):
         ).alias("charges"),
     )
     return agg.sum_nested(l, ["l_returnflag"], "charges", "amount").select(
-        "l_returnflag", _r("total", 4)
+        "l_returnflag", _r("total", 2)
     )
 
 

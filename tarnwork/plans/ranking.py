@@ -75,7 +75,7 @@ def largest_lines_per_flag(spark, d):
     l = table(spark, d, "lineitem").select(
         "l_returnflag", "l_orderkey", "l_linenumber", "l_quantity"
     )
-    return window.group_max_rows(l, ["l_returnflag"], "l_quantity")
+    return window.group_max_rows(l, ["l_returnflag"], "l_quantity", few_groups=True)
 
 
 @query(
@@ -87,7 +87,7 @@ def max_order_per_segment_ties(spark, d):
     o = joins.join(
         table(spark, d, "orders"), table(spark, d, "customer"), {"o_custkey": "c_custkey"}
     ).select("c_mktsegment", "o_orderkey", "o_totalprice")
-    return window.group_max_rows(o, ["c_mktsegment"], "o_totalprice")
+    return window.group_max_rows(o, ["c_mktsegment"], "o_totalprice", few_groups=True)
 
 
 @query(
@@ -109,7 +109,7 @@ def dense_rank_lines(spark, d):
     l = table(spark, d, "lineitem").select(
         "l_returnflag", "l_orderkey", "l_linenumber", "l_quantity"
     )
-    return window.dense_rank(l, ["l_returnflag"], ["-l_quantity"])
+    return window.dense_rank(l, ["l_returnflag"], ["-l_quantity"], many_ties=True)
 
 
 @query(
@@ -161,7 +161,9 @@ def monthly_running_and_total_sales(spark, d):
     running = window.running_sum(
         monthly, ["o_orderpriority"], ["month"], "sales", "running_sales", hot_rows=None
     )
-    both = agg.with_group_stats(running, ["o_orderpriority"], {"total_sales": F.sum("sales")})
+    both = agg.with_group_stats(
+        running, ["o_orderpriority"], {"total_sales": F.sum("sales")}, few_groups=True
+    )
     return agg.distinct(
         both.select(
             "o_orderpriority",

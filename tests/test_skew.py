@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tarnwork.operators import cdc, timeseries, window
-from tarnwork.operators.skew import HOT, SLICE, slice_hot_keys
+from tarnwork.operators.skew import CUT, HOT, slice_hot_keys
 
 START = dt.datetime(2024, 1, 1)
 
@@ -63,6 +63,11 @@ OPERATORS = {
     "running_min": lambda df, o, h: window.running_min(df, ["k"], o, "v", "r", h),
     "moving_avg": lambda df, o, h: window.moving_avg(df, ["k"], [*o, "id"], "v", 3, "r", h),
     "previous": lambda df, o, h: window.previous(df, ["k"], [*o, "id"], "v", "r", h),
+    "rank_by_level": lambda df, o, h: window.rank(df, ["k"], o, "r", h, many_ties=h is not None),
+    "dense_rank_by_level": lambda df, o, h: window.dense_rank(df, ["k"], o, "r", h, many_ties=h is not None),
+    "sum_by_level": lambda df, o, h: window.running_sum(
+        df, ["k"], o, "v", "r", "range", h, many_ties=h is not None
+    ),
     "following": lambda df, o, h: window.following(df, ["k"], [*o, "id"], "v", "r", h),
 }
 
@@ -88,7 +93,7 @@ def test_plain_equals_hand_written_window(table):
 
 def test_hot_keys_are_really_cut(table):
     cut = slice_hot_keys(table, ["k"], ["t"], 20)
-    sizes = cut.where(HOT).groupBy("k", SLICE).count()
+    sizes = cut.where(HOT).groupBy("k", *CUT).count()
     assert cut.where(F.col("k") == "h").select(HOT).distinct().collect() == [(True,)]
     assert sizes.where("k = 'h'").count() > 3
     assert cut.where("k like 'k%'").where(HOT).count() == 0
@@ -142,8 +147,25 @@ def test_hot_keys_found_in_a_sample(spark):
     assert cut.where(HOT).count() == 0
     cut = slice_hot_keys(df, ["k"], ["t", "id"], 19_000)
     assert cut.where(HOT).select("k").distinct().collect() == [(1,)]
-    assert cut.where(HOT).groupBy(SLICE).count().agg(F.max("count")).first()[0] < 5_000
+    assert cut.where(HOT).groupBy(*CUT).count().agg(F.max("count")).first()[0] < 5_000
     same(
         window.number_rows(df, ["k"], ["t", "id"], "r", 19_000),
         window.number_rows(df, ["k"], ["t", "id"], "r", None),
     )
+
+
+@pytest.mark.parametrize("order", [["d", "id"], ["-d", "id"], ["d", "-id"], ["-d", "-v", "id"]])
+def test_few_values_are_cut_along_the_second_column(order, spark):
+    rnd = random.Random(5)
+    rows = [("h", rnd.choice([1, 1, 1, 2, None]), i, rnd.choice([None, 1, 2, 3])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, d int, id int, v int").repartition(4)
+    biggest = slice_hot_keys(df, ["k"], order, 20).groupBy(*CUT).count().agg(F.max("count"))
+    assert biggest.first()[0] < (150 if "v" in order[1] else 40)
+    for name in ("number_rows", "moving_avg", "previous", "rank"):
+        op = {
+            "number_rows": lambda h: window.number_rows(df, ["k"], order, "r", h),
+            "moving_avg": lambda h: window.moving_avg(df, ["k"], order, "v", 2, "r", h),
+            "previous": lambda h: window.previous(df, ["k"], order, "id", "r", h),
+            "rank": lambda h: window.rank(df, ["k"], order, "r", h),
+        }[name]
+        same(op(20), op(None))
