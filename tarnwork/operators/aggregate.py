@@ -134,69 +134,73 @@ def median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Exact medians as elements of the data (the lower one of an even count), one
     row, doubles. NULL and NaN do not count.
 
-    A quantile sketch brackets each median, a second pass counts the values below
-    the bracket, and only the values inside it (a few per hundred thousand) are
-    grouped and ranked. Should a bracket miss, its side is opened to infinity, so
-    the result never depends on the sketch.
+    A quantile sketch brackets each median and a second pass counts the values
+    around the bracket; both bring back a few numbers per column. Only the values
+    inside a bracket (a few per hundred thousand) are then grouped and ranked.
+    Should a bracket miss, its side is opened, so the result never depends on the
+    sketch.
     """
     eps = 2.0 / _SKETCH_ACCURACY
-    vals = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
-
-    sketch = vals.agg(
-        F.struct(
-            *[
-                F.percentile_approx(c, [0.5 - eps, 0.5 + eps], _SKETCH_ACCURACY).alias(c)
-                for c in cols
-            ]
-        ).alias("q")
-    )
-    # The bracket travels in the same row as the counts taken with it.
-    marked = vals.withColumn("__q", sketch.scalar())
-    counted = marked.agg(
-        F.struct(
-            *[
-                F.struct(
-                    F.max(F.get(F.col(f"__q.{c}"), F.lit(0))).alias("lo"),
-                    F.max(F.get(F.col(f"__q.{c}"), F.lit(1))).alias("hi"),
-                    F.count_if(F.col(c) < F.get(F.col(f"__q.{c}"), F.lit(0))).alias("below"),
-                    F.count_if(F.col(c) <= F.get(F.col(f"__q.{c}"), F.lit(1))).alias("upto"),
-                    F.ceil(F.count(c) / 2).alias("target"),
-                ).alias(c)
-                for c in cols
-            ]
-        ).alias("s")
+    names = {c: f"c{i}" for i, c in enumerate(cols)}
+    vals = df.select(
+        *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(n) for c, n in names.items()]
     )
-    ranked = vals.withColumn("__s", counted.scalar())
-
-    def entry(c: str) -> Column:
-        s = F.col(f"__s.{c}")
-        low_ok, high_ok = s["below"] < s["target"], s["upto"] >= s["target"]
-        inside = (~low_ok | (F.col(c) >= s["lo"])) & (~high_ok | (F.col(c) <= s["hi"]))
-        return F.when(
-            F.col(c).isNotNull() & inside,
+    sketch = vals.agg(
+        *[
+            F.percentile_approx(n, [0.5 - eps, 0.5 + eps], _SKETCH_ACCURACY).alias(n)
+            for n in names.values()
+        ]
+    ).first()
+    brackets = {n: sketch[n] for n in names.values() if sketch[n]}
+    counts = vals.agg(
+        F.lit(0).alias("none"),
+        *[
             F.struct(
-                F.lit(c).alias("name"),
-                F.col(c).alias("value"),
-                (s["target"] - F.when(low_ok, s["below"]).otherwise(0)).alias("rank"),
-            ),
-        )
-
-    entries = [entry(c) for c in cols]
-    some = entries[0].isNotNull()
-    for e in entries[1:]:
-        some = some | e.isNotNull()
-    inside = (
-        ranked.where(some)
-        .select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .select("e.*")
-        .groupBy("name", "value", "rank")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+                F.count(n).alias("n"),
+                F.count_if(F.col(n) < lo).alias("below"),
+                F.count_if(F.col(n) <= hi).alias("upto"),
+            ).alias(n)
+            for n, (lo, hi) in brackets.items()
+        ],
+    ).first()
+
+    conditions, ranks = {}, {}
+    for n, (lo, hi) in brackets.items():
+        seen = counts[n]
+        target = (seen["n"] + 1) // 2
+        inside, ranks[n] = F.col(n).isNotNull(), target
+        if seen["below"] < target:
+            inside, ranks[n] = inside & (F.col(n) >= lo), target - seen["below"]
+        if seen["upto"] >= target:
+            inside = inside & (F.col(n) <= hi)
+        conditions[n] = inside
+    if not brackets:
+        return vals.agg(*[F.max(n).alias(c) for c, n in names.items()])
+
+    some = F.lit(False)
+    for inside in conditions.values():
+        some = some | inside
+    entries = [
+        F.when(inside, F.struct(F.lit(n).alias("name"), F.col(n).alias("value")))
+        for n, inside in conditions.items()
+    ]
+    rank = F.lit(0)
+    for n, r in ranks.items():
+        rank = F.when(F.col("name") == n, F.lit(r)).otherwise(rank)
     upto = F.sum("n").over(
         Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     )
-    found = inside.withColumn("upto", upto).where(F.col("upto") >= F.col("rank"))
-    return found.agg(*[F.min(F.when(F.col("name") == c, F.col("value"))).alias(c) for c in cols])
+    found = (
+        vals.where(some)
+        .select(F.inline(F.array_compact(F.array(*entries))))
+        .groupBy("name", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("upto", upto)
+        .where(F.col("upto") >= rank)
+    )
+    return found.agg(
+        *[F.min(F.when(F.col("name") == n, F.col("value"))).alias(c) for c, n in names.items()]
+    )
 
 
 # -- arrays ------------------------------------------------------------------

@@ -135,6 +135,8 @@ def may_hold_hot_keys(df: DataFrame, hot_rows: int) -> bool:
     """Judge by the planner's size estimate, without running anything. Estimates
     only ever shrink where rows are multiplied in place, so such plans, like those
     of unknown size, count as large."""
+    if getattr(df, "_jdf", None) is None:  # a remote session shows no plan
+        return True
     plan = df._jdf.queryExecution().optimizedPlan()
     if "Generate " in plan.toString() or "Expand " in plan.toString():
         return True

@@ -12,7 +12,14 @@ from tarnwork.functions.scalars import date_gap, minutes_between
 from tarnwork.operators.aggregate import with_group_stats
 from tarnwork.operators.joins import unmatched
 from tarnwork.operators.skew import HOT_ROWS, running_window
-from tarnwork.operators.window import earliest, following, previous, top_n, top_ranked
+from tarnwork.operators.window import (
+    earliest,
+    following,
+    previous,
+    running_min,
+    top_n,
+    top_ranked,
+)
 
 _START = Window.unboundedPreceding
 
@@ -294,11 +301,25 @@ def days_to_first(
     only_after: bool = False,
 ) -> DataFrame:
     """Days from activation to the key's first event. Without ``only_after`` the
-    first event may lie before the activation and the result may be negative."""
+    first event may lie before the activation and the result may be negative.
+
+    With it, both tables are put in one order per key, latest first, and each
+    activation takes the smallest event time met so far: no pairs are formed.
+    """
     if only_after:
-        later = activations.join(events, key).where(F.col(happened) >= F.col(activated))
-        first = earliest(later, activations.columns, [happened])
-        return first.withColumn(out, date_gap(happened, activated))
+        starts = activations.where(F.col(activated).isNotNull()).withColumns(
+            {"__ts": F.col(activated), "__start": F.lit(True)}
+        )
+        hits = events.where(F.col(happened).isNotNull()).select(
+            key, F.col(happened).alias("__ts"), F.col(happened).alias("__hit")
+        )
+        both = starts.unionByName(hits, allowMissingColumns=True)
+        first = running_min(both, [key], ["-__ts"], "__hit", happened)
+        return (
+            first.where(F.col("__start") & F.col(happened).isNotNull())
+            .select(*activations.columns, happened)
+            .withColumn(out, date_gap(happened, activated))
+        )
     first = earliest(events, [key], [happened])
     return activations.join(first, key).withColumn(out, date_gap(happened, activated))
 

@@ -228,3 +228,39 @@ def test_fan_out_binds_each_value(spark, rows):
     df = spark.createDataFrame([("O", 1), ("F", 2), ("F", 3)], "s string, v int")
     built = medallion.fan_out(df, "s", "O,F", lambda d: d.groupBy().sum("v"))
     assert {k: rows(v) for k, v in built.items()} == {"O": [(1,)], "F": [(5,)]}
+
+
+def test_jobs(spark, tmp_path):
+    from tarnwork.plans import jobs
+
+    write_csv(tmp_path / "emp/a.csv", "id,department", "1,Sales", "2,SALES", "3,IT")
+    src = str(tmp_path / "emp")
+    assert jobs.copy_csv(spark, src, str(tmp_path / "copy")) == 3
+    assert readers.scan_path_sql(spark, str(tmp_path / "copy")).dtypes[0] == ("id", "int")
+    prefix = name("dept") + "_"
+    assert jobs.write_department(spark, src, "sales", prefix, str(tmp_path / "dept")) == 2
+    assert readers.scan_table(spark, prefix + "sales").count() == 2
+    assert jobs.write_department(spark, src, "law", prefix) == 0
+    assert jobs.run_day(spark, "2024-05-03T10:00:00") == "Fri"
+
+
+def test_rule_counts_while_writing(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    from tarnwork.operators import quality
+
+    rules = {"positive": "v > 0", "known": "t is not null"}
+    df = spark.createDataFrame([(1, "a"), (-1, None), (None, "b")], "v int, t string")
+    seen = Observation()
+    df.observe(seen, *quality.rule_counts(rules)).write.parquet(str(tmp_path / "o"))
+    assert seen.get == {"positive": 2, "known": 1}
+
+
+def test_shared_folder_is_read_from_the_session(spark):
+    from tarnwork.sources import storage
+
+    shared = storage.shared_dir(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared == (named.rstrip("/") if named else spark.sparkContext.getCheckpointDir())
+    one, two = storage.scratch_dir(spark, "x"), storage.scratch_dir(spark, "x")
+    assert one != two and one.startswith(shared)
