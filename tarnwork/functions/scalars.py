@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
@@ -23,6 +23,16 @@ def sort_columns(order: Sequence[str]) -> list[Column]:
     return [F.col(o[1:]).desc() if o.startswith("-") else F.col(o).asc() for o in order]
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Hash of all columns; maps, which have no hash, go in as JSON text."""
+    return F.xxhash64(
+        *[
+            F.to_json(f.name) if "map<" in f.dataType.simpleString() else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
 def flip_order(order: Sequence[str]) -> list[str]:
     """The exact reverse of a sort order."""
     return [o[1:] if o.startswith("-") else "-" + o for o in order]

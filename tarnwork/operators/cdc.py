@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnwork.functions.scalars import row_hash
 from tarnwork.operators.skew import HOT_ROWS
 from tarnwork.operators.window import following, latest, top_n
 
@@ -26,7 +27,7 @@ def _is(pred: str | None) -> Column:
 
 def _hashed(df: DataFrame) -> DataFrame:
     """Row hash: settles which of two changes with equal key and sequence counts."""
-    return df.withColumn(_HASH, F.xxhash64(*df.columns))
+    return df.withColumn(_HASH, row_hash(df))
 
 
 def _latest_per_key(

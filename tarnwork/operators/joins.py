@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnwork.functions.scalars import row_hash
 from tarnwork.operators.project import prefix_columns
 from tarnwork.operators.skew import fits_broadcast
 
@@ -97,7 +98,7 @@ def cross(l: DataFrame, r: DataFrame, max_rows: int = CROSS_ROWS) -> DataFrame:
     """Every row of ``l`` with every row of a small ``r``. The small side becomes one
     array value that is exploded in place: no product join and no shuffle. A side
     of more than ``max_rows`` rows is refused."""
-    if r.limit(max_rows + 1).count() > max_rows:
+    if len(r.select(F.lit(1)).head(max_rows + 1)) > max_rows:
         raise ValueError(f"the right side has more than {max_rows} rows")
     packed = r.agg(F.collect_list(F.struct(*r.columns)).alias("rows")).scalar()
     return l.withColumn("__r", F.explode(packed)).select(*l.columns, "__r.*")
@@ -112,7 +113,7 @@ def salted_join(
     The salt mixes the row's hash with the number of its input task. Equal rows
     from different tasks are spread too, and a repeated task draws the same salts.
     """
-    salt = F.pmod(F.xxhash64(*fact.columns) + F.spark_partition_id(), F.lit(n_salts)).cast("int")
+    salt = F.pmod(row_hash(fact) + F.spark_partition_id(), F.lit(n_salts)).cast("int")
     salted = fact.withColumn("__salt", salt)
     repeated = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))))
     return salted.join(repeated, [key, "__salt"], how).drop("__salt")

@@ -94,15 +94,11 @@ def position(df: DataFrame, name: str) -> Column:
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure a side, reading no more than ``max_rows + 1`` rows of it."""
-    size = (
-        df.limit(max_rows + 1)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
-        )
-        .first()
-    )
+    """Measure a side: rows and bytes are added up where the rows are."""
+    size = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
+    ).first()
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 

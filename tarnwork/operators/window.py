@@ -124,7 +124,11 @@ def dense_rank(
 #
 # row_number/rank compared with a constant is planned as WindowGroupLimit: every
 # map task keeps at most n rows per group (and ties, for rank) before the
-# shuffle, so a hot group arrives as n rows per map task.
+# shuffle, so a hot group arrives as n rows per map task. That is much for a large
+# n, and Spark gives it up above 1,000; then rows are numbered slice by slice.
+
+#: Largest n for which every map task may send n rows of a group.
+GROUP_LIMIT = 100
 
 
 def top_n(
@@ -133,7 +137,11 @@ def top_n(
     """First ``n`` rows of each group in ``order``; ``out`` keeps the row number."""
     w = Window.partitionBy(*part).orderBy(*sort_columns(order))
     name = out or "__rn"
-    kept = df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
+    if n <= GROUP_LIMIT:
+        numbered = df.withColumn(name, F.row_number().over(w))
+    else:
+        numbered = number_rows(df, part, order, name).withColumn(name, F.col(name).cast("int"))
+    kept = numbered.where(F.col(name) <= n)
     return kept if out else kept.drop(name)
 
 

@@ -311,9 +311,15 @@ def select_expressions(spark, d):
     )
 
 
-@query()
+@query("SELECT o_orderstatus, count(*) AS rows, count(*) AS distinct_ids FROM orders GROUP BY 1")
 def row_ids(spark, d):
-    return project.row_id(table(spark, d, "orders").select("o_orderkey"))
+    # The ids themselves are open; that they differ is not.
+    o = project.row_id(table(spark, d, "orders"))
+    return agg.group(
+        o,
+        ["o_orderstatus"],
+        {"rows": F.count(F.lit(1)), "distinct_ids": F.count_distinct("row_id")},
+    )
 
 
 @query("SELECT c_custkey, c_name, c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS city FROM customer")

@@ -155,14 +155,22 @@ def load_new_files_projected(spark, d):
     )
 
 
-@query()
+@query(
+    """WITH s AS (SELECT count(*) AS rows, sum(strlen(to_json(customer)::VARCHAR))::BIGINT AS bytes FROM customer)
+       SELECT rows, bytes, bytes / 1048576 AS mb, bytes / 1073741824 AS gb FROM s"""
+)
 def estimate_bytes(spark, d):
     return writers.estimate_bytes(table(spark, d, "customer"))
 
 
-@query()
+@query(
+    """WITH s AS (SELECT strlen(to_json(c)::VARCHAR) AS b FROM (SELECT * FROM customer LIMIT 1000) c)
+       SELECT least((SELECT count(*) FROM customer),
+                    floor(0.05 * 1048576 * count(*) / sum(b))::BIGINT) AS row_count FROM s"""
+)
 def limit_to_bytes(spark, d):
-    return writers.limit_to_bytes(table(spark, d, "customer"), 0.05)
+    # Which rows are kept is open; how many are is not.
+    return readers.row_count(writers.limit_to_bytes(table(spark, d, "customer"), 0.05))
 
 
 @query("SELECT 'O,F' AS order_status, count(*) AS orders FROM orders WHERE o_orderstatus IN ('O', 'F')")

@@ -287,6 +287,20 @@ def test_first_rows_of_groups(spark, rows):
     assert rows(window.top_ranked(df, ["-a"], 2)) == [("A", "p2", 200, 2), ("A", "p3", 200, 2), ("B", "p4", 300, 1)]
 
 
+def test_many_first_rows(spark, rows):
+    df = spark.range(1000).selectExpr("id % 3 as k", "id as v")
+    got = window.top_n(df, ["k"], ["-v"], 150, "n")
+    assert got.count() == 450 and got.agg(F.min("v")).first()[0] == 1000 - 450
+    assert dict(got.dtypes)["n"] == "int"
+
+
+def test_rows_with_maps_can_be_hashed(spark, rows):
+    df = spark.createDataFrame([(1, {"a": "x"}, 1), (1, {"a": "y"}, 2)], "k int, m map<string,string>, s int")
+    assert [r[1] for r in rows(cdc.scd1(df, ["k"], "s"))] == [{"a": "y"}]
+    dim = spark.createDataFrame([(1, "one")], "k int, n string")
+    assert joins.salted_join(df, dim, "k", 3).count() == 2
+
+
 def test_first_rows_are_cut_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 as k", "id as v")
     plan = window.latest(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
@@ -522,3 +536,10 @@ def test_sizes(spark):
     assert 900 < kept.count() < 1300
     assert writers.limit_to_bytes(df, 10_000).count() == 5000
     assert writers.limit_to_bytes(df.where("id < 0"), 1).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 1249, 1250, 1251, 4999, 5000, 9000])
+def test_prefix_rows(spark, n):
+    df = spark.range(0, 5000, 1, 4)
+    kept = writers.prefix_rows(df, n)
+    assert [r[0] for r in kept.collect()] == list(range(min(n, 5000)))
