@@ -23,6 +23,9 @@ from tarnwork.operators.window import (
 
 _START = Window.unboundedPreceding
 
+# Names of the parts of a day.
+_DAY_PARTS = ("Morning", "Early Afternoon", "Late Afternoon")
+
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -353,11 +356,8 @@ def busiest_buckets(df: DataFrame, ts: str, n: int) -> DataFrame:
     """Weekday by day part counts, ranks 1..n. Hour 12 and hours from 15 on are
     'Late Afternoon'."""
     hour = F.hour(ts)
-    part = (
-        F.when(hour < 12, "Morning")
-        .when((hour > 12) & (hour < 15), "Early Afternoon")
-        .otherwise("Late Afternoon")
-    )
+    morning, early, late = _DAY_PARTS
+    part = F.when(hour < 12, morning).when((hour > 12) & (hour < 15), early).otherwise(late)
     counts = (
         df.select(F.date_format(ts, "EEEE").alias("day_of_week"), part.alias("time_of_day"))
         .groupBy("day_of_week", "time_of_day")

@@ -59,11 +59,11 @@ def test_projection_routes(spark, rows):
 
 def test_nested_fields_two_spellings(spark, rows):
     df = spark.createDataFrame(
-        [(1, {"city": "Pune", "state": "MH"}), (2, {"city": "Agra"})], "id int, address map<string,string>"
+        [(1, {"city": "Graz", "state": "ST"}), (2, {"city": "Linz"})], "id int, address map<string,string>"
     )
     by_dots = project.flatten(df, {"city": "address.city", "state": "address.state"}, ["id"])
     by_index = df.select("id", df["address"]["city"].alias("city"), df["address"]["state"].alias("state"))
-    assert rows(by_dots) == rows(by_index) == [(1, "Pune", "MH"), (2, "Agra", None)]
+    assert rows(by_dots) == rows(by_index) == [(1, "Graz", "ST"), (2, "Linz", None)]
 
 
 def test_label_edges(spark, rows):
@@ -197,13 +197,13 @@ def test_counts_and_having(spark, rows):
 
 
 def test_top_groups_two_routes(spark, rows):
-    data = [(1, 101, 500.0, "2024-01-01"), (2, 102, 200.0, "2024-01-02"), (3, 101, 300.0, "2024-01-03"), (4, 103, 650.0, "2024-01-04")]
+    data = [(71, 8, 12.5, "2021-05-02"), (72, 9, 40.0, "2021-05-09"), (73, 8, 90.0, "2021-07-30"), (74, 5, 64.0, "2021-06-11")]
     df = spark.createDataFrame(data, "id int, u int, amount double, d string")
     direct = aggregate.top_groups(df, ["u"], {"total": F.sum("amount"), "last": F.max("d")}, ["-total"], 2)
     joined = aggregate.top_groups(df, ["u"], {"total": F.sum("amount")}, ["-total"], 2).join(
         window.latest(df.select("u", F.col("d").alias("last")), ["u"], ["last"]), "u"
     )
-    assert rows(direct) == rows(joined) == [(101, 800.0, "2024-01-03"), (103, 650.0, "2024-01-04")]
+    assert rows(direct) == rows(joined) == [(5, 64.0, "2021-06-11"), (8, 102.5, "2021-07-30")]
 
 
 def test_pivot_and_share(spark, rows):
@@ -225,7 +225,7 @@ def test_correlation(spark):
 @pytest.mark.parametrize(
     "values, expected",
     [
-        ([22, 30, 25, 28], 25.0),
+        ([41, 60, 44, 57], 44.0),
         ([5], 5.0),
         ([1, 1, 1, 9, 9], 1.0),
         ([None, 3, None], 3.0),
@@ -277,14 +277,14 @@ def test_group_stats_keep_null_keys(spark, rows):
 
 
 def test_first_rows_of_groups(spark, rows):
-    df = spark.createDataFrame([("A", "p1", 100), ("A", "p2", 200), ("A", "p3", 200), ("B", "p4", 300), ("B", "p5", 150)], "c string, p string, a int")
+    df = spark.createDataFrame([("M", "s", 31), ("M", "t", 47), ("M", "u", 47), ("N", "v", 90), ("N", "w", 12)], "c string, p string, a int")
     assert rows(window.top_n(df, ["c"], ["-a", "p"], 2, "row_number")) == [
-        ("A", "p2", 200, 1), ("A", "p3", 200, 2), ("B", "p4", 300, 1), ("B", "p5", 150, 2),
+        ("M", "t", 47, 1), ("M", "u", 47, 2), ("N", "v", 90, 1), ("N", "w", 12, 2),
     ]
-    assert rows(window.group_max_rows(df, ["c"], "a")) == [("A", "p2", 200), ("A", "p3", 200), ("B", "p4", 300)]
-    assert rows(window.latest(df, ["c"], ["a", "p"])) == [("A", "p3", 200), ("B", "p4", 300)]
-    assert rows(window.earliest(df, ["c"], ["a", "p"])) == [("A", "p1", 100), ("B", "p5", 150)]
-    assert rows(window.top_ranked(df, ["-a"], 2)) == [("A", "p2", 200, 2), ("A", "p3", 200, 2), ("B", "p4", 300, 1)]
+    assert rows(window.group_max_rows(df, ["c"], "a")) == [("M", "t", 47), ("M", "u", 47), ("N", "v", 90)]
+    assert rows(window.latest(df, ["c"], ["a", "p"])) == [("M", "u", 47), ("N", "v", 90)]
+    assert rows(window.earliest(df, ["c"], ["a", "p"])) == [("M", "s", 31), ("N", "w", 12)]
+    assert rows(window.top_ranked(df, ["-a"], 2)) == [("M", "t", 47, 2), ("M", "u", 47, 2), ("N", "v", 90, 1)]
 
 
 def test_many_first_rows(spark, rows):
@@ -316,10 +316,10 @@ def test_running_frames_on_ties(spark, rows):
 
 
 def test_extremes_two_forms(spark, rows):
-    df = spark.createDataFrame([(1, 5000), (2, 6000), (3, 4500), (4, 6000)], "id int, pay int")
+    df = spark.createDataFrame([(1, 810), (2, 975), (3, 640), (4, 975)], "id int, pay int")
     case = window.extremes(df, "pay", "kind")
     assert rows(case) == rows(window.extremes_union(df, "pay", "kind")) == [
-        (1 + 1, 6000, "Highest"), (3, 4500, "Lowest"), (4, 6000, "Highest"),
+        (2, 975, "Highest"), (3, 640, "Lowest"), (4, 975, "Highest"),
     ]
 
 
@@ -328,32 +328,32 @@ def test_extremes_two_forms(spark, rows):
 
 def test_sessions_keep_exactly_thirty_minutes(spark, rows):
     at = lambda h, m: TS(2024, 1, 1, h, m)
-    data = [("u1", at(10, 0)), ("u1", at(10, 10)), ("u1", at(10, 40)), ("u1", at(11, 11)), ("u2", at(9, 0))]
+    data = [("u1", at(7, 2)), ("u1", at(7, 17)), ("u1", at(7, 47)), ("u1", at(8, 18)), ("u2", at(6, 5))]
     df = spark.createDataFrame(data, "u string, ts timestamp_ntz")
     assert rows(timeseries.session_summary(df, "u", "ts", 30)) == [
-        ("u1", 1, at(10, 0), at(10, 40), 3), ("u1", 2, at(11, 11), at(11, 11), 1), ("u2", 1, at(9, 0), at(9, 0), 1),
+        ("u1", 1, at(7, 2), at(7, 47), 3), ("u1", 2, at(8, 18), at(8, 18), 1), ("u2", 1, at(6, 5), at(6, 5), 1),
     ]
     assert [r[-1] for r in rows(timeseries.gap_flag(df, "u", "ts", 30))] == [1, 1, 2, 2, 1]
 
 
 def test_streaks(spark, rows):
-    days = [1, 2, 3, 5, 7, 8]
-    df = spark.createDataFrame([("e", D(2024, 6, d)) for d in days + [2]], "e string, d date")
+    days = [10, 11, 12, 15, 18, 19]
+    df = spark.createDataFrame([("e", D(2022, 3, d)) for d in days + [11]], "e string, d date")
     assert rows(timeseries.streaks(df, "e", "d")) == [
-        ("e", 1, D(2024, 6, 1), D(2024, 6, 3), 3), ("e", 2, D(2024, 6, 5), D(2024, 6, 5), 1), ("e", 3, D(2024, 6, 7), D(2024, 6, 8), 2),
+        ("e", 1, D(2022, 3, 10), D(2022, 3, 12), 3), ("e", 2, D(2022, 3, 15), D(2022, 3, 15), 1), ("e", 3, D(2022, 3, 18), D(2022, 3, 19), 2),
     ]
 
 
 def test_missing_dates_and_ranges(spark, rows):
-    days = {"C1": [1, 2, 4, 8], "C2": [3, 5], "C3": [9]}
+    days = {"C1": [11, 13, 17, 18], "C2": [20, 22], "C3": [9]}
     df = spark.createDataFrame([(c, D(2024, 1, d)) for c, ds in days.items() for d in ds], "c string, d date")
     assert rows(timeseries.missing_dates(df, "c", "d")) == [
-        ("C1", D(2024, 1, d)) for d in (3, 5, 6, 7)
-    ] + [("C2", D(2024, 1, 4))]
+        ("C1", D(2024, 1, d)) for d in (12, 14, 15, 16)
+    ] + [("C2", D(2024, 1, 21))]
     assert rows(timeseries.missing_ranges(df, "c", "d")) == [
-        ("C1", D(2024, 1, 3), D(2024, 1, 3)), ("C1", D(2024, 1, 5), D(2024, 1, 7)), ("C2", D(2024, 1, 4), D(2024, 1, 4)),
+        ("C1", D(2024, 1, 12), D(2024, 1, 12)), ("C1", D(2024, 1, 14), D(2024, 1, 16)), ("C2", D(2024, 1, 21), D(2024, 1, 21)),
     ]
-    assert rows(timeseries.missing_envelope(df, "c", "d"))[0] == ("C1", D(2024, 1, 3), D(2024, 1, 7))
+    assert rows(timeseries.missing_envelope(df, "c", "d"))[0] == ("C1", D(2024, 1, 12), D(2024, 1, 16))
     assert timeseries.date_spine(df, "c", "d").count() == 8 + 3 + 1
 
 
@@ -439,11 +439,11 @@ def test_json(spark, rows):
 
 
 def test_dates(spark, rows):
-    df = spark.createDataFrame(["2023-12-31", "31-12-2023", "2023/12/31", "invalid"], "string").toDF("s")
+    df = spark.createDataFrame(["2019-08-24", "24-08-2019", "2019.08.24", "soon"], "string").toDF("s")
     assert [r[0] for r in df.select(fn.try_parse_date("s", "yyyy-MM-dd", "MM/dd/yyyy", "Invalid Date")).collect()] == [
-        "12/31/2023", "Invalid Date", "Invalid Date", "Invalid Date",
+        "08/24/2019", "Invalid Date", "Invalid Date", "Invalid Date",
     ]
-    assert [r[0] for r in df.select(fn.try_parse_date("s", "yyyy-MM-dd")).collect()] == [D(2023, 12, 31), None, None, None]
+    assert [r[0] for r in df.select(fn.try_parse_date("s", "yyyy-MM-dd")).collect()] == [D(2019, 8, 24), None, None, None]
     one = spark.createDataFrame([("2024-05-03T10:00:00",)], "s string")
     assert one.select(fn.weekday_name("s", "yyyy-MM-dd'T'HH:mm:ss")).first()[0] == "Fri"
     assert one.select(fn.weekday_name("s", "yyyy-MM-dd'T'HH:mm:ss", short=False)).first()[0] == "Friday"
