@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tarnwork.functions.scalars import sort_columns
+from tarnwork.functions.scalars import row_hash, sort_columns
 
 #: Keys with more rows than this are cut into slices.
 HOT_ROWS = 20_000_000
@@ -229,15 +229,19 @@ def bounded_window(
     """Evaluate ``build(window)`` where no frame looks further than ``reach`` rows.
 
     ``hot_rows=None`` is the plain window, for inputs known to have small groups;
-    inputs too small to hold a hot key get it as well.
+    inputs too small to hold a hot key get it as well. Select the columns you need
+    before: cut windows read all of them to settle ties.
     """
     sort = sort_columns(order)
     whole = Window.partitionBy(*keys).orderBy(*sort)
     if hot_rows is None or not may_hold_hot_keys(df, hot_rows):
         return df.withColumns(build(whole))
 
-    sliced = slice_hot_keys(df, keys, order, hot_rows)
-    part = Window.partitionBy(*keys, *CUT).orderBy(*sort)
+    # Two branches look at the rows next to a border and must agree which rows these
+    # are, so ties are settled by the row's hash; equal rows are interchangeable.
+    sliced = slice_hot_keys(df, keys, order, hot_rows).withColumn("__tie", row_hash(df))
+    part = Window.partitionBy(*keys, *CUT).orderBy(*sort, "__tie")
+    whole = Window.partitionBy(*keys).orderBy(*sort, "__tie")
 
     def near(n: int) -> Column:
         one = F.lit(1)

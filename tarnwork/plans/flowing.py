@@ -143,31 +143,29 @@ def scd2_current_join(spark, d):
     return joins.join_current(dim, o, {"c_custkey": "o_custkey"}).select("c_custkey", "status", "o_orderkey")
 
 
-def _change_stream(spark, d):
-    """The changes as four files, read one per micro-batch."""
-    path = scratch_dir(spark, "changes")
-    feed = _changes(spark, d)
-    feed.repartition(4).write.parquet(path)
-    return readers.stream_files(
-        spark, path, feed.schema, fmt="parquet", options={"maxFilesPerTrigger": "1"}
-    )
+def _stream_changes(spark, d, target, scd_type, truncate_when=None):
+    """Feed the changes in two runs: inserts first, then deletes and truncates, all
+    of which are older or newer than what has already arrived."""
+    feed, path = _changes(spark, d), scratch_dir(spark, "changes")
+    for part in ("_src_action = 'I'", "_src_action <> 'I'"):
+        feed.where(part).write.mode("append").parquet(path)
+        stream = readers.stream_files(spark, path, feed.schema, fmt="parquet")
+        change_streams.apply_changes(
+            stream, target, target + "-state", _KEYS, _SEQ, scd_type, truncate_when
+        ).awaitTermination()
 
 
 @query(_SCD1)
 def scd1_stream(spark, d):
     path = scratch_dir(spark, "scd1")
-    q = change_streams.apply_changes(
-        _change_stream(spark, d), path, path + "-state", _KEYS, _SEQ, 1, _TRUNCATE
-    )
-    q.awaitTermination()
+    _stream_changes(spark, d, path, 1, _TRUNCATE)
     return change_streams.read_scd1(spark, path, _KEYS, _SEQ, _DELETE, _TRUNCATE)
 
 
 @query(_SCD2)
 def scd2_stream(spark, d):
     path = scratch_dir(spark, "scd2")
-    q = change_streams.apply_changes(_change_stream(spark, d), path, path + "-state", _KEYS, _SEQ, 2)
-    q.awaitTermination()
+    _stream_changes(spark, d, path, 2)
     change_streams.compact_changes(spark, path, _KEYS, _SEQ, 2)
     return change_streams.read_scd2(spark, path, _KEYS, _SEQ, [_SEQ, "_src_action"])
 

@@ -5,6 +5,20 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+def partition_settings(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle settings for an input of a known size: start with enough partitions for
+    each to fit an executor's memory and let adaptive execution join the small ones."""
+    count = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(count),
+        "spark.sql.shuffle.partitions": str(count),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def local_session(cores: int = 8, app: str = "tarnwork") -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cores}]")
