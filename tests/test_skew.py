@@ -35,6 +35,16 @@ def make_rows(seed, order_kind, n=400):
     return out
 
 
+@pytest.fixture(scope="module", autouse=True)
+def small_plans(spark):
+    """Many tiny queries: planning stage by stage would take most of the time."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 KINDS = ["double", "timestamp_ntz", "timestamp", "date", "bigint", "string"]
 
 
@@ -182,7 +192,7 @@ def test_few_values_are_cut_along_the_second_column(order, spark):
     df = spark.createDataFrame(rows, "k string, d int, id int, v int").repartition(4)
     biggest = slice_hot_keys(df, ["k"], order, 20).groupBy(*CUT).count().agg(F.max("count"))
     assert biggest.first()[0] < (150 if "v" in order[1] else 40)
-    for name in ("number_rows", "moving_avg", "previous", "rank"):
+    for name in ("number_rows", "moving_avg") if order[0] == "d" else ("previous", "rank"):
         op = {
             "number_rows": lambda h: window.number_rows(df, ["k"], order, "r", h),
             "moving_avg": lambda h: window.moving_avg(df, ["k"], order, "v", 2, "r", h),
