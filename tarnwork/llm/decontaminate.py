@@ -74,11 +74,17 @@ class Templates:
 
     def _clear(self) -> None:
         self.known.clear()
-        self.kinds: list[int] = []
-        self.hashes: list[int] = []
-        self.ends: list[bool] = []
         self.values: list[str] = []
-        self.arrays: tuple | None = None
+        self._room(1 << 12)
+
+    def _room(self, size: int) -> None:
+        """Arrays of ``size`` that hold what is known of each word."""
+        n = len(self.values)
+        made = [np.zeros(size, t) for t in (np.uint8, np.uint64, bool)]
+        if n:
+            for new, old in zip(made, (self.kinds, self.hashes, self.ends)):
+                new[:n] = old[:n]
+        self.kinds, self.hashes, self.ends = made
 
     def _add(self, word: str) -> int:
         core = _EDGES.sub("", word)
@@ -97,25 +103,20 @@ class Templates:
         h = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"), 5)
         if kind == _NAME and len(self.common) and _in_bitmap(self.common, np.array([h], np.uint64))[0]:
             kind = _LITERAL
-        self.kinds.append(kind)
-        self.hashes.append(h)
-        self.ends.append(bool(_ENDS.search(word)))
+        self.known[word] = at = len(self.values)
+        if at == len(self.kinds):
+            self._room(2 * at)
+        self.kinds[at], self.hashes[at], self.ends[at] = kind, h, bool(_ENDS.search(word))
         self.values.append(core)
-        self.known[word] = at = len(self.kinds) - 1
-        self.arrays = None
         return at
 
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Template tokens, whether each is a literal, and the word of each."""
-        if len(self.kinds) > REMEMBERED:
+        if len(self.values) > REMEMBERED:
             self._clear()
         get, add = self.known.get, self._add
         at = np.array([i if (i := get(w)) is not None else add(w) for w in (text or "").split()], np.int64)
-        if self.arrays is None:
-            self.arrays = (
-                np.array(self.kinds, np.uint8), np.array(self.hashes, np.uint64), np.array(self.ends, bool),
-            )
-        kinds, hashes, ends = self.arrays
+        kinds, hashes, ends = self.kinds, self.hashes, self.ends
         kind, first = kinds[at], np.ones(len(at), bool)
         first[1:] = ends[at[:-1]]
         kept = kind != _NOTHING
@@ -142,7 +143,7 @@ def _runs(templates: Templates, text: str | None, widths: list[int]) -> Iterator
             yield width, mix64(found ^ np.uint64(width)), usable, literal, at
 
 
-_RUNS = "h long, id long, tie long, pos long, runs long, slots array<string>"
+_RUNS = "h long, id long, tie long, pos long, runs long, width int, slots array<string>"
 
 
 def _lower_words(items: DataFrame) -> DataFrame:
@@ -153,9 +154,9 @@ def _lower_words(items: DataFrame) -> DataFrame:
         for batch in frames:
             for text in batch.column("text").to_pylist():
                 templates.of(text)
-                low = [h for h, v in zip(templates.hashes, templates.values) if v and v == v.lower()]
+                low = [i for i, v in enumerate(templates.values) if v and v == v.lower()]
+                yield pa.RecordBatch.from_arrays([pa.array(to_signed(templates.hashes[low]))], names=["h"])
                 templates._clear()
-                yield pa.RecordBatch.from_arrays([pa.array(to_signed(np.array(low, np.uint64)))], names=["h"])
 
     return items.select("text").mapInArrow(run, "h long")
 
@@ -170,7 +171,7 @@ def _run_table(
         templates = Templates(common)
         filtered = None if bits is None else np.frombuffer(bits, np.uint8)
         for batch in frames:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(7)]
             columns = [batch.column(c).to_pylist() for c in ("id", "tie", "text")]
             for key, tie, text in zip(*columns):
                 sizes = widths
@@ -189,14 +190,16 @@ def _run_table(
                     out[1] += [key] * len(held)
                     out[2] += [tie] * len(held)
                     out[4] += [int(usable.sum())] * len(held)
+                    out[6] += [size] * len(held)
             if out[3]:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(out[0])),
                         *[pa.array(x, pa.int64()) for x in out[1:5]],
+                        pa.array(out[6], pa.int32()),
                         pa.array(out[5], pa.list_(pa.string())),
                     ],
-                    names=["h", "id", "tie", "pos", "runs", "slots"],
+                    names=["h", "id", "tie", "pos", "runs", "width", "slots"],
                 )
 
     return docs.mapInArrow(run, _RUNS)
@@ -242,7 +245,8 @@ def contaminated(
     asked = _run_table(items, None, width, least, common, None).drop("tie")
     asked = scratch.save(asked.dropDuplicates(["h", "id", "pos"]), "items")
     bitmap = _bitmap(asked)
-    widths = list(range(least, width)) + [width]
+    # ``width`` and shorter lengths that an item has: a few numbers at most.
+    widths = sorted(r["width"] for r in asked.select("width").distinct().collect())
     found = _run_table(picked(docs, id_column, text_column), widths, width, least, common, bitmap)
     found = scratch.save(found.select("h", "id", "tie", "pos", "slots"), "found")
     item = asked.select(

@@ -2,8 +2,8 @@
 
 Learning counts every word of every labelled training text per language, and every
 character n-gram of those words (with marks for word start and end) weighted by the
-word's count. The ``words`` most frequent words and, per length, the ``grams`` most
-frequent n-grams make the model, with smoothed log frequencies per language. These two
+word's count. The most frequent words, at most ``words``, and per length the most frequent
+n-grams, at most ``grams``, make the model, in whole classes of frequency and with smoothed log frequencies per language. These two
 bounds are parameters, so the model that is sent to the workers has at most
 ``words + LENGTHS * grams`` rows whatever the corpus; the counts behind it cover all
 training rows.
@@ -108,6 +108,22 @@ def _count_grams(words: DataFrame) -> DataFrame:
     return words.mapInArrow(run, _COUNTS).groupBy("kind", "item", "lang").agg(F.sum("n").alias("n"))
 
 
+def _most_frequent(items: DataFrame, most: int) -> pa.Table:
+    """The most frequent of ``items (item, all, ...)``, ``most`` rows at most: whole classes
+    of frequency, eight to the octave, as long as they fit, so that no order of all items is
+    needed."""
+    level = F.floor(F.log2("all") * 8)
+    sizes = {r["level"]: r["count"] for r in items.groupBy(level.alias("level")).count().collect()}
+    least, taken = None, 0
+    for at in sorted(sizes, reverse=True):
+        taken += sizes[at]
+        if taken > most:
+            break
+        least = at
+    kept = items.where(F.lit(False)) if least is None else items.where(level >= least)
+    return kept.drop("all").toArrow()
+
+
 @dataclass
 class Model:
     langs: list[str]
@@ -162,18 +178,19 @@ def learn(
     totals = {(r["kind"], r["lang"]): r["n"] for r in both.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted({lang for _, lang in totals})
     rows: dict[tuple[int, str], int] = {}
-    logs: list[np.ndarray] = []
+    logs = [np.zeros((0, len(langs)))]
     for kind, table, most in [(0, counted, words), *[(n, gram_counts, grams) for n in LENGTHS]]:
-        totalled = table.where(F.col("kind") == kind).groupBy("item").agg(
-            F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
-        )
-        top = totalled.orderBy(F.desc("all"), "item").limit(most).collect()
-        size = np.array([totals.get((kind, lang), 0) for lang in langs]) + ALPHA * (len(top) + 1)
-        for row in top:
-            rows[kind, row["item"]] = len(logs)
-            logs.append(np.log((np.array([row["by"].get(lang, 0) for lang in langs]) + ALPHA) / size))
+        by = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}") for i, lang in enumerate(langs)]
+        top = _most_frequent(table.where(F.col("kind") == kind).groupBy("item").agg(F.sum("n").alias("all"), *by), most)
+        size = np.array([totals.get((kind, lang), 0) for lang in langs]) + ALPHA * (top.num_rows + 1)
+        start = len(rows)
+        rows |= {(kind, item): start + i for i, item in enumerate(top.column("item").to_pylist())}
+        counts = np.zeros((top.num_rows, len(langs)))
+        for i in range(len(langs)):
+            counts[:, i] = top.column(f"n{i}").to_numpy()
+        logs.append(np.log((counts + ALPHA) / size))
     scratch.drop("words", "grams")
-    return Model(langs, rows, np.array(logs).reshape(-1, len(langs)))
+    return Model(langs, rows, np.concatenate(logs))
 
 
 def predict(

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tarnwork.llm.common import Scratch, bits_of, mix64, texts_of, vote
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes hashed at a time.
 PART_BYTES = 1 << 20
 #: Windows per slice of the hash space, and cells in each row of its sketch.
