@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -34,7 +36,7 @@ from tarnwork.llm import files
 from tarnwork.llm.common import Scratch
 
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Documents encoded together.
 TOGETHER = 64
 
@@ -43,12 +45,13 @@ _TIED = re.compile(r" \s|\s ")
 
 
 class Encoder:
-    """Encodes texts with a tokenizer file, remembering the ids of frequent words.
+    """Encodes texts with a tokenizer file, remembering the ids of words.
 
     The pre-tokenizer of byte-level vocabularies never joins what stands before a single
     space to what follows it, so a text may be encoded word by word. Texts in which a
     space touches other white space are encoded whole, as are all texts when the
-    tokenizer is of another kind.
+    tokenizer is of another kind. Words not yet known are encoded many at a time, and the
+    ids are dealt out to them by their bytes, which the tokens cut up without rest.
     """
 
     def __init__(self, path: str):
@@ -57,41 +60,75 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
         kind = self.tokenizer.pre_tokenizer
         self.by_word = self.tokenizer.normalizer is None and (
             str(kind).replace(" ", "") == "ByteLevel(add_prefix_space=False,trim_offsets=True,use_regex=True)"
         )
         self.known: dict[str, bytes] = {}
+        if self.by_word:
+            # A byte-level token has a character per byte.
+            self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
+            self.known[""] = self._ids([" "])[0]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in made]
 
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of each word after a space."""
+        found = {w: self._ids([" " + w])[0] for w in words if w[-1].isspace()}
+        plain = [w for w in words if w not in found]
+        groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
+        made = self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)
+        for group, encoded in zip(groups, made):
+            ids = np.array(encoded.ids, self.dtype)
+            ends = np.cumsum([len(w.encode()) + 1 for w in group])
+            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+            raw, width = ids.tobytes(), ids.itemsize
+            cuts = (cuts * width).tolist()
+            found.update(zip(group, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
+        return found
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as bytes."""
         out: list = [None] * len(texts)
-        whole, split = [], {}
+        whole, split, missing = [], {}, set()
+        get = self.known.get
         for i, text in enumerate(texts):
             if not text:
                 out[i] = b""
             elif not self.by_word or _TIED.search(text):
                 whole.append(i)
             else:
-                split[i] = text.split(" ")
+                words = text.split(" ")
+                ids = list(map(get, words[1:]))
+                if None in ids:
+                    missing.update([w for w, x in zip(words[1:], ids) if x is None])
+                split[i] = words, ids
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        get = self.known.get
-        missing = list({w for words in split.values() for w in words[1:] if w not in self.known})
-        self.known.update(zip(missing, self._ids([" " + w for w in missing])))
-        firsts = self._ids([words[0] for words in split.values()])
-        for first, (i, words) in zip(firsts, split.items()):
-            out[i] = b"".join([first, *[get(w) for w in words[1:]]])
+        fresh = self._words(list(missing))
+        if len(self.known) < REMEMBERED:  # frequent words come early and stay
+            self.known.update(fresh)
+        firsts = self._ids([words[0] for words, _ in split.values()])
+        for first, (i, (words, ids)) in zip(firsts, split.items()):
+            if None in ids:
+                ids = [x if x is not None else fresh[w] for w, x in zip(words[1:], ids)]
+            out[i] = b"".join([first, *ids])
         return out
 
 
+def _encoder(path: str) -> Encoder:
+    """The encoder of this worker, which keeps what it knows from task to task."""
+    store = sys.modules.setdefault("_tarnwork_worker", types.ModuleType("_tarnwork_worker"))
+    held = store.__dict__.setdefault("encoders", {})
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 def _ordered(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     picked = docs.select(
         F.col(id_column).cast("long").alias("id"),
@@ -111,7 +148,7 @@ def _write_shards(ordered: DataFrame, folder: str, tokenizer: str, end_id: int)
             if not batch.num_rows:
                 continue
             if encoder is None:
-                encoder = Encoder(tokenizer)
+                encoder = _encoder(tokenizer)
                 end = np.array([end_id], encoder.dtype).tobytes()
                 out, lengths, names = files.create(f"{folder}/{shard}.ids"), [], []
                 nulls, first = 0, (batch.column("id")[0].as_py(), batch.column("tie")[0].as_py())
