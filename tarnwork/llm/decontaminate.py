@@ -27,6 +27,7 @@ and text are one document. An empty benchmark matches nothing.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,27 +87,35 @@ class Templates:
                 new[:n] = old[:n]
         self.kinds, self.hashes, self.ends = made
 
+    def _kind(self, word: str) -> tuple[int, str, str]:
+        """Kind, core and lower case of a word, by itself."""
+        core = word.strip(string.punctuation)
+        if not core.isalpha():
+            core = _EDGES.sub("", word)
+            amount = _IS_AMOUNT.match(core)
+            if not core:
+                return _NOTHING, core, core
+            if _IS_NUMBER.match(core):
+                return _NUMBER, core, core.lower()
+            if amount and amount[1].lower() in _UNITS:
+                return _AMOUNT, core, core.lower()
+        low = core.lower()
+        if low in _UNITS:
+            return _UNIT, core, low
+        if low != core and core[0].isupper() and len(core) > 1 and core[1:].islower():
+            return _NAME, core, low
+        return _LITERAL, core, low
+
     def _add(self, word: str) -> int:
-        core = _EDGES.sub("", word)
-        low, kind = core.lower(), _LITERAL
-        amount = _IS_AMOUNT.match(core)
-        if not core:
-            kind = _NOTHING
-        elif _IS_NUMBER.match(core):
-            kind = _NUMBER
-        elif amount and amount[1].lower() in _UNITS:
-            kind = _AMOUNT
-        elif low in _UNITS:
-            kind = _UNIT
-        elif core[0].isupper() and len(core) > 1 and core[1:].islower():
-            kind = _NAME
+        kind, core, low = self._kind(word)
         h = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"), 5)
         if kind == _NAME and len(self.common) and _in_bitmap(self.common, np.array([h], np.uint64))[0]:
             kind = _LITERAL
         self.known[word] = at = len(self.values)
         if at == len(self.kinds):
             self._room(2 * at)
-        self.kinds[at], self.hashes[at], self.ends[at] = kind, h, bool(_ENDS.search(word))
+        self.kinds[at], self.hashes[at] = kind, h
+        self.ends[at] = not word[-1].isalnum() and _ENDS.search(word) is not None
         self.values.append(core)
         return at
 
