@@ -23,7 +23,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +35,8 @@ from tarnwork.llm.common import Scratch
 LENGTHS = (5, 4, 3, 2, 1)
 #: Entries a counter holds before it is passed on.
 HELD = 300_000
-#: Vectors of unseen words a worker remembers.
-REMEMBERED = 200_000
+#: Words a task remembers; frequent ones come early.
+REMEMBERED = 500_000
 #: Added to every count.
 ALPHA = 0.5
 
@@ -108,6 +107,72 @@ def _count_grams(words: DataFrame) -> DataFrame:
     return words.mapInArrow(run, _COUNTS).groupBy("kind", "item", "lang").agg(F.sum("n").alias("n"))
 
 
+class Model:
+    """``rows`` places words (kind 0) and n-grams (kind: their length) in ``logs``, which has
+    a column per language."""
+
+    def __init__(self, langs: list[str], rows: dict[tuple[int, str], int], logs: np.ndarray):
+        self.langs, self.rows, self.logs = langs, rows, logs
+        self.items: dict[int, dict[str, int]] = {kind: {} for kind in (0, *LENGTHS)}
+        for (kind, item), at in rows.items():
+            self.items[kind][item] = at
+        #: Words seen so far and what an occurrence adds to each language.
+        self.place: dict[str, int] = {}
+        self.added = np.zeros((1024, len(langs)))
+
+    def _from_grams(self, word: str) -> list[int]:
+        for length in LENGTHS:
+            marked, get = f"<{word}>" if length > 1 else word, self.items[length].get
+            found = [get(marked[i : i + length]) for i in range(len(marked) - length + 1)]
+            if at := [i for i in found if i is not None]:
+                return at
+        return []
+
+    def _vectors(self, words: list[str]) -> np.ndarray:
+        """A row per word: its own log frequencies, or the mean of its n-grams'."""
+        get = self.items[0].get
+        found = [[i] if (i := get(w)) is not None else self._from_grams(w) for w in words]
+        sizes = np.array([len(x) for x in found])
+        out = np.zeros((len(words), len(self.langs)))
+        known = sizes > 0
+        if known.any():
+            flat = np.array([i for x in found for i in x])
+            starts = np.concatenate(([0], np.cumsum(sizes[known])[:-1]))
+            out[known] = np.add.reduceat(self.logs[flat], starts, axis=0) / sizes[known, None]
+        return out
+
+    def vector(self, word: str) -> np.ndarray:
+        return self._vectors([word])[0]
+
+    def _total(self, words: list[str]) -> np.ndarray:
+        """The sum over words; those met for the first time are worked out together."""
+        get = self.place.get
+        at = list(map(get, words))
+        rest = 0.0
+        if None in at:
+            times = Counter(w for w, i in zip(words, at) if i is None)
+            made = self._vectors(list(times))
+            rest = np.fromiter(times.values(), float, len(times)) @ made
+            at = [i for i in at if i is not None]
+            n = len(self.place)
+            if n < REMEMBERED:
+                if n + len(times) > len(self.added):
+                    grown = np.zeros((2 * (n + len(times)), len(self.langs)))
+                    grown[:n] = self.added[:n]
+                    self.added = grown
+                self.added[n : n + len(times)] = made
+                self.place.update(zip(times, range(n, n + len(times))))
+        return rest + (self.added[at].sum(axis=0) if at else 0.0)
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        words = words_of(text or "")
+        if not words or not self.langs:
+            return "und", 0.0
+        total = self._total(words)
+        best = int(total.argmax())
+        return self.langs[best], float(1 / np.exp(np.maximum(total - total[best], -700)).sum())
+
+
 def _most_frequent(items: DataFrame, most: int) -> pa.Table:
     """The most frequent of ``items (item, all, ...)``, ``most`` rows at most: whole classes
     of frequency, eight to the octave, as long as they fit, so that no order of all items is
@@ -124,43 +189,6 @@ def _most_frequent(items: DataFrame, most: int) -> pa.Table:
     return kept.drop("all").toArrow()
 
 
-@dataclass
-class Model:
-    langs: list[str]
-    rows: dict[tuple[int, str], int]
-    logs: np.ndarray
-    unseen: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
-
-    def vector(self, word: str) -> np.ndarray:
-        """What one occurrence of a word adds to each language."""
-        at = self.rows.get((0, word))
-        if at is not None:
-            return self.logs[at]
-        found = self.unseen.get(word)
-        if found is None:
-            found = self._from_grams(word)
-            if len(self.unseen) > REMEMBERED:
-                self.unseen.clear()
-            self.unseen[word] = found
-        return found
-
-    def _from_grams(self, word: str) -> np.ndarray:
-        for length in LENGTHS:
-            at = [i for g in grams_of(word, length) if (i := self.rows.get((length, g))) is not None]
-            if at:
-                return self.logs[at].mean(axis=0)
-        return np.zeros(len(self.langs))
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        counts = Counter(words_of(text or ""))
-        if not counts or not self.langs:
-            return "und", 0.0
-        weights = np.fromiter(counts.values(), np.float64, len(counts))
-        total = weights @ np.array([self.vector(w) for w in counts])
-        best = int(total.argmax())
-        return self.langs[best], float(1 / np.exp(np.maximum(total - total[best], -700)).sum())
-
-
 def learn(
     docs: DataFrame,
     spark: SparkSession,
