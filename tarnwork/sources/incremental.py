@@ -125,4 +125,5 @@ def read_loaded(spark: SparkSession, target: str) -> DataFrame | None:
     """All rows loaded so far with the columns of all batches; None before the first."""
     if not exists(spark, target):
         return None
-    return spark.read.option("mergeSchema", True).parquet(target).drop("batch")
+    # Folder names are no columns: a source may have a column of the same name.
+    return spark.read.options(mergeSchema=True, recursiveFileLookup=True).parquet(target)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tarnwork.operators.cdc import reduce_changes, scd1, scd2
 from tarnwork.sources.storage import exists, list_names
@@ -42,22 +43,30 @@ def apply_changes(
 
 def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
     found = [n for n in list_names(spark, path) if n.startswith(prefix)]
-    return sorted(
-        int(n.removeprefix(prefix)) for n in found if exists(spark, f"{path}/{n}/_SUCCESS")
-    )
+    return sorted(int(n.removeprefix(prefix)) for n in found)
 
 
-def stored_changes(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
-    """Newest base and the batches after it, and the number of the last batch."""
-    bases = _numbers(spark, f"{path}/base", "upto=")
+def stored_changes(
+    spark: SparkSession, path: str, schema: StructType | str | None = None
+) -> tuple[DataFrame, int]:
+    """Newest base and the batches after it, and the number of the last batch. Before
+    anything has been stored, an empty table of ``schema``. A batch without its success
+    marker is an error, never left out: its changes would be lost in silence."""
+    bases = [b for b in _numbers(spark, f"{path}/base", "upto=") if exists(spark, f"{path}/base/upto={b}/_SUCCESS")]
     upto = bases[-1] if bases else -1
     batches = [b for b in _numbers(spark, f"{path}/log", "batch=") if b > upto]
     dirs = [f"{path}/base/upto={upto}"] if bases else []
     dirs += [f"{path}/log/batch={b}" for b in batches]
+    unfinished = [b for b in batches if not exists(spark, f"{path}/log/batch={b}/_SUCCESS")]
+    if unfinished:
+        raise RuntimeError(f"batches {unfinished} at {path} have no success marker")
+    if not dirs and schema is not None:
+        return spark.createDataFrame([], schema), -1
     if not dirs:
         raise FileNotFoundError(f"no changes have been stored at {path}")
-    rows = spark.read.option("mergeSchema", True).parquet(*dirs)
-    return rows.drop("batch", "upto"), (batches[-1] if batches else upto)
+    # Folder names are no columns: a source may have a column of the same name.
+    rows = spark.read.options(mergeSchema=True, recursiveFileLookup=True).parquet(*dirs)
+    return rows, (batches[-1] if batches else upto)
 
 
 def compact_changes(
@@ -86,8 +95,9 @@ def read_scd1(
     delete_when: str | None = None,
     truncate_when: str | None = None,
     except_cols: Sequence[str] = (),
+    schema: StructType | str | None = None,
 ) -> DataFrame:
-    rows, _ = stored_changes(spark, path)
+    rows, _ = stored_changes(spark, path, schema)
     return scd1(rows, keys, seq, delete_when, truncate_when, except_cols)
 
 
@@ -98,6 +108,7 @@ def read_scd2(
     seq: str,
     except_cols: Sequence[str] = (),
     delete_when: str | None = None,
+    schema: StructType | str | None = None,
 ) -> DataFrame:
-    rows, _ = stored_changes(spark, path)
+    rows, _ = stored_changes(spark, path, schema)
     return scd2(rows, keys, seq, except_cols, delete_when)

@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tarnwork.sources.storage import exists
+
 
 def append_stream(
     src: DataFrame, target: str, checkpoint: str, path: str | None = None
@@ -45,7 +49,19 @@ def append_flows(target: str, flows: Mapping[str, DataFrame], checkpoints: str)
         query.awaitTermination()
 
 
-def read_flows(spark: SparkSession, target: str, tagged: bool = False) -> DataFrame:
-    """The union of all flows; ``tagged`` keeps the flow's name."""
-    rows = spark.read.option("mergeSchema", True).parquet(target).drop("batch")
-    return rows if tagged else rows.drop("flow")
+def read_flows(
+    spark: SparkSession, target: str, tagged: bool = False, schema: StructType | str | None = None
+) -> DataFrame:
+    """The union of all flows; ``tagged`` adds the flow's name as column ``flow``. Before
+    anything has arrived, an empty table of ``schema``."""
+    if schema is not None and not exists(spark, target):
+        rows = spark.createDataFrame([], schema)
+        return rows.withColumn("flow", F.lit(None).cast("string")) if tagged else rows
+    # Folder names are no columns: a source may have a column of the same name.
+    rows = spark.read.options(mergeSchema=True, recursiveFileLookup=True).parquet(target)
+    if not tagged:
+        return rows
+    if "flow" in rows.columns:
+        raise ValueError("the table has a column flow of its own")
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"/flow=([^/]+)/batch=", 1)
+    return rows.withColumn("flow", F.url_decode(name))

@@ -264,3 +264,36 @@ def test_shared_folder_is_read_from_the_session(spark):
     assert shared == (named.rstrip("/") if named else spark.sparkContext.getCheckpointDir())
     one, two = storage.scratch_dir(spark, "x"), storage.scratch_dir(spark, "x")
     assert one != two and one.startswith(shared)
+
+
+# -- names of storage folders as columns -------------------------------------------------
+
+
+def test_columns_named_like_folders_are_kept(spark, tmp_path):
+    df = spark.createDataFrame([(1, "b", "f", "u")], "id int, batch string, flow string, upto string")
+    src = str(tmp_path / "src")
+    df.write.parquet(src)
+    stream = lambda: spark.readStream.schema(df.schema).parquet(src)
+    target = str(tmp_path / "t")
+    flows.append_flows(target, {"x": stream()}, str(tmp_path / "c"))
+    assert flows.read_flows(spark, target).select(*df.columns).collect() == df.collect()
+    with pytest.raises(ValueError):
+        flows.read_flows(spark, target, tagged=True)
+    path = str(tmp_path / "log")
+    changes.apply_changes(stream(), path, str(tmp_path / "c2"), ["id"], "upto", 1).awaitTermination()
+    changes.compact_changes(spark, path, ["id"], "upto", 1)
+    assert changes.read_scd1(spark, path, ["id"], "upto").select(*df.columns).collect() == df.collect()
+
+
+def test_stores_before_anything_arrived(spark, tmp_path):
+    path = str(tmp_path / "none")
+    assert flows.read_flows(spark, path, schema="id int").count() == 0
+    assert changes.read_scd1(spark, path, ["id"], "n", schema="id int, n int").count() == 0
+
+
+def test_a_batch_without_marker_is_an_error(spark, tmp_path):
+    path = str(tmp_path / "log")
+    spark.range(1).selectExpr("id", "id AS n").write.parquet(f"{path}/log/batch=0")
+    (tmp_path / "log" / "log" / "batch=0" / "_SUCCESS").unlink()
+    with pytest.raises(RuntimeError, match="marker"):
+        changes.read_scd1(spark, path, ["id"], "n")
