@@ -112,9 +112,15 @@ def salted_join(
 
     The salt mixes the row's hash with the number of its input task. Equal rows
     from different tasks are spread too, and a repeated task draws the same salts.
+    Dimension rows without facts, which right and full joins keep, are found on the
+    plain dimension, where each stands once.
     """
-    salt = F.pmod(row_hash(fact) + F.spark_partition_id(), F.lit(n_salts)).cast("int")
-    salted = fact.withColumn("__salt", salt)
+    if how in ("right", "full"):
+        matched = salted_join(fact, dim, key, n_salts, "inner" if how == "right" else "left")
+        alone = dim.join(fact.select(key).distinct(), key, "left_anti")
+        return matched.unionByName(alone, allowMissingColumns=True)
+    spread = F.pmod(row_hash(fact), F.lit(n_salts)) + F.spark_partition_id()
+    salted = fact.withColumn("__salt", F.pmod(spread, F.lit(n_salts)).cast("int"))
     repeated = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))))
     return salted.join(repeated, [key, "__salt"], how).drop("__salt")
 
