@@ -24,7 +24,6 @@ from tarnwork.operators.window import (
 _START = Window.unboundedPreceding
 
 # Names of the parts of a day.
-_DAY_PARTS = ("Morning", "Early Afternoon", "Late Afternoon")
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -352,15 +351,12 @@ def latest_change(
     )
 
 
-def busiest_buckets(df: DataFrame, ts: str, n: int) -> DataFrame:
-    """Weekday by day part counts, ranks 1..n. Hour 12 and hours from 15 on are
-    'Late Afternoon'."""
-    hour = F.hour(ts)
-    morning, early, late = _DAY_PARTS
-    part = F.when(hour < 12, morning).when((hour > 12) & (hour < 15), early).otherwise(late)
-    counts = (
-        df.select(F.date_format(ts, "EEEE").alias("day_of_week"), part.alias("time_of_day"))
-        .groupBy("day_of_week", "time_of_day")
-        .agg(F.count(F.lit(1)).alias("event_count"))
-    )
-    return top_ranked(counts, ["-event_count"], n)
+def busiest_buckets(df: DataFrame, ts: str, bands: Sequence[tuple[int, str]], n: int) -> DataFrame:
+    """Event counts by weekday and hour band, ranks 1..n. ``bands`` gives the first hour of
+    each band and its name; hours before the first band belong to the last one."""
+    ordered = sorted(bands)
+    band = F.lit(ordered[-1][1])
+    for hour, name in ordered:
+        band = F.when(F.hour(ts) >= hour, name).otherwise(band)
+    seen = df.select(F.date_format(ts, "EEEE").alias("weekday"), band.alias("band"))
+    return top_ranked(seen.groupBy("weekday", "band").agg(F.count(F.lit(1)).alias("events")), ["-events"], n)

@@ -20,15 +20,13 @@ def _orders_by_customer(spark, d):
        FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2"""
 )
 def customer_order_profile(spark, d):
-    o = table(spark, d, "orders")
-    totals = agg.group(
-        o, ["o_custkey"], {"order_count": F.count("o_orderkey"), "total_price": F.sum("o_totalprice")}
-    )
-    last = window.latest(
-        o.select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"], ["o_orderdate", "o_orderkey"]
+    # One aggregate, combined before its shuffle; the latest order is the largest pair.
+    last = F.max(F.struct("o_orderdate", "o_orderkey"))["o_orderkey"]
+    profile = agg.group(
+        table(spark, d, "orders"),
+        ["o_custkey"],
+        {"order_count": F.count("o_orderkey"), "total_price": F.sum("o_totalprice"), "latest_order": last},
     )
-    last = project.rename(last.drop("o_orderdate"), {"o_orderkey": "latest_order"})
-    profile = joins.join(totals, last, "o_custkey")
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     return joins.join(c, profile, {"c_custkey": "o_custkey"}, "left").select(
         "c_custkey",
@@ -167,6 +165,28 @@ def salted_join_customer(spark, d):
     return joins.salted_join(o, c, "o_custkey", 4)
 
 
+def _salted(spark, d, how):
+    """Orders of the first customers against the dimension of all customers."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey").where("o_custkey % 3 = 0 OR o_orderkey % 7 = 0")
+    c = table(spark, d, "customer").where("c_acctbal > 0")
+    return joins.salted_join(o, c.select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey", 4, how)
+
+
+_SALTED = """SELECT o_orderkey, o_custkey, c_name
+    FROM (SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 3 = 0 OR o_orderkey % 7 = 0)
+    {} JOIN (SELECT c_custkey AS o_custkey, c_name FROM customer WHERE c_acctbal > 0) USING (o_custkey)"""
+
+
+@query(_SALTED.format("RIGHT"))
+def salted_join_right(spark, d):
+    return _salted(spark, d, "right")
+
+
+@query(_SALTED.format("FULL"))
+def salted_join_full(spark, d):
+    return _salted(spark, d, "full")
+
+
 @query(
     """WITH n AS (SELECT c_custkey, c_name, CASE WHEN c_custkey > 0 THEN c_custkey // 10 END AS parent FROM customer)
        SELECT a.c_custkey, a.c_name, a.parent, b.c_name AS parent_name
@@ -200,34 +220,30 @@ def first_or_last_by_theta_join(spark, d):
 
 
 @query(
-    """SELECT p_partkey, p_retailprice, CASE WHEN p_retailprice < 925 THEN 'Low'
-         WHEN p_retailprice > 925 AND p_retailprice < 975 THEN 'Medium' ELSE 'High' END AS price_category
-       FROM part"""
+    """SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN 'in debt' WHEN s_acctbal < 1000 THEN 'little credit'
+         WHEN s_acctbal < 8000 THEN 'usual' ELSE 'rich' END AS standing FROM supplier"""
 )
 def label_price_band(spark, d):
-    p = project.select(table(spark, d, "part"), ["p_partkey", "p_retailprice"])
-    price = F.col("p_retailprice")
-    return project.label(
-        p, "price_category", [(price < 925, "Low"), ((price > 925) & (price < 975), "Medium")], "High"
-    )
+    """Account standing of suppliers, by the first bound that holds."""
+    bounds = [(0, "in debt"), (1000, "little credit"), (8000, "usual")]
+    branches = [(F.col("s_acctbal") < bound, name) for bound, name in bounds]
+    return project.label(table(spark, d, "supplier"), "standing", branches, "rich").select("s_suppkey", "standing")
 
 
 @query(
-    """SELECT p_partkey, CASE WHEN p_retailprice >= 950 AND p_size > 25 THEN 'Excellent'
-         WHEN p_retailprice BETWEEN 920 AND 950 THEN 'Good'
-         WHEN p_retailprice < 920 THEN 'Needs Improvement' ELSE 'Not Rated' END AS label FROM part"""
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' AND l_discount = 0 THEN 'returned at full price'
+         WHEN l_returnflag = 'R' THEN 'returned' WHEN l_quantity > 45 THEN 'bulk' ELSE 'plain' END AS handling
+       FROM lineitem"""
 )
 def label_mixed_rules(spark, d):
-    return project.label(
-        table(spark, d, "part").select("p_partkey", "p_retailprice", "p_size"),
-        "label",
-        [
-            ("p_retailprice >= 950 AND p_size > 25", "Excellent"),
-            ("p_retailprice BETWEEN 920 AND 950", "Good"),
-            ("p_retailprice < 920", "Needs Improvement"),
-        ],
-        "Not Rated",
-    ).select("p_partkey", "label")
+    """Handling of order lines, from columns of several kinds."""
+    rules = [
+        ("l_returnflag = 'R' AND l_discount = 0", "returned at full price"),
+        ("l_returnflag = 'R'", "returned"),
+        ("l_quantity > 45", "bulk"),
+    ]
+    lines = project.label(table(spark, d, "lineitem"), "handling", rules, "plain")
+    return lines.select("l_orderkey", "l_linenumber", "handling")
 
 
 @query(

@@ -201,10 +201,12 @@ def latest_change(spark, d):
 
 
 @query(
-    """WITH c AS (SELECT strftime(ts, '%A') AS day_of_week, CASE WHEN hour(ts) < 12 THEN 'Morning'
-                    WHEN hour(ts) > 12 AND hour(ts) < 15 THEN 'Early Afternoon' ELSE 'Late Afternoon' END AS time_of_day,
-                    count(*) AS event_count FROM events GROUP BY 1, 2)
-       SELECT * FROM (SELECT *, rank() OVER (ORDER BY event_count DESC)::INT AS rank FROM c) WHERE rank <= 5"""
+    """WITH c AS (SELECT strftime(ts, '%A') AS weekday,
+         CASE WHEN hour(ts) BETWEEN 5 AND 10 THEN 'breakfast' WHEN hour(ts) BETWEEN 11 AND 13 THEN 'lunch'
+              WHEN hour(ts) BETWEEN 14 AND 19 THEN 'coffee and dinner' ELSE 'night' END AS band,
+         count(*) AS events FROM events GROUP BY 1, 2)
+       SELECT * FROM (SELECT *, rank() OVER (ORDER BY events DESC)::INT AS rank FROM c) WHERE rank <= 5"""
 )
 def busiest_weekday_daypart(spark, d):
-    return ts.busiest_buckets(table(spark, d, "events"), "ts", 5)
+    bands = [(5, "breakfast"), (11, "lunch"), (14, "coffee and dinner"), (20, "night")]
+    return ts.busiest_buckets(table(spark, d, "events"), "ts", bands, 5)

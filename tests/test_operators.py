@@ -66,34 +66,10 @@ def test_nested_fields_two_spellings(spark, rows):
     assert rows(by_dots) == rows(by_index) == [(1, "Graz", "ST"), (2, "Linz", None)]
 
 
-def test_label_edges(spark, rows):
-    df = spark.createDataFrame([(99,), (100,), (101,), (499,), (500,), (None,)], "price int")
-    price = F.col("price")
-    out = project.label(df, "band", [(price < 100, "Low"), ((price > 100) & (price < 500), "Medium")], "High")
-    assert dict(out.collect()) == {
-        99: "Low", 100: "High", 101: "Medium", 499: "Medium", 500: "High", None: "High",
-    }
-
-
-def test_rating_label_edges(spark):
-    df = spark.createDataFrame(
-        [("a", 4.6, 2000), ("b", 4.6, 900), ("c", 4.5, 2000), ("d", 4.5, 10), ("e", 3.5, 1), ("f", 3.4, 1), ("g", None, 9)],
-        "id string, rating double, orders int",
-    )
-    out = project.label(
-        df,
-        "label",
-        [
-            ("rating >= 4.5 AND orders > 1000", "Excellent"),
-            ("rating BETWEEN 3.5 AND 4.5", "Good"),
-            ("rating < 3.5", "Needs Improvement"),
-        ],
-        "Not Rated",
-    )
-    assert {r["id"]: r["label"] for r in out.collect()} == {
-        "a": "Excellent", "b": "Not Rated", "c": "Excellent", "d": "Good",
-        "e": "Good", "f": "Needs Improvement", "g": "Not Rated",
-    }
+def test_label_takes_the_first_branch_that_holds(spark):
+    df = spark.createDataFrame([(-1,), (0,), (7,), (8,), (None,)], "n int")
+    out = project.label(df, "sign", [(F.col("n") < 0, "minus"), ("n < 8", "few"), ("n IS NULL", "none")], "many")
+    assert dict(out.collect()) == {-1: "minus", 0: "few", 7: "few", 8: "many", None: "none"}
 
 
 def test_filters(spark, rows):
@@ -146,7 +122,7 @@ def test_salted_join_equals_plain_join(spark, rows):
         [(7, i % 3, 1.0) for i in range(50)] + [(1, 0, 2.0), (9, 0, 3.0), (None, 0, 4.0)], "k int, p int, v double"
     ).repartition(4)
     dim = spark.createDataFrame([(7, "seven"), (1, "one"), (2, "two")], "k int, name string")
-    for how in ("left", "inner"):
+    for how in ("left", "inner", "right", "full", "left_semi", "left_anti"):
         assert rows(joins.salted_join(fact, dim, "k", 4, how)) == rows(fact.join(dim, "k", how))
 
 
@@ -388,10 +364,12 @@ def test_latest_change_and_edges(spark, rows):
     assert rows(timeseries.first_and_last(df, "c", "d"), "c", "a") == [(1, 10), (1, 30), (2, 7)]
 
 
-def test_busiest_buckets_hour_twelve(spark):
-    df = spark.createDataFrame([(TS(2024, 12, 16, h),) for h in (9, 12, 12, 14, 15)], "ts timestamp_ntz")
-    got = {r["time_of_day"]: (r["day_of_week"], r["event_count"], r["rank"]) for r in timeseries.busiest_buckets(df, "ts", 2).collect()}
-    assert got == {"Late Afternoon": ("Monday", 3, 1), "Morning": ("Monday", 1, 2), "Early Afternoon": ("Monday", 1, 2)}
+def test_busiest_buckets_of_own_bands(spark):
+    df = spark.createDataFrame([(TS(2024, 12, 16, h),) for h in (3, 4, 9, 23, 12)], "ts timestamp_ntz")
+    got = timeseries.busiest_buckets(df, "ts", [(12, "late"), (5, "early"), (22, "night")], 2)
+    assert sorted(map(tuple, got.select("weekday", "band", "events", "rank").collect())) == [
+        ("Monday", "early", 1, 2), ("Monday", "late", 1, 2), ("Monday", "night", 3, 1),
+    ]
 
 
 # -- missing values ---------------------------------------------------------------------------
