@@ -35,7 +35,9 @@ from tarnwork.llm.common import Scratch
 CANDIDATES = 16384
 QUERIES = 1024
 #: Pairs looked at together.
-PAIRS = 1 << 21
+PAIRS = 1 << 19
+#: Pairs gathered together when few of them are left.
+GATHERED = 1 << 15
 #: Numbers of segments, coarse to fine.
 LEVELS = (2, 8, 32)
 
@@ -97,13 +99,23 @@ def segments(x: np.ndarray, count: int) -> np.ndarray:
     return np.concatenate((mean * np.sqrt(length), left), axis=1)
 
 
-def exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of rows ``a[i]`` and ``b[i]`` as longs."""
+def _products(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of rows ``a[i]`` and ``b[j]``: all at once when many pairs are asked
+    for, else gathered in parts."""
+    if 10 * len(i) > len(a) * len(b):
+        return (a @ b.T)[i, j]
+    parts = [slice(k, k + GATHERED) for k in range(0, len(i), GATHERED)]
+    return np.concatenate([np.zeros(0), *[np.einsum("ij,ij->i", a[i[p]], b[j[p]]) for p in parts]])
+
+
+def exact_scores(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of rows ``a[i]`` and ``b[j]`` as longs."""
     top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
-    if top < 2.0**53:
-        return np.einsum("ij,ij->i", a, b).astype(np.int64)
+    if top < 2.0**53:  # every partial sum is an integer that a double holds exactly
+        return _products(a, b, i, j).astype(np.int64)
     low, high = -(2**63), 2**63 - 1
-    sums = [sum(int(x) * int(y) for x, y in zip(p, q)) for p, q in zip(a.tolist(), b.tolist())]
+    rows_a, rows_b = a.tolist(), b.tolist()
+    sums = [sum(int(x) * int(y) for x, y in zip(rows_a[p], rows_b[q])) for p, q in zip(i.tolist(), j.tolist())]
     return np.array([min(max(s, low), high) for s in sums], np.int64)
 
 
@@ -129,8 +141,8 @@ def best_of_block(
         # A first threshold from the candidates that look best.
         seeds = min(len(c), 4 * k)
         first = np.argpartition(np.nan_to_num(-bound, nan=-np.inf), seeds - 1, axis=1)[:, :seeds]
-        i, j = np.repeat(rows, seeds), first.ravel()
-        known = exact_scores(q[i], c[j]).astype(np.float64).reshape(len(rows), seeds)
+        i, j = np.repeat(np.arange(len(rows)), seeds), first.ravel()
+        known = exact_scores(q[rows], c, i, j).astype(np.float64).reshape(len(rows), seeds)
         known[np.take_along_axis(own, first, 1)] = -np.inf
         least = np.sort(known, axis=1)[:, -k] if seeds >= k else np.full(len(rows), -np.inf)
         with np.errstate(all="ignore"):
@@ -138,10 +150,10 @@ def best_of_block(
             i, j = np.nonzero(~(bound + margin < least[:, None]) & ~own)
         for own_q, own_c in stats[1:]:
             with np.errstate(all="ignore"):
-                finer = np.einsum("ij,ij->i", own_q[rows[i]], own_c[j])
+                finer = _products(own_q[rows], own_c, i, j)
                 stay = ~(finer + 1 + 1e-9 * norm_q[rows[i]] * norm_c[j] < least[i])
             i, j = i[stay], j[stay]
-        score = exact_scores(q[rows[i]], c[j])
+        score = exact_scores(q[rows], c, i, j)
         order = np.lexsort((cid[j], -score.astype(object) if (score == -(2**63)).any() else -score, i))
         i, j, score = i[order], j[order], score[order]
         place = np.arange(len(i)) - np.searchsorted(i, i)
