@@ -52,13 +52,16 @@ def first_line(spark: SparkSession, path: str) -> str | None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session. Where the session names none, as in
-    local tests, a fresh temporary folder is made and used as checkpoint folder."""
+    """The shared folder named by the session. Only a local session that names none, as
+    in tests, gets a temporary folder; on a cluster executors would not share it."""
     named = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF)
     if named:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set {_CONF} to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tarnwork-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
