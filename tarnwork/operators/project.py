@@ -62,7 +62,10 @@ def label(
     branches: Sequence[tuple[Column | str, str]],
     default: str | None = None,
 ) -> DataFrame:
-    """First matching branch wins; a NULL predicate does not match."""
+    """First matching branch wins; a NULL predicate does not match. Without branches every
+    row gets the default."""
+    if not branches:
+        return df.withColumn(out, F.lit(default))
     case = F
     for pred, text in branches:
         case = case.when(F.expr(pred) if isinstance(pred, str) else pred, F.lit(text))

@@ -70,6 +70,7 @@ def test_label_takes_the_first_branch_that_holds(spark):
     df = spark.createDataFrame([(-1,), (0,), (7,), (8,), (None,)], "n int")
     out = project.label(df, "sign", [(F.col("n") < 0, "minus"), ("n < 8", "few"), ("n IS NULL", "none")], "many")
     assert dict(out.collect()) == {-1: "minus", 0: "few", 7: "few", 8: "many", None: "none"}
+    assert {r["sign"] for r in project.label(df, "sign", [], "all").collect()} == {"all"}
 
 
 def test_filters(spark, rows):
