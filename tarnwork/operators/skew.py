@@ -2,8 +2,7 @@
 
 A window partitioned by key sends every row of a key to one task. When a few
 keys own most of the table that task is the job. The functions here cut the
-rows of such *hot* keys into slices along the first sort column (along the second,
-per value of the first, where the first has few values), evaluate the window
+rows of such *hot* keys into slices of about equal size, evaluate the window
 inside each ``(key, slice)``, and repair what crosses a slice border:
 
 * ``bounded_window`` - frames that look a fixed number of rows back or ahead
@@ -14,16 +13,23 @@ inside each ``(key, slice)``, and repair what crosses a slice border:
   slices are added to the rows.
 
 Which keys are hot, and where they are cut, is read from a sample: the rows whose
-hash of key and sort columns falls into one residue class. The sample decides
-speed only; every row goes through the window whatever the sample holds. It is a
-function of the row's values, so a task that is repeated after a lost executor
+hash falls into one residue class. The sampled rows of a hot key are sorted as the
+window sorts them, and every ``DEPTH``-th is the first row of a slice. A row's slice
+is the number of these bounds that do not come after it, by the comparison of the
+window itself, so slices are right for every type that can be sorted. The sample
+decides speed only; every row goes through the window whatever the sample holds. It
+is a function of the rows' values, so a task that is repeated after a lost executor
 cuts exactly the same slices, and all branches of a plan agree on them.
 
-Size of what is broadcast: a key is hot when its estimated count exceeds
-``hot_rows``, so there are about ``total / hot_rows`` hot keys at most, and a key
-has at most some 20 slices per ``hot_rows / SLICES_PER_UNIT`` rows, usually one.
-With the defaults a table of 1e12 rows gives at most 50,000 hot keys and some
-200,000 short carry rows, tens of megabytes.
+Rows that are equal in the sort columns come in the order of their hash, in cut and
+plain windows alike; rows equal in all columns are interchangeable. Where peers share
+one result (ranks, RANGE frames) they also share a slice.
+
+Size of what is broadcast: the sample is thinned until it holds some ``SAMPLE_ROWS``
+rows whatever the size of the table, and rows with sort values of over ``WIDE``
+characters are no bounds. With the default ``hot_rows`` that is about 5,000 hot keys,
+31,000 bounds and 36,000 rows of slice totals at most. In a table so large that the
+sample is thinned, keys of more than a 5,000th of all rows are cut.
 """
 
 from __future__ import annotations
@@ -32,7 +38,6 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tarnwork.functions.scalars import row_hash, sort_columns
@@ -40,57 +45,25 @@ from tarnwork.functions.scalars import row_hash, sort_columns
 #: Keys with more rows than this are cut into slices.
 HOT_ROWS = 20_000_000
 #: Slices cut per ``hot_rows`` rows of a hot key.
-SLICES_PER_UNIT = 4
-
-#: A row takes more than this many bytes in any file format, so an input planned
-#: below ``hot_rows`` times it cannot hold a hot key and is not cut at all.
-MIN_ROW_BYTES = 3
-#: At most one row in this many is looked at to find the hot keys.
-MAX_SAMPLE_STEP = 64
+SLICES_PER_UNIT = 8
+#: Sampled rows of a slice.
+DEPTH = 32
+#: About the most rows of the sample, however large the table.
+SAMPLE_ROWS = 1_000_000
+#: Sampled rows with longer sort values, as text, are no bounds.
+WIDE = 512
+#: The bounds of a key are searched by halves; this many halvings cover any sample.
+HALVINGS = 22
 
 #: Largest side that may be broadcast on request.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-HOT = "__hot"
-SLICE, TIED, SUB = "__slice", "__tied", "__sub"
-#: A slice is named by these: its number along the first sort column or, where that
-#: has few values, the value and a number along the second column.
-CUT = [SLICE, TIED, SUB]
+HOT, SLICE, TIE = "__hot", "__slice", "__tie"
 
 Build = Callable[[WindowSpec], Mapping[str, Column]]
 
 
-def position(df: DataFrame, name: str) -> Column:
-    """A double that never decreases when the sort column increases.
-
-    Equal positions for different values only make a slice coarser. Values with
-    no finite position (NULL, NaN, infinities) give NULL.
-    """
-    dtype = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dtype, (T.TimestampType,)):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        # Field by field, so that the session time zone plays no part.
-        days = F.unix_date(c.cast("date")).cast("double")
-        return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.BooleanType):
-        return c.cast("int").cast("double")
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        d = c.cast("double")
-        return F.when(F.isnan(d) | (F.abs(d) == float("inf")), None).otherwise(d)
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    if isinstance(dtype, T.StringType):
-        # Byte order of the first seven bytes equals the order of the strings.
-        prefix = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(prefix, 16, 10).cast("double")
-    raise TypeError(f"cannot slice along a column of type {dtype.simpleString()}")
-
-
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
@@ -127,97 +100,103 @@ def attach(
     return df.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def may_hold_hot_keys(df: DataFrame, hot_rows: int) -> bool:
-    """Judge by the planner's size estimate, without running anything. Estimates
-    only ever shrink where rows are multiplied in place, so such plans, like those
-    of unknown size, count as large."""
-    if getattr(df, "_jdf", None) is None:  # a remote session shows no plan
-        return True
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if "Generate " in plan.toString() or "Expand " in plan.toString():
-        return True
-    return int(str(plan.stats().sizeInBytes())) >= hot_rows * MIN_ROW_BYTES
-
-
-def _number(df: DataFrame, name: str, pos: str, lo: str, hi: str, count: Column) -> Column:
-    """Slice number 1..count of a value; 0 and count + 1 for values without position."""
-    share = (F.col(pos) - F.col(lo)) / (F.col(hi) - F.col(lo))
-    cut = 1 + F.greatest(F.lit(0), F.least(F.floor(share * count), count - 1))
-    largest = F.lit(False)
-    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
-        largest = F.col(name) > 0  # true for +inf and for NaN
-    return (
-        F.when(F.col(pos).isNull() & largest, count + 1)
-        .when(F.col(pos).isNull(), 0)
-        .when(F.col(hi) > F.col(lo), cut)
-        .otherwise(1)
+def tie_column(order: Sequence[str]) -> str:
+    """The row hash as a sort column, in the direction of the last one."""
+    return "-" + TIE if order[-1].startswith("-") else TIE
+
+
+def _runs(order: Sequence[str]) -> list[tuple[bool, list[str]]]:
+    """Sort columns in runs of one direction: (descending, names)."""
+    runs: list[tuple[bool, list[str]]] = []
+    for o in order:
+        down = o.startswith("-")
+        if not runs or runs[-1][0] != down:
+            runs.append((down, []))
+        runs[-1][1].append(o[1:] if down else o)
+    return runs
+
+
+def _position(order: Sequence[str]) -> Column:
+    """A row's place in the sort order: one struct for each run of a direction.
+    Structs are never NULL and count a NULL field as the smallest value."""
+    fields = [F.struct(*names).alias(f"r{i}") for i, (_, names) in enumerate(_runs(order))]
+    return F.struct(*fields)
+
+
+def _comes_before(a: Column, b: Column, order: Sequence[str]) -> Column:
+    """Whether position ``a`` sorts strictly before position ``b``."""
+    before = F.lit(False)
+    for i, (down, _) in reversed(list(enumerate(_runs(order)))):
+        x, y = a[f"r{i}"], b[f"r{i}"]
+        before = (x > y if down else x < y) | ((x == y) & before)
+    return before
+
+
+def _sorted(positions: Column, order: Sequence[str]) -> Column:
+    runs = _runs(order)
+    if len(runs) == 1:
+        return F.sort_array(positions, asc=not runs[0][0])
+    return F.array_sort(
+        positions,
+        lambda a, b: F.when(_comes_before(a, b, order), -1)
+        .when(_comes_before(b, a, order), 1)
+        .otherwise(0),
     )
 
 
 def slice_hot_keys(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    hot_rows: int,
+    peers: bool = False,
 ) -> DataFrame:
-    """Add ``__hot`` and the columns of ``CUT``. Cold keys are one slice. In a hot
-    key, slices ascend along the first sort column: values without a position come
-    in slice 0 (NULL, -inf: smallest) or in the last slice (inf, NaN: largest).
-    Where the first column has few values, each value is cut along the second."""
-    columns = [o.lstrip("-") for o in order]
-    first, second = columns[0], columns[1] if len(columns) > 1 else None
-    base = df.withColumn("__pos", position(df, first))
-    if second:
-        base = base.withColumn("__pos2", position(df, second))
-    # Enough of a hot key is seen to estimate it well: some 10,000 rows or more.
-    step = max(1, min(MAX_SAMPLE_STEP, hot_rows // 10_000))
-    seen = base
-    if step > 1:
-        seen = base.where(F.pmod(F.xxhash64(*keys, *columns), F.lit(step)) == 0)
-    aggs = {
-        "__n": F.count(F.lit(1)) * step,
-        "__lo": F.min("__pos"),
-        "__hi": F.max("__pos"),
-    }
-    if second:
-        aggs |= {
-            "__values": F.greatest(F.approx_count_distinct(first), F.lit(1)),
-            "__lo2": F.min("__pos2"),
-            "__hi2": F.max("__pos2"),
-        }
-    stats = (
-        seen.groupBy(*keys)
-        .agg(*[c.alias(n) for n, c in aggs.items()])
-        .where(F.col("__n") > hot_rows)
+    """Add ``__hot``, ``__slice`` and ``__tie``, the row's hash. Slices of a key ascend
+    in the order of its rows, ties by hash; cold keys are one slice. With ``peers`` rows
+    equal in all sort columns share a slice."""
+    place = list(order) if peers else [*order, tie_column(order)]
+    depth = max(1, min(DEPTH, hot_rows // SLICES_PER_UNIT))
+    step = max(1, hot_rows // (SLICES_PER_UNIT * depth))
+    base = df.withColumn(TIE, row_hash(df))
+    at = base.withColumn("__at", _position(place))
+
+    # The size of the table comes as a scalar subquery, which reads no column.
+    thin = F.ceil(df.agg(F.count(F.lit(1)).alias("n")).scalar() / F.lit(SAMPLE_ROWS))
+    step_used = F.greatest(F.lit(step), thin)
+    bounds = (
+        at.where(F.pmod(F.col(TIE), step_used) == 0)
+        .where(F.length(F.col("__at").cast("string")) <= WIDE)
+        .select(*keys, "__at", TIE)
+        .distinct()
+        .groupBy(*keys)
+        .agg(F.collect_list("__at").alias("__bounds"))
+        # A quarter less than hot_rows, three deviations of the estimate: none is missed.
+        .where(F.size("__bounds") * F.lit(4 * step) > 3 * hot_rows)
+        .withColumn(
+            "__bounds",
+            F.filter(_sorted(F.col("__bounds"), place), lambda _, i: (i > 0) & (i % depth == 0)),
+        )
     )
-    hot = F.col("__n").isNotNull()
-    slices = F.ceil(F.col("__n") / F.lit(hot_rows)) * SLICES_PER_UNIT
-    number = _number(df, first, "__pos", "__lo", "__hi", slices)
-    few, tied, part = F.lit(False), F.lit(None), F.lit(0)
-    if second:
-        few = F.col("__values") < slices * 4
-        tied = F.col(first)
-        per_value = F.ceil(slices / F.col("__values")) * 4
-        part = _number(df, second, "__pos2", "__lo2", "__hi2", per_value)
+
+    def search(found: Column, half: Column) -> Column:
+        bound = F.get("__bounds", (found + half - 1).cast("int"))
+        reached = bound.isNotNull() & ~_comes_before(F.col("__at"), bound, place)
+        return F.when(reached, found + half).otherwise(found)
+
+    halves = F.array(*[F.lit(2**i) for i in reversed(range(HALVINGS))])
+    number = F.aggregate(halves, F.lit(0), search)
     return (
-        attach(base, F.broadcast(stats), keys)
+        attach(at, F.broadcast(bounds), keys)
         .withColumns(
             {
-                SLICE: F.when(hot & ~few, number).otherwise(0).cast("long"),
-                TIED: F.when(hot & few, tied).cast(df.schema[first].dataType),
-                SUB: F.when(hot & few, part).otherwise(0).cast("long"),
-                HOT: hot,
+                HOT: F.col("__bounds").isNotNull(),
+                SLICE: F.when(F.col("__bounds").isNotNull(), number).otherwise(0),
             }
         )
-        .drop("__pos", "__pos2", *aggs)
+        .drop("__at", "__bounds")
     )
 
 
-def _cut_order(order: Sequence[str]) -> list[Column]:
-    """Slices of a key in the order of their rows."""
-    first = order[0].startswith("-")
-    second = len(order) > 1 and order[1].startswith("-")
-    directions = zip(CUT, (first, first, second))
-    return [F.col(c).desc() if down else F.col(c).asc() for c, down in directions]
-
-
 def bounded_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -228,20 +207,17 @@ def bounded_window(
 ) -> DataFrame:
     """Evaluate ``build(window)`` where no frame looks further than ``reach`` rows.
 
-    ``hot_rows=None`` is the plain window, for inputs known to have small groups;
-    inputs too small to hold a hot key get it as well. Select the columns you need
-    before: cut windows read all of them to settle ties.
+    ``hot_rows=None`` is the plain window, for inputs known to have small groups; the
+    rows are the same. Select the columns you need before: all of them are read to
+    settle ties.
     """
-    sort = sort_columns(order)
+    sort = sort_columns([*order, tie_column(order)])
     whole = Window.partitionBy(*keys).orderBy(*sort)
-    if hot_rows is None or not may_hold_hot_keys(df, hot_rows):
-        return df.withColumns(build(whole))
+    if hot_rows is None:
+        return df.withColumn(TIE, row_hash(df)).withColumns(build(whole)).drop(TIE)
 
-    # Two branches look at the rows next to a border and must agree which rows these
-    # are, so ties are settled by the row's hash; equal rows are interchangeable.
-    sliced = slice_hot_keys(df, keys, order, hot_rows).withColumn("__tie", row_hash(df))
-    part = Window.partitionBy(*keys, *CUT).orderBy(*sort, "__tie")
-    whole = Window.partitionBy(*keys).orderBy(*sort, "__tie")
+    sliced = slice_hot_keys(df, keys, order, hot_rows)
+    part = Window.partitionBy(*keys, SLICE).orderBy(*sort)
 
     def near(n: int) -> Column:
         one = F.lit(1)
@@ -273,6 +249,7 @@ def running_window(
     before: Build,
     combine: Mapping[str, Column],
     hot_rows: int | None = HOT_ROWS,
+    peers: bool = False,
 ) -> DataFrame:
     """Cumulative window in three steps.
 
@@ -280,13 +257,13 @@ def running_window(
     ``totals``     aggregates that reduce a slice to one row (may use local columns);
     ``before(w)``  columns over the slices of a key, in order, ``w`` having no frame;
     ``combine``    final columns from local and ``before`` columns. The latter are
-                   NULL for cold keys, which have a single slice.
+                   NULL for cold keys, which have a single slice;
+    ``peers``      whether rows equal in all sort columns get one result.
     """
-    sort = sort_columns(order)
-    whole = Window.partitionBy(*keys).orderBy(*sort)
+    sort = sort_columns(order if peers else [*order, tie_column(order)])
     final = [c.alias(n) for n, c in combine.items()]
     keep = [c for c in df.columns if c not in combine]
-    carry = before(Window.partitionBy(*keys).orderBy(*_cut_order(order)))
+    carry = before(Window.partitionBy(*keys).orderBy(SLICE))
 
     def add_local(frame: DataFrame, w: WindowSpec) -> DataFrame:
         # One at a time: a local column may build on an earlier one.
@@ -294,19 +271,20 @@ def running_window(
             frame = frame.withColumn(name, column)
         return frame
 
-    if hot_rows is None or not may_hold_hot_keys(df, hot_rows):
-        single = add_local(df, whole).withColumns({n: F.lit(None) for n in carry})
-        return single.select(*keep, *final)
+    if hot_rows is None:
+        plain = df if peers else df.withColumn(TIE, row_hash(df))
+        single = add_local(plain, Window.partitionBy(*keys).orderBy(*sort))
+        return single.withColumns({n: F.lit(None) for n in carry}).select(*keep, *final)
 
-    sliced = slice_hot_keys(df, keys, order, hot_rows)
-    part = Window.partitionBy(*keys, *CUT).orderBy(*sort)
+    sliced = slice_hot_keys(df, keys, order, hot_rows, peers)
+    part = Window.partitionBy(*keys, SLICE).orderBy(*sort)
     carried = (
         add_local(sliced.where(F.col(HOT)), part)
-        .groupBy(*keys, *CUT)
+        .groupBy(*keys, SLICE)
         .agg(*[c.alias(n) for n, c in totals.items()])
     )
     for name, column in carry.items():
         carried = carried.withColumn(name, column)
-    carried = carried.select(*keys, *CUT, *carry)
-    joined = attach(add_local(sliced, part), F.broadcast(carried), [*keys, *CUT])
+    carried = carried.select(*keys, SLICE, *carry)
+    joined = attach(add_local(sliced, part), F.broadcast(carried), [*keys, SLICE])
     return joined.select(*keep, *final)

@@ -23,8 +23,6 @@ from tarnwork.operators.window import (
 
 _START = Window.unboundedPreceding
 
-# Names of the parts of a day.
-
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)

@@ -59,7 +59,7 @@ def _by_level(
     level = [*part, *dict.fromkeys(o.lstrip("-") for o in order)]
     named = [c.alias(n) for n, c in aggs.items()]
     levels = df.groupBy(*level).agg(*named) if named else df.select(*level).distinct()
-    return attach(df, build(levels).select(*level, out), level, broadcast=True)
+    return attach(df, build(levels).select(*level, out), level)
 
 
 def rank(
@@ -92,6 +92,7 @@ def rank(
         before=lambda w: {"__base": F.sum("__rows").over(_earlier(w))},
         combine={out: (F.col("__rk") + _zero("__base")).cast("long")},
         hot_rows=hot_rows,
+        peers=True,
     )
 
 
@@ -117,6 +118,7 @@ def dense_rank(
         before=lambda w: {"__base": F.sum("__levels").over(_earlier(w))},
         combine={out: (F.col("__dr") + _zero("__base")).cast("long")},
         hot_rows=hot_rows,
+        peers=True,
     )
 
 
@@ -210,6 +212,7 @@ def running_sum(
         before=lambda w: {"__base": F.sum("__sum").over(_earlier(w))},
         combine={out: F.when(base.isNull(), here).when(here.isNull(), base).otherwise(base + here)},
         hot_rows=hot_rows,
+        peers=frame == "range",
     )
 
 
@@ -230,6 +233,7 @@ def running_min(
         before=lambda w: {"__base": F.min("__low").over(_earlier(w))},
         combine={out: F.least(F.col("__here"), F.coalesce(F.col("__base"), F.col("__here")))},
         hot_rows=hot_rows,
+        peers=True,
     )
 
 
