@@ -16,8 +16,8 @@ from tarnwork.streaming import flows
 # -- quality rules -------------------------------------------------------------------
 
 _RULES = {
-    "valid order status": "o_orderstatus in ('O', 'F', 'P')",
-    "valid order price": "o_totalprice > 0",
+    "known state": "length(o_orderstatus) = 1",
+    "worth over nothing": "o_totalprice >= 0.01",
 }
 _DIRTY = """SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_totalprice > 400000 THEN 'NA'
       ELSE o_orderstatus END AS o_orderstatus, o_totalprice - 50000 AS o_totalprice FROM orders"""
@@ -38,7 +38,7 @@ def _dirty_orders(spark, d):
 
 @query(
     f"""SELECT o_orderkey, o_orderstatus, round(o_totalprice, 2) AS o_totalprice FROM ({_DIRTY})
-        WHERE o_orderstatus IN ('O', 'F', 'P') AND o_totalprice > 0"""
+        WHERE length(o_orderstatus) = 1 AND o_totalprice >= 0.01"""
 )
 def expect_or_drop(spark, d):
     return quality.expect_all_or_drop(_dirty_orders(spark, d), _RULES).withColumn(
@@ -47,24 +47,24 @@ def expect_or_drop(spark, d):
 
 
 @query(
-    f"""SELECT o_orderkey, concat_ws(',', CASE WHEN NOT coalesce(o_orderstatus IN ('O', 'F', 'P'), false) THEN 'valid order status' END,
-          CASE WHEN NOT coalesce(o_totalprice > 0, false) THEN 'valid order price' END) AS failed_rules FROM ({_DIRTY})"""
+    f"""SELECT o_orderkey, concat_ws(',', CASE WHEN NOT coalesce(length(o_orderstatus) = 1, false) THEN 'known state' END,
+          CASE WHEN NOT coalesce(o_totalprice >= 0.01, false) THEN 'worth over nothing' END) AS failed_rules FROM ({_DIRTY})"""
 )
 def expect_or_warn(spark, d):
     w = quality.expect_all(_dirty_orders(spark, d), _RULES, "warn")
     return w.select("o_orderkey", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_totalprice > 0")
+@query("SELECT o_orderkey FROM orders WHERE o_totalprice >= 0.01")
 def expect_or_fail(spark, d):
     return quality.expect_all(table(spark, d, "orders"), _RULES, "fail").select("o_orderkey")
 
 
 @query(
-    f"""WITH r AS (SELECT coalesce(o_orderstatus IN ('O', 'F', 'P'), false) AS a, coalesce(o_totalprice > 0, false) AS b
+    f"""WITH r AS (SELECT coalesce(length(o_orderstatus) = 1, false) AS a, coalesce(o_totalprice >= 0.01, false) AS b
                    FROM ({_DIRTY}))
-        SELECT 'valid order status' AS rule, count(*) FILTER (a) AS passed, count(*) FILTER (NOT a) AS failed FROM r
-        UNION ALL SELECT 'valid order price', count(*) FILTER (b), count(*) FILTER (NOT b) FROM r"""
+        SELECT 'known state' AS rule, count(*) FILTER (a) AS passed, count(*) FILTER (NOT a) AS failed FROM r
+        UNION ALL SELECT 'worth over nothing', count(*) FILTER (b), count(*) FILTER (NOT b) FROM r"""
 )
 def rule_report(spark, d):
     return quality.rule_report(_dirty_orders(spark, d), _RULES)
@@ -75,10 +75,10 @@ def rule_report(spark, d):
 # Each order is a change to its customer: the newest one tells the customer's status.
 # Order keys make the sequence unique.
 _CHANGES = """SELECT o_custkey AS c_custkey, o_orderstatus AS status, o_totalprice AS price,
-     CASE WHEN o_totalprice > 499900 THEN 'T' WHEN o_orderpriority = '5-LOW' THEN 'D' ELSE 'I' END AS _src_action,
-     o_orderdate + o_orderkey * INTERVAL 1 MICROSECOND AS _src_insert_dt FROM orders"""
-_KEYS, _SEQ = ["c_custkey"], "_src_insert_dt"
-_DELETE, _TRUNCATE = "_src_action = 'D'", "_src_action = 'T'"
+     CASE WHEN o_totalprice > 499900 THEN 'wipe' WHEN o_orderpriority = '5-LOW' THEN 'gone' ELSE 'put' END AS change_kind,
+     o_orderdate + o_orderkey * INTERVAL 1 MICROSECOND AS changed_at FROM orders"""
+_KEYS, _SEQ = ["c_custkey"], "changed_at"
+_DELETE, _TRUNCATE = "change_kind = 'gone'", "change_kind = 'wipe'"
 
 
 def _changes(spark, d):
@@ -87,24 +87,29 @@ def _changes(spark, d):
         F.col("o_custkey").alias("c_custkey"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_totalprice").alias("price"),
-        F.when(F.col("o_totalprice") > 499900, "T")
-        .when(F.col("o_orderpriority") == "5-LOW", "D")
-        .otherwise("I")
-        .alias("_src_action"),
+        F.when(F.col("o_totalprice") > 499900, "wipe")
+        .when(F.col("o_orderpriority") == "5-LOW", "gone")
+        .otherwise("put")
+        .alias("change_kind"),
         (F.col("o_orderdate") + micros).alias(_SEQ),
     )
 
 
-_SCD1 = f"""WITH c AS ({_CHANGES}), t AS (SELECT max(_src_insert_dt) AS t FROM c WHERE _src_action = 'T'),
-    l AS (SELECT c.* FROM c, t WHERE _src_action <> 'T' AND (t IS NULL OR _src_insert_dt >= t)
-          QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY _src_insert_dt DESC) = 1)
-    SELECT * FROM l WHERE _src_action <> 'D'"""
-_SCD2 = f"""SELECT c_custkey, status, price, _src_insert_dt AS __START_AT,
-    lead(_src_insert_dt) OVER (PARTITION BY c_custkey ORDER BY _src_insert_dt) AS __END_AT FROM ({_CHANGES})"""
-_SCD2_DELETES = f"""SELECT * EXCLUDE (_src_action) FROM (
-    SELECT c_custkey, status, price, _src_action, _src_insert_dt AS __START_AT,
-    lead(_src_insert_dt) OVER (PARTITION BY c_custkey ORDER BY _src_insert_dt) AS __END_AT FROM ({_CHANGES}))
-    WHERE _src_action <> 'D'"""
+_SCD1 = f"""WITH c AS ({_CHANGES}), t AS (SELECT max(changed_at) AS t FROM c WHERE change_kind = 'wipe'),
+    l AS (SELECT c.* FROM c, t WHERE change_kind <> 'wipe' AND (t IS NULL OR changed_at >= t)
+          QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY changed_at DESC) = 1)
+    SELECT * FROM l WHERE change_kind <> 'gone'"""
+_SCD2 = f"""SELECT c_custkey, status, price, changed_at AS __START_AT,
+    lead(changed_at) OVER (PARTITION BY c_custkey ORDER BY changed_at) AS __END_AT FROM ({_CHANGES})"""
+_SCD2_DELETES = f"""SELECT * EXCLUDE (change_kind) FROM (
+    SELECT c_custkey, status, price, change_kind, changed_at AS __START_AT,
+    lead(changed_at) OVER (PARTITION BY c_custkey ORDER BY changed_at) AS __END_AT FROM ({_CHANGES}))
+    WHERE change_kind <> 'gone'"""
+
+
+def changes_of_customers(spark, d):
+    """The feed with its keys, its sequence and the column that tells the kind of a change."""
+    return _changes(spark, d), _KEYS, _SEQ, "change_kind"
 
 
 @query(_SCD1)
@@ -114,12 +119,12 @@ def scd1_customers(spark, d):
 
 @query(_SCD2)
 def scd2_customers(spark, d):
-    return cdc.scd2(_changes(spark, d), _KEYS, _SEQ, [_SEQ, "_src_action"])
+    return cdc.scd2(_changes(spark, d), _KEYS, _SEQ, [_SEQ, "change_kind"])
 
 
 @query(_SCD2_DELETES)
 def scd2_customers_with_deletes(spark, d):
-    return cdc.scd2(_changes(spark, d), _KEYS, _SEQ, [_SEQ, "_src_action"], _DELETE)
+    return cdc.scd2(_changes(spark, d), _KEYS, _SEQ, [_SEQ, "change_kind"], _DELETE)
 
 
 @query(f"SELECT c_custkey, status, price FROM ({_SCD2}) WHERE __END_AT IS NULL")
@@ -129,7 +134,7 @@ def scd2_current(spark, d):
 
 @query(f"SELECT * FROM ({_SCD2}) WHERE c_custkey = 7 ORDER BY __START_AT")
 def scd2_history_of_one(spark, d):
-    return cdc.history(cdc.scd2(_changes(spark, d), _KEYS, _SEQ, [_SEQ, "_src_action"]), "c_custkey", 7)
+    return cdc.history(cdc.scd2(_changes(spark, d), _KEYS, _SEQ, [_SEQ, "change_kind"]), "c_custkey", 7)
 
 
 @query(
@@ -138,7 +143,7 @@ def scd2_history_of_one(spark, d):
         WHERE __END_AT IS NULL"""
 )
 def scd2_current_join(spark, d):
-    dim = cdc.scd2(_changes(spark, d), _KEYS, _SEQ, [_SEQ, "_src_action", "price"])
+    dim = cdc.scd2(_changes(spark, d), _KEYS, _SEQ, [_SEQ, "change_kind", "price"])
     o = table(spark, d, "orders").where("o_totalprice > 400000").select("o_custkey", "o_orderkey")
     return joins.join_current(dim, o, {"c_custkey": "o_custkey"}).select("c_custkey", "status", "o_orderkey")
 
@@ -147,7 +152,7 @@ def _stream_changes(spark, d, target, scd_type, truncate_when=None):
     """Feed the changes in two runs: inserts first, then deletes and truncates, all
     of which are older or newer than what has already arrived."""
     feed, path = _changes(spark, d), scratch_dir(spark, "changes")
-    for part in ("_src_action = 'I'", "_src_action <> 'I'"):
+    for part in ("change_kind = 'put'", "change_kind <> 'put'"):
         feed.where(part).write.mode("append").parquet(path)
         stream = readers.stream_files(spark, path, feed.schema, fmt="parquet")
         change_streams.apply_changes(
@@ -167,7 +172,7 @@ def scd2_stream(spark, d):
     path = scratch_dir(spark, "scd2")
     _stream_changes(spark, d, path, 2)
     change_streams.compact_changes(spark, path, _KEYS, _SEQ, 2)
-    return change_streams.read_scd2(spark, path, _KEYS, _SEQ, [_SEQ, "_src_action"])
+    return change_streams.read_scd2(spark, path, _KEYS, _SEQ, [_SEQ, "change_kind"])
 
 
 # -- streams ---------------------------------------------------------------------------
@@ -238,51 +243,89 @@ def append_flows(spark, d):
 # -- layered tables ----------------------------------------------------------------------
 
 
-def _run_layers(spark, d, statuses):
+def _layers(spark, d, dim, facts, **more):
+    """Run a flow whose dimension is a table of the test data, put once."""
     root, schema = scratch_dir(spark, "layers"), f"layers_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{root}/schema'")
-    feed = table(spark, d, "customer").select(
-        "c_custkey",
-        "c_name",
-        F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("c_mktsegment"),
-        F.lit("I").alias("_src_action"),
-        F.lit("2024-01-01").cast("timestamp_ntz").alias("_src_insert_dt"),
+    feed = dim.withColumns(
+        {"change_kind": F.lit("put"), "changed_at": F.lit("2024-01-01").cast("timestamp_ntz")}
     )
-    feed.write.parquet(root + "/customers")
-    spec = medallion.MedallionSpec(
-        customers=readers.stream_files(spark, root + "/customers", feed.schema, fmt="parquet"),
-        orders={"orders": _order_stream(spark, d), "files": _csv_order_stream(spark, d)},
+    feed.write.parquet(root + "/dimension")
+    spec = medallion.LayerSpec(
+        dimension=readers.stream_files(spark, root + "/dimension", feed.schema, fmt="parquet"),
+        facts=facts,
         root=root,
         schema=schema,
-        customer_rules={"valid market segment": "c_mktsegment is not null"},
-        order_rules={**_RULES, "not tiny": "o_totalprice > 10000"},
-        statuses=statuses,
+        seq="changed_at",
+        delete_when="change_kind = 'gone'",
+        except_cols=["change_kind", "changed_at"],
+        **more,
+    )
+    return medallion.run_layers(spark, spec)
+
+
+def _orders_by_segment(spark, d, states):
+    segment = F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("c_mktsegment")
+    return _layers(
+        spark,
+        d,
+        table(spark, d, "customer").select("c_custkey", "c_name", segment),
+        {"parquet": _order_stream(spark, d), "files": _csv_order_stream(spark, d)},
+        keys=["c_custkey"],
+        on={"c_custkey": "o_custkey"},
+        by=["c_mktsegment"],
+        measures={"n_orders": F.count("o_orderkey"), "worth": F.sum("o_totalprice")},
+        dimension_rules={"has a segment": "length(c_mktsegment) > 0"},
+        fact_rules={**_RULES, "not tiny": "o_totalprice > 10000"},
+        split_by="o_orderstatus",
+        split_values=states,
+        names={"rollup": "segments"},
     )
-    return medallion.run_medallion(spark, spec)
 
 
-_SILVER = """(SELECT c.*, o.* FROM (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') c LEFT JOIN
+_DETAIL = """(SELECT c.*, o.* FROM (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') c LEFT JOIN
     (SELECT * FROM orders WHERE o_totalprice > 10000 UNION ALL SELECT * FROM orders WHERE o_totalprice > 10000) o
     ON c_custkey = o_custkey)"""
 
 
 @query(
-    f"""SELECT c_mktsegment, count(o_orderkey) AS count_of_orders, round(sum(o_totalprice), 2) AS sum_totalprice
-        FROM {_SILVER} GROUP BY 1"""
+    f"""SELECT c_mktsegment, count(o_orderkey) AS n_orders, round(sum(o_totalprice), 2) AS worth
+        FROM {_DETAIL} GROUP BY 1"""
 )
 def medallion_gold(spark, d):
-    gold = _run_layers(spark, d, "O")["orders_aggregate_gold"]
-    return gold.withColumn("sum_totalprice", F.round("sum_totalprice", 2))
+    rollup = _orders_by_segment(spark, d, ["O"])["rollup"]
+    return rollup.withColumn("worth", F.round("worth", 2))
 
 
 @query(
-    f"""SELECT o_orderstatus, c_mktsegment, count(o_orderkey) AS count_of_orders,
-          round(sum(o_totalprice), 2) AS sum_totalprice
-        FROM {_SILVER} WHERE o_orderstatus IN ('O', 'F') GROUP BY 1, 2"""
+    f"""SELECT o_orderstatus, c_mktsegment, count(o_orderkey) AS n_orders,
+          round(sum(o_totalprice), 2) AS worth
+        FROM {_DETAIL} WHERE o_orderstatus IN ('O', 'F') GROUP BY 1, 2"""
 )
 def gold_by_status(spark, d):
-    tables = _run_layers(spark, d, "O,F")
-    both = [
-        tables[f"orders_agg_{s}_gold"].withColumn("o_orderstatus", F.lit(s)) for s in ("O", "F")
-    ]
-    return both[0].unionByName(both[1]).withColumn("sum_totalprice", F.round("sum_totalprice", 2))
+    tables = _orders_by_segment(spark, d, ["O", "F"])
+    both = [tables[f"rollup_{s}"].withColumn("o_orderstatus", F.lit(s)) for s in ("O", "F")]
+    return both[0].unionByName(both[1]).withColumn("worth", F.round("worth", 2))
+
+
+@query(
+    """SELECT s_nationkey, count(l_orderkey) AS n_lines, max(l_quantity) AS largest
+       FROM supplier LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity < 40) ON s_suppkey = l_suppkey
+       GROUP BY 1"""
+)
+def layers_of_suppliers(spark, d):
+    lines = table(spark, d, "lineitem")
+    stream = readers.stream_files(spark, f"{d}/lineitem.parquet", lines.schema, fmt="parquet")
+    built = _layers(
+        spark,
+        d,
+        table(spark, d, "supplier").select("s_suppkey", "s_nationkey"),
+        {"lines": stream.select("l_orderkey", "l_suppkey", "l_quantity")},
+        keys=["s_suppkey"],
+        on={"s_suppkey": "l_suppkey"},
+        by=["s_nationkey"],
+        measures={"n_lines": F.count("l_orderkey"), "largest": F.max("l_quantity")},
+        fact_rules={"small": "l_quantity < 40"},
+        stamp=None,
+    )
+    return built["rollup"]

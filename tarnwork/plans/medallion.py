@@ -1,11 +1,11 @@
-"""Bronze, silver and gold tables of a customer and orders feed."""
+"""Layered tables of any dimension feed and any fact streams, described by a spec."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwork.operators.aggregate import group
@@ -26,11 +26,15 @@ def materialize(
     """Recompute a table; tag it with properties and a comment."""
     spark = df.sparkSession
     save_table(df, name, path=path)
+
+    def text(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
     if properties:
-        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        pairs = ", ".join(f"{text(k)} = {text(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
     if comment:
-        spark.sql(f"COMMENT ON TABLE {name} IS '{comment}'")
+        spark.sql(f"COMMENT ON TABLE {name} IS {text(comment)}")
     return spark.table(name)
 
 
@@ -41,20 +45,14 @@ def view(name: str, df: DataFrame) -> DataFrame:
 
 
 def enrich(
-    dim: DataFrame, fact: DataFrame, on: Mapping[str, str], stamp: str | None = "_insertDate"
+    dim: DataFrame, fact: DataFrame, on: Mapping[str, str], stamp: str | None = None
 ) -> DataFrame:
-    """Open dimension versions with their facts, and the time of loading."""
+    """Open dimension versions with their facts; ``stamp`` names a column for the time
+    of loading."""
     joined = join_current(dim, fact, on)
     return joined.withColumn(stamp, F.current_timestamp()) if stamp else joined
 
 
-def segment_rollup(
-    df: DataFrame, by: str, key: str = "o_orderkey", price: str = "o_totalprice"
-) -> DataFrame:
-    """Orders and their value per segment; a segment without orders counts 0."""
-    return group(df, [by], {"count_of_orders": F.count(key), "sum_totalprice": F.sum(price)})
-
-
 def fan_out(
     df: DataFrame,
     col: str,
@@ -67,86 +65,90 @@ def fan_out(
 
 
 @dataclass
-class MedallionSpec:
-    """Inputs and rules of one flow. ``orders`` are streams by flow name, which are
-    all appended to one bronze table."""
-
-    customers: DataFrame
-    orders: Mapping[str, DataFrame]
+class LayerSpec:
+    """What one flow reads, how it joins and what it counts.
+
+    ``dimension`` is a stream of changes, ``facts`` are streams by flow name, which are all
+    appended to one store. ``on`` maps a dimension column to a fact column. ``measures`` are
+    the aggregates of the rollup, per ``by``; with ``split_by`` there is a rollup for each of
+    ``split_values`` as well. ``names`` renames tables: ``now``, ``versions``, ``facts``,
+    ``detail``, ``rollup``, ``by_value`` and ``rollup_<value>`` are the defaults.
+    """
+
+    dimension: DataFrame
+    facts: Mapping[str, DataFrame]
     root: str
     schema: str
-    customer_rules: Mapping[str, str] = field(default_factory=dict)
-    order_rules: Mapping[str, str] = field(default_factory=dict)
-    keys: Sequence[str] = ("c_custkey",)
-    seq: str = "_src_insert_dt"
-    delete_when: str = "_src_action = 'D'"
-    truncate_when: str = "_src_action = 'T'"
-    except_cols: Sequence[str] = ("_src_insert_dt", "_src_action")
-    statuses: str = "NA"
-
-
-def run_medallion(spark: SparkSession, spec: MedallionSpec) -> dict[str, DataFrame]:
-    """Bring all tables up to date with what the streams have available, in order:
-    dimensions, bronze orders, silver, gold. Safe to repeat; only new input is read."""
-    root, name = spec.root, lambda t: f"{spec.schema}.{t}"
-    checkpoints = f"{root}/_checkpoints"
-    customers = expect_all_or_drop(spec.customers, spec.customer_rules)
-    orders = {n: expect_all_or_drop(s, spec.order_rules) for n, s in spec.orders.items()}
-
-    dims = [
+    keys: Sequence[str]
+    seq: str
+    on: Mapping[str, str]
+    by: Sequence[str]
+    measures: Mapping[str, Column]
+    delete_when: str | None = None
+    truncate_when: str | None = None
+    except_cols: Sequence[str] = ()
+    dimension_rules: Mapping[str, str] = field(default_factory=dict)
+    fact_rules: Mapping[str, str] = field(default_factory=dict)
+    split_by: str | None = None
+    split_values: Sequence[str] = ()
+    stamp: str | None = "loaded_at"
+    names: Mapping[str, str] = field(default_factory=dict)
+
+    def name(self, table: str) -> str:
+        return self.names.get(table, table)
+
+
+def run_layers(spark: SparkSession, spec: LayerSpec) -> dict[str, DataFrame]:
+    """Bring all tables up to date with what the streams have available, in order: the
+    dimension, the facts, the detail, the rollups. Safe to repeat; only new input is read.
+    The result has the tables by their default names."""
+    store = lambda part: f"{spec.root}/{part}"
+    state = store("_checkpoints")
+    changes = expect_all_or_drop(spec.dimension, spec.dimension_rules)
+    facts = {n: expect_all_or_drop(s, spec.fact_rules) for n, s in spec.facts.items()}
+
+    running = [
         apply_changes(
-            customers,
-            f"{root}/customer_scd{t}",
-            f"{checkpoints}/customer_scd{t}",
+            changes,
+            store(part),
+            f"{state}/{part}",
             spec.keys,
             spec.seq,
-            t,
-            spec.truncate_when if t == 1 else None,
+            kind,
+            spec.truncate_when if kind == 1 else None,
         )
-        for t in (1, 2)
+        for part, kind in (("now", 1), ("versions", 2))
     ]
-    append_flows(f"{root}/orders_union", orders, checkpoints)
-    for query in dims:
-        query.awaitTermination()
-
-    type1 = read_scd1(
-        spark, f"{root}/customer_scd1", spec.keys, spec.seq, spec.delete_when, spec.truncate_when
-    )
-    type2 = read_scd2(spark, f"{root}/customer_scd2", spec.keys, spec.seq, spec.except_cols)
-    union = read_flows(spark, f"{root}/orders_union")
+    append_flows(store("facts"), facts, state)
+    for stream in running:
+        stream.awaitTermination()
+
+    built = {
+        "now": read_scd1(
+            spark, store("now"), spec.keys, spec.seq, spec.delete_when, spec.truncate_when
+        ),
+        "versions": read_scd2(spark, store("versions"), spec.keys, spec.seq, spec.except_cols),
+        "facts": read_flows(spark, store("facts")),
+    }
+    for table, df in built.items():
+        view(spec.name(table), df)
 
     def save(df: DataFrame, table: str, layer: str, comment: str) -> DataFrame:
-        return materialize(
-            df, name(table), f"{root}/tables/{table}", {"quality": layer}, comment
-        )
-
-    silver = save(
-        enrich(type2, union, {spec.keys[0]: "o_custkey"}),
-        "joined_silver",
-        "silver",
-        "customers with their orders",
-    )
-    rollup = lambda df: segment_rollup(df, "c_mktsegment")
-    gold = save(rollup(silver), "orders_aggregate_gold", "gold", "orders by segment")
-    # One pass over silver serves every status; the tables are cut from its result,
-    # which has one row per status and segment.
-    wanted = spec.statuses.split(",")
-    by_status = group(
-        silver.where(F.col("o_orderstatus").isin(wanted)),
-        ["o_orderstatus", "c_mktsegment"],
-        {"count_of_orders": F.count("o_orderkey"), "sum_totalprice": F.sum("o_totalprice")},
-    )
-    by_status = save(by_status, "orders_by_status_gold", "gold", "orders by status and segment")
-    per_status = fan_out(by_status, "o_orderstatus", wanted, lambda df: df.drop("o_orderstatus"))
-    status_tables = {
-        f"orders_agg_{s}_gold": save(df, f"orders_agg_{s}_gold", "gold", f"orders in status {s}")
-        for s, df in per_status.items()
-    }
-    return {
-        "customer_scd1": view("customer_scd1_bronze", type1),
-        "customer_scd2": view("customer_scd2_bronze", type2),
-        "orders_union": view("orders_union_bronze", union),
-        "joined_silver": silver,
-        "orders_aggregate_gold": gold,
-        **status_tables,
-    }
+        name = spec.name(table)
+        path = f"{store('tables')}/{name}"
+        built[table] = materialize(df, f"{spec.schema}.{name}", path, {"layer": layer}, comment)
+        return built[table]
+
+    detail = enrich(built["versions"], built["facts"], spec.on, spec.stamp)
+    detail = save(detail, "detail", "detail", "open versions with their facts")
+    save(group(detail, spec.by, spec.measures), "rollup", "rollup", f"by {', '.join(spec.by)}")
+    if spec.split_by:
+        # One pass over the detail serves every value; the tables are cut from its
+        # result, which has one row per value and group.
+        wanted = detail.where(F.col(spec.split_by).isin(list(spec.split_values)))
+        split = group(wanted, [spec.split_by, *spec.by], spec.measures)
+        split = save(split, "by_value", "rollup", f"by {spec.split_by}")
+        parts = fan_out(split, spec.split_by, spec.split_values, lambda df: df.drop(spec.split_by))
+        for value, df in parts.items():
+            save(df, f"rollup_{value}", "rollup", f"{spec.split_by} {value}")
+    return built

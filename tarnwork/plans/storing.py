@@ -88,15 +88,15 @@ def append_limited_query(spark, d):
 
 
 @query(
-    """SELECT c_custkey, 'I' AS _src_action, TIMESTAMP '2024-01-01' AS _src_insert_dt,
+    """SELECT c_custkey, 0.5::DOUBLE AS weight, TIMESTAMP '2024-01-01' AS added_at,
          CAST(NULL AS VARCHAR) AS note FROM customer"""
 )
 def add_columns(spark, d):
     return writers.add_columns(
         table(spark, d, "customer").select("c_custkey"),
         {
-            "_src_action": F.lit("I"),
-            "_src_insert_dt": F.lit("2024-01-01").cast("timestamp_ntz"),
+            "weight": F.lit(0.5),
+            "added_at": F.lit("2024-01-01").cast("timestamp_ntz"),
             "note": "string",
         },
     )

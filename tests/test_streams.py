@@ -179,49 +179,66 @@ def test_change_stream_equals_batch_in_any_order(order, spark, tmp_path, rows):
 
 
 def test_layers_follow_their_inputs(spark, tmp_path, rows):
-    customers, orders = str(tmp_path / "customers"), str(tmp_path / "orders")
+    shops, sales = str(tmp_path / "shops"), str(tmp_path / "sales")
     schema = name("layers")
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{tmp_path}/schema'")
-    c_schema = "c_custkey int, c_mktsegment string, _src_action string, _src_insert_dt timestamp_ntz"
-    o_schema = "o_orderkey int, o_custkey int, o_orderstatus string, o_totalprice double"
+    shop_schema = "shop int, town string, kind string, at timestamp_ntz"
+    sale_schema = "sale int, sold_in int, colour string, price double"
 
     def add(path, schema_, data):
         spark.createDataFrame(data, schema_).coalesce(1).write.mode("append").parquet(path)
 
     def run():
-        return medallion.run_medallion(
+        return medallion.run_layers(
             spark,
-            medallion.MedallionSpec(
-                customers=readers.stream_files(spark, customers, c_schema, fmt="parquet"),
-                orders={"orders": readers.stream_files(spark, orders, o_schema, fmt="parquet")},
+            medallion.LayerSpec(
+                dimension=readers.stream_files(spark, shops, shop_schema, fmt="parquet"),
+                facts={"till": readers.stream_files(spark, sales, sale_schema, fmt="parquet")},
                 root=str(tmp_path / "root"),
                 schema=schema,
-                customer_rules={"valid market segment": "c_mktsegment is not null"},
-                order_rules={"valid order status": "o_orderstatus in ('O','F','P')", "valid order price": "o_totalprice > 0"},
-                statuses="O,F",
+                keys=["shop"],
+                seq="at",
+                on={"shop": "sold_in"},
+                by=["town"],
+                measures={"n": F.count("sale"), "income": F.sum("price")},
+                delete_when="kind = 'gone'",
+                except_cols=["kind", "at"],
+                dimension_rules={"in a town": "length(town) > 0"},
+                fact_rules={"paid": "price >= 1", "one colour": "colour not like '%,%'"},
+                split_by="colour",
+                split_values=["red", "blue"],
+                names={"detail": "sales_in_towns"},
             ),
         )
 
     day = lambda d: TS(2024, 1, d)
-    add(customers, c_schema, [(1, "AUTO", "I", day(1)), (2, "HOME", "I", day(1)), (3, None, "I", day(1))])
-    add(orders, o_schema, [(10, 1, "O", 5.0), (11, 1, "F", 7.0), (12, 1, "NA", 9.0), (13, 2, None, 9.0)])
+    add(shops, shop_schema, [(1, "Ulm", "put", day(1)), (2, "Bonn", "put", day(1)), (3, None, "put", day(1))])
+    add(sales, sale_schema, [(10, 1, "red", 5.0), (11, 1, "blue", 7.0), (12, 1, "red,blue", 9.0), (13, 2, None, 9.0)])
     tables = run()
-    assert rows(tables["orders_aggregate_gold"]) == [("AUTO", 2, 12.0), ("HOME", 0, None)]
-    assert rows(tables["orders_agg_O_gold"]) == [("AUTO", 1, 5.0)]
-    assert "_insertDate" in tables["joined_silver"].columns
+    assert rows(tables["rollup"]) == [("Bonn", 0, None), ("Ulm", 2, 12.0)]
+    assert rows(tables["rollup_red"]) == [("Ulm", 1, 5.0)]
+    assert "loaded_at" in tables["detail"].columns
 
-    add(customers, c_schema, [(1, "HOME", "I", day(3)), (2, "HOME", "D", day(4))])
-    add(orders, o_schema, [(14, 2, "O", 1.0)])
+    add(shops, shop_schema, [(1, "Bonn", "put", day(3)), (2, "Bonn", "gone", day(4))])
+    add(sales, sale_schema, [(14, 2, "red", 1.0)])
     tables = run()
     # A delete without a delete rule is a version of type 2, and closes type 1.
-    assert rows(tables["customer_scd1"], "c_custkey") == [(1,)]
-    assert rows(tables["orders_aggregate_gold"]) == [("HOME", 3, 13.0)]
-    assert rows(spark.table(f"{schema}.orders_agg_F_gold")) == [("HOME", 1, 7.0)]
+    assert rows(tables["now"], "shop") == [(1,)]
+    assert rows(tables["rollup"]) == [("Bonn", 3, 13.0)]
+    assert rows(spark.table(f"{schema}.rollup_blue")) == [("Bonn", 1, 7.0)]
     again = run()
-    assert rows(again["orders_aggregate_gold"]) == [("HOME", 3, 13.0)]
-    detail = spark.sql(f"DESCRIBE EXTENDED {schema}.joined_silver").collect()
+    assert rows(again["rollup"]) == [("Bonn", 3, 13.0)]
+    detail = spark.sql(f"DESCRIBE EXTENDED {schema}.sales_in_towns").collect()
     text = " ".join(f"{r[0]} {r[1]}" for r in detail)
-    assert "quality=silver" in text and "customers with their orders" in text
+    assert "layer=detail" in text and "open versions with their facts" in text
+
+
+def test_comments_may_hold_quotes(spark):
+    table = name("quoted")
+    medallion.materialize(spark.range(1), table, properties={"it's": "o'clock"}, comment="it's \\ here")
+    text = str(spark.sql(f"DESCRIBE EXTENDED {table}").collect())
+    assert "it's=o'clock" in text
+    spark.sql(f"DROP TABLE {table}")
 
 
 def test_fan_out_binds_each_value(spark, rows):
