@@ -160,14 +160,16 @@ def slice_hot_keys(
     base = df.withColumn(TIE, row_hash(df))
     at = base.withColumn("__at", _position(place))
 
-    # The size of the table comes as a scalar subquery, which reads no column.
-    thin = F.ceil(df.agg(F.count(F.lit(1)).alias("n")).scalar() / F.lit(SAMPLE_ROWS))
-    step_used = F.greatest(F.lit(step), thin)
-    bounds = (
-        at.where(F.pmod(F.col(TIE), step_used) == 0)
+    seen = (
+        at.where(F.pmod(F.col(TIE), F.lit(step)) == 0)
         .where(F.length(F.col("__at").cast("string")) <= WIDE)
         .select(*keys, "__at", TIE)
         .distinct()
+    )
+    # Counted over the same shuffled sample, which Spark keeps and reads again.
+    thin = F.ceil(seen.agg(F.count(F.lit(1)).alias("n")).scalar() / F.lit(SAMPLE_ROWS))
+    bounds = (
+        seen.where(F.pmod(F.xxhash64(TIE), F.greatest(thin, F.lit(1))) == 0)
         .groupBy(*keys)
         .agg(F.collect_list("__at").alias("__bounds"))
         # A quarter less than hot_rows, three deviations of the estimate: none is missed.
