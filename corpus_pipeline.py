@@ -17,9 +17,10 @@ from tarnwork.llm.common import Scratch, fold
 ORACLE_SQL = None
 
 #: Near-duplicates of the pipeline: five-word shingles, similarity 0.8 or more. At 0.8 two
-#: fingerprints of 256 bits differ in 39 bits on average, with a deviation of 6.
-WORDS, LANES, RADIUS = 5, 4, 46
-BANDS = simhash.sampled_bands(bits=256, width=10, count=25)
+#: fingerprints of 256 bits differ in 39 bits on average, with a deviation of 6; the radius
+#: only makes candidates, which are compared exactly.
+WORDS, LANES, RADIUS, SIMILARITY = 5, 4, 56, 0.8
+BANDS = simhash.sampled_bands(bits=256, width=11, count=36)
 
 
 def tokenizer_file() -> str:
@@ -39,7 +40,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group."""
-    grouped = simhash.groups(docs, spark, words=WORDS, radius=RADIUS, lanes=LANES, bands=BANDS)
+    grouped = simhash.near_groups(docs, spark, WORDS, RADIUS, LANES, BANDS, SIMILARITY)
     return simhash.first_of_group(docs, grouped)
 
 

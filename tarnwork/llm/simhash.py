@@ -17,6 +17,11 @@ nodes per word, a carry-save adder counts the differing bits of 64 pairs at once
 words in which all pairs exceed the radius are abandoned. A task reports a spanning
 forest of the links it finds, at most one edge per node, never all pairs.
 
+``near_groups`` takes such links as candidates only: the distinct texts that hang together
+over them are compared by their exact sets of shingles, and only pairs of the asked
+similarity are linked. A large set of candidates is cut into slices, and every two slices
+are compared in a task of their own.
+
 Nulls: a null text is an empty one; a text without words has fingerprint zero. A null
 id is kept, but never names a group. Repeated rows share a fingerprint and so a group.
 """
@@ -42,6 +47,8 @@ BUCKET = 4096
 CHUNK = 32768
 #: Shingles hashed at a time, which bounds the memory a long text takes.
 PART = 1 << 16
+#: Texts and shingles of a slice of candidates.
+SLICE, SLICE_SHINGLES = 512, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -79,23 +86,28 @@ def sampled_bands(bits: int, width: int, count: int) -> Bands:
     return Bands(tuple(masks), exact=False)
 
 
-def fingerprint(text: bytes | None, words: int, lanes: int, seed: int = 42) -> np.ndarray:
-    """The fingerprint of one text as ``lanes`` unsigned 64-bit integers. Further lanes
-    come from the shingle's hash by a one-to-one mixing."""
-    tokens = (text or b"").lower().split()
-    if not tokens:
-        return np.zeros(lanes, np.uint64)
+def _shingles(tokens: list[bytes], words: int, seed: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of a text, ``PART`` at a time."""
     line = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(tokens) - words + 1)
-    del tokens
     first, last = starts[:n], ends[min(words, len(ends)) - 1 :][:n]
     digest = xxhash.xxh64_intdigest
-    ones = np.zeros((lanes, 64), np.int64)
     for at in range(0, n, PART):
         a, b = first[at : at + PART].tolist(), last[at : at + PART].tolist()
-        h = np.array([digest(line[i:j], seed) for i, j in zip(a, b)], np.uint64)
+        yield np.array([digest(line[i:j], seed) for i, j in zip(a, b)], np.uint64)
+
+
+def fingerprint(text: bytes | None, words: int, lanes: int, seed: int = 42) -> np.ndarray:
+    """The fingerprint of one text as ``lanes`` unsigned 64-bit integers. Further lanes
+    come from the shingle's hash by a one-to-one mixing."""
+    tokens = (text or b"").lower().split()
+    if not tokens:
+        return np.zeros(lanes, np.uint64)
+    n = max(1, len(tokens) - words + 1)
+    ones = np.zeros((lanes, 64), np.int64)
+    for h in _shingles(tokens, words, seed):
         for lane in range(lanes):
             bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             ones[lane] += bits.sum(axis=0, dtype=np.int32)
@@ -103,6 +115,18 @@ def fingerprint(text: bytes | None, words: int, lanes: int, seed: int = 42) -> n
     return np.packbits(ones * 2 > n, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+def shingle_set(text: bytes | None, words: int, seed: int = 42) -> np.ndarray:
+    """The distinct shingle hashes of one text, sorted."""
+    tokens = (text or b"").lower().split()
+    return np.unique(np.concatenate([*_shingles(tokens, words, seed)])) if tokens else np.zeros(0, np.uint64)
+
+
+def _identity(text: bytes | None) -> tuple[int, int]:
+    """128 bits of the words of a text, as two longs."""
+    digest = xxhash.xxh128_digest(b" ".join((text or b"").lower().split()))
+    return tuple(np.frombuffer(digest, np.int64).tolist())
+
+
 def fingerprints(
     docs: DataFrame, words: int, lanes: int, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -367,16 +391,151 @@ def groups(
         bands = exact_bands(radius)
     scratch = Scratch(spark, "simhash")
     made = scratch.save(fingerprints(docs, words, lanes, id_column, text_column), "fingerprints")
+    rooted = _rooted(made, bands, lanes, radius, scratch)
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    labels = scratch.save(rooted.join(named, "root").select("fp", "component_id"), "labels")
+    return made.join(labels, "fp").select("id", "fp", "component_id")
+
+
+def _rooted(made: DataFrame, bands: Bands, lanes: int, radius: int, scratch: Scratch) -> DataFrame:
+    """``(fp, least, node, root)`` per fingerprint of ``made (id, fp)``, ``root`` being the
+    smallest node that links of ``radius`` or fewer bits lead to."""
     nodes = made.groupBy("fp").agg(F.min("id").alias("least"))
     nodes = scratch.save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     rows = _bounded(nodes.select("node", "fp"), bands, lanes, scratch)
     edges = scratch.save(_compare(rows, lanes, radius), "links")
     scratch.drop(*(f"{x}{i}" for x in ("bands", "large_buckets") for i in range(3)))
     roots = connected(edges, scratch)
-    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = scratch.save(rooted.join(named, "root").select("fp", "component_id"), "labels")
-    return made.join(labels, "fp").select("id", "fp", "component_id")
+    return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _text_rows(docs: DataFrame, words: int, lanes: int, id_column: str, text_column: str) -> DataFrame:
+    """``(id, raw, t1, t2, size, fp)`` per row: hash of the text, identity of its words,
+    shingles with repeats, fingerprint."""
+    picked = docs.select(
+        F.col(id_column).cast("long").alias("id"), F.xxhash64(text_column).alias("raw"), F.col(text_column).alias("text")
+    )
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in frames:
+            texts = texts_of(batch, "text")
+            named = np.array([_identity(t) for t in texts], np.int64).reshape(-1, 2)
+            flat = [x for t in texts for x in to_signed(fingerprint(t, words, lanes)).tolist()]
+            offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * lanes)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"), batch.column("raw"), pa.array(named[:, 0]), pa.array(named[:, 1]),
+                    pa.array([len((t or b"").split()) for t in texts], pa.int64()),
+                    pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int64())),
+                ],
+                names=["id", "raw", "t1", "t2", "size", "fp"],
+            )
+
+    return picked.mapInArrow(run, "id long, raw long, t1 long, t2 long, size long, fp array<long>")
+
+
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """``(t1, t2, shingles)`` per row of ``docs (text)``."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in frames:
+            for text in texts_of(batch, "text"):
+                t1, t2 = _identity(text)
+                held = pa.array([to_signed(shingle_set(text, words)).tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([t1], pa.int64()), pa.array([t2], pa.int64()), held], names=["t1", "t2", "shingles"]
+                )
+
+    return docs.mapInArrow(run, "t1 long, t2 long, shingles binary")
+
+
+def similar_links(sets: list[np.ndarray], sides: list[int], whole: bool, similarity: float) -> np.ndarray:
+    """Smallest position each set is linked to, over all pairs of ``similarity`` or more.
+    Unless ``whole``, pairs of one side are left to another task. Pairs that hang
+    together already are not compared again."""
+    sizes = np.array([len(x) for x in sets])
+    root = np.arange(len(sets))
+    side = np.array(sides)
+    for i in range(len(sets)):
+        small, large = np.minimum(sizes[i], sizes[i + 1 :]), np.maximum(sizes[i], sizes[i + 1 :])
+        near = small + 1e-9 >= similarity * large
+        if not whole:
+            near &= side[i + 1 :] != side[i]
+        for j in (np.flatnonzero(near) + i + 1).tolist():
+            if root[i] == root[j]:
+                continue
+            both = np.concatenate((sets[i], sets[j]))
+            both.sort(kind="stable")
+            shared = int((both[1:] == both[:-1]).sum())
+            if shared * (1 + similarity) + 1e-9 >= similarity * (sizes[i] + sizes[j]):
+                a, b = sorted((root[i], root[j]))
+                root[root == b] = a
+    return root
+
+
+def _verified(pieces: DataFrame, similarity: float) -> DataFrame:
+    """Edges between texts of ``pieces (key, whole, own, node, shingles)``; a key is whole in
+    its partition and the only thing held."""
+
+    def close(held: list[dict]) -> pa.RecordBatch:
+        sets = [np.frombuffer(r["shingles"], np.uint64) for r in held]
+        root = similar_links(sets, [r["own"] for r in held], held[0]["whole"], similarity)
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        node = np.array([r["node"] for r in held], np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], names=["a", "b"])
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in frames:
+            for row in batch.to_pylist():
+                if held and (held[0]["root"], held[0]["low"], held[0]["high"]) != (row["root"], row["low"], row["high"]):
+                    yield close(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield close(held)
+
+    by = ["root", "low", "high"]
+    return pieces.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long")
+
+
+def near_groups(
+    docs: DataFrame,
+    spark: SparkSession,
+    words: int,
+    radius: int,
+    lanes: int,
+    bands: Bands,
+    similarity: float,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """``(id, raw, root, component_id)`` per row of ``docs``: rows whose sets of shingles
+    can be reached over links of ``similarity`` or more share ``root``, and
+    ``component_id`` is their smallest id. ``raw`` is the hash of the text. Links are
+    looked for among texts that hang together within ``radius`` bits."""
+    scratch = Scratch(spark, "near")
+    made = scratch.save(_text_rows(docs, words, lanes, id_column, text_column), "texts")
+    loose = _rooted(made, bands, lanes, radius, scratch).select("fp", F.col("root").alias("loose"))
+    texts = made.groupBy("t1", "t2", "fp").agg(F.min("raw").alias("raw"), F.max("size").alias("size"))
+    texts = texts.join(loose, "fp").select("t1", "t2", "raw", "size", "loose")
+    texts = scratch.save(texts.withColumn("node", F.monotonically_increasing_id()), "candidates")
+    many = texts.groupBy("loose").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).where(F.col("n") > 1)
+    asked = scratch.save(texts.join(many, "loose"), "asked")
+    picked = docs.select(F.xxhash64(text_column).alias("raw"), F.col(text_column).alias("text"))
+    sets = _sets(picked.join(asked.select("raw"), "raw", "left_semi").dropDuplicates(["raw"]).select("text"), words)
+    slices = F.greatest(F.ceil(F.col("n") / SLICE), F.ceil(F.col("total") / SLICE_SHINGLES))
+    own = F.pmod(F.xxhash64("node"), slices)
+    held = asked.join(scratch.save(sets.dropDuplicates(["t1", "t2"]), "sets"), ["t1", "t2"])
+    pieces = held.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), slices - 1))}).select(
+        F.col("loose").alias("root"), F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        (F.col("own") == F.col("other")).alias("whole"), "own", "node", "shingles",
+    )
+    edges = scratch.save(_verified(pieces, similarity), "similar")
+    roots = connected(edges, Scratch(spark, "near_stars"))
+    labels = texts.join(roots, "node", "left").select("t1", "t2", F.coalesce("root", "node").alias("root"))
+    rows = scratch.save(made.join(labels, ["t1", "t2"]).select("id", "raw", "root"), "rows")
+    return rows.join(rows.groupBy("root").agg(F.min("id").alias("component_id")), "root")
 
 
 def hex_of(fp: str = "fp", lane: int = 0):

@@ -128,3 +128,43 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = spark.createDataFrame(chain + star + loops, "a long, b long")
     got = dict(map(tuple, connected(edges, Scratch(spark, "test")).collect()))
     assert got == {i: 0 for i in range(201)} | {1000 + i: 1000 for i in range(300)} | {6000: 6000, 6001: 6000}
+
+
+def edited(rng, base, share, name):
+    """``base`` with a run of words replaced, so that about ``share`` of all shingles are shared."""
+    n = round(len(base) * (1 - 2 * share / (1 + share)))
+    at = int(rng.integers(0, len(base) - n))
+    return [*base[:at], *(f"{name}x{i}" for i in range(n)), *base[at + n :]]
+
+
+def exact_groups(texts, similarity=0.8, words=5):
+    sets = [{tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} for w in map(str.split, texts)]
+    group = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                a, b = group[i], group[j]
+                group = [b if g == a else g for g in group]
+    return group
+
+
+@pytest.mark.parametrize("cut", [512, 7])
+def test_near_groups_are_exact_among_candidates(spark, monkeypatch, cut):
+    import corpus_pipeline as P
+
+    monkeypatch.setattr(simhash, "SLICE", cut)
+    rng, texts = np.random.default_rng(5), []
+    for k in range(60):
+        base = [f"b{k}w{i}" for i in range(200)]
+        texts += [" ".join(base)] + [" ".join(edited(rng, base, s, f"e{k}s{j}")) for j, s in enumerate((0.6, 0.7, 0.76, 0.82, 0.9))]
+    texts += ["spam " * 300 + " ".join(f"{x}{i}" for i in range(40)) for x in "pq"]
+    base = [f"m{i}" for i in range(300)]
+    texts += [" ".join(edited(rng, base, 0.95, f"g{i}")) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = simhash.near_groups(docs, spark, P.WORDS, P.RADIUS, P.LANES, P.BANDS, P.SIMILARITY).collect()
+    got, want = {r["id"]: r["component_id"] for r in rows}, exact_groups(texts)
+    assert len(rows) == len(texts)
+    right = sum((got[i] == got[j]) == (want[i] == want[j]) for i in range(len(texts)) for j in range(i))
+    assert all(want[i] == want[got[i]] for i in got)  # nothing below the similarity is joined
+    assert right >= len(texts) * (len(texts) - 1) // 2 - 5
+    assert got[361] == 361  # equal fingerprints, other shingles
