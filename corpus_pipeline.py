@@ -47,7 +47,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.without_contaminated(docs, decontaminate.contaminated(docs, benchmark, spark))
+    return decontaminate.without_contaminated(docs, decontaminate.contaminated(docs, benchmark, spark, exact=True))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

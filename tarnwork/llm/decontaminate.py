@@ -13,7 +13,9 @@ An alignment counts when it has ``need`` runs, or all but one of the item's runs
 are fewer: a name at the start of a sentence is written like any other word there.
 The defaults ask for 6 runs of 8 tokens, 13 tokens in all. Items of fewer than ``width``
 tokens are one run of their own length; items of fewer than ``least`` tokens say too little
-and match nothing. A run needs a literal token in every second place at least.
+and match nothing. A run of a template needs a literal token in every second place at least.
+With ``exact``, runs that have fewer are joined by a hash of their own values, so that items
+of numbers and names are found as they are; ``item_runs`` then counts all runs.
 
 Before the join, documents drop runs whose hash is not in a bitmap of the benchmark's
 hashes. This bitmap, and that of the benchmark's lower-case words, have a fixed size of
@@ -140,19 +142,29 @@ class Templates:
         return self.values[at]
 
 
-def _runs(templates: Templates, text: str | None, widths: list[int]) -> Iterator[tuple]:
-    """``(width, hashes, usable, tokens)`` per width."""
+#: Readings of a run: a template, or the values themselves.
+_TEMPLATE, _VALUES = 0, 2
+
+
+def _runs(templates: Templates, text: str | None, widths: list[int], exact: set[int]) -> Iterator[tuple]:
+    """``(width, hashes, usable, tokens, reading)`` per width and reading; ``exact`` has the
+    widths at which runs of too few literals are taken by their values."""
     tokens, literal, at = templates.of(text)
-    mixed = mix64(tokens)
+    mixed, values = mix64(tokens), None
     for width in widths:
         found = window_hashes(mixed, width)
-        if len(found):
-            sums = np.concatenate(([0], np.cumsum(literal)))
-            usable = 2 * (sums[width:] - sums[:-width]) >= width
-            yield width, mix64(found ^ np.uint64(width)), usable, literal, at
+        if not len(found):
+            continue
+        sums = np.concatenate(([0], np.cumsum(literal)))
+        usable = 2 * (sums[width:] - sums[:-width]) >= width
+        yield width, mix64(found ^ np.uint64(width)), usable, literal, at, _TEMPLATE
+        if width in exact and not usable.all():
+            values = mix64(templates.hashes[at] ^ _MARKS[0]) if values is None else values
+            found = window_hashes(values, width)
+            yield width, mix64(found ^ np.uint64(width)), ~usable, literal, at, _VALUES
 
 
-_RUNS = "h long, id long, tie long, pos long, runs long, width int, slots array<string>"
+_RUNS = "h long, id long, tie long, pos long, runs long, every long, width int, reading int, slots array<string>"
 
 
 def _lower_words(items: DataFrame) -> DataFrame:
@@ -171,45 +183,51 @@ def _lower_words(items: DataFrame) -> DataFrame:
 
 
 def _run_table(
-    docs: DataFrame, widths: list[int] | None, width: int, least: int, common: bytes, bits: bytes | None
+    docs: DataFrame,
+    widths: list[int] | None,
+    width: int,
+    least: int,
+    common: bytes,
+    bits: bytes | None,
+    exact: set[int],
 ) -> DataFrame:
     """Runs of every row of ``docs (id, tie, text)``. Without ``widths`` each text is an
-    item, taken at ``width`` or its own length."""
+    item, taken at ``width`` or its own length. ``exact`` as in ``_runs``."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates(common)
         filtered = None if bits is None else np.frombuffer(bits, np.uint8)
         for batch in frames:
-            out: list[list] = [[] for _ in range(7)]
+            out: dict[str, list] = {name: [] for name in ("h", "id", "tie", "pos", "runs", "every", "width", "reading", "slots")}
             columns = [batch.column(c).to_pylist() for c in ("id", "tie", "text")]
             for key, tie, text in zip(*columns):
                 sizes = widths
                 if sizes is None:
                     n = len(templates.of(text)[0])
                     sizes = [min(width, n)] if n >= least else []
-                for size, found, usable, literal, at in _runs(templates, text, sizes):
+                total = 0
+                for size, found, usable, literal, at, reading in _runs(templates, text, sizes, exact):
+                    if reading == _TEMPLATE:
+                        total = int(usable.sum())
                     if filtered is not None:
                         usable = usable & _in_bitmap(filtered, found)
-                    for pos in np.flatnonzero(usable).tolist():
-                        out[3].append(pos)
-                        slots = np.flatnonzero(~literal[pos : pos + size])
-                        out[5].append([templates.value(at[pos + k]) for k in slots.tolist()])
                     held = found[usable]
-                    out[0].append(to_signed(held))
-                    out[1] += [key] * len(held)
-                    out[2] += [tie] * len(held)
-                    out[4] += [int(usable.sum())] * len(held)
-                    out[6] += [size] * len(held)
-            if out[3]:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(out[0])),
-                        *[pa.array(x, pa.int64()) for x in out[1:5]],
-                        pa.array(out[6], pa.int32()),
-                        pa.array(out[5], pa.list_(pa.string())),
-                    ],
-                    names=["h", "id", "tie", "pos", "runs", "width", "slots"],
-                )
+                    if not len(held):
+                        continue
+                    for pos in np.flatnonzero(usable).tolist():
+                        out["pos"].append(pos)
+                        slots = np.flatnonzero(~literal[pos : pos + size]) if reading != _VALUES else np.zeros(0, int)
+                        out["slots"].append([templates.value(at[pos + k]) for k in slots.tolist()])
+                    out["h"].append(to_signed(held))
+                    every = len(found) if size in exact else total
+                    for name, value in (("id", key), ("tie", tie), ("runs", total), ("every", every), ("width", size), ("reading", reading)):
+                        out[name] += [value] * len(held)
+            if out["pos"]:
+                longs = {x: pa.array(out[x], pa.int64()) for x in ("id", "tie", "pos", "runs", "every")}
+                ints = {x: pa.array(out[x], pa.int32()) for x in ("width", "reading")}
+                slots = {"slots": pa.array(out["slots"], pa.list_(pa.string()))}
+                whole = {"h": pa.array(np.concatenate(out["h"]))} | longs | ints | slots
+                yield pa.RecordBatch.from_arrays(list(whole.values()), names=list(whole))
 
     return docs.mapInArrow(run, _RUNS)
 
@@ -239,6 +257,7 @@ def contaminated(
     text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
+    exact: bool = False,
 ) -> DataFrame:
     """A row per document and item that match: ``(id, tie, item_id, kind, runs, item_runs,
     start, slots)``. ``tie`` is the text's hash, ``kind`` is ``verbatim`` or ``reparameterised``, ``runs``
@@ -251,32 +270,41 @@ def contaminated(
 
     items = picked(benchmark, item_column, item_text_column)
     common = _bitmap(_lower_words(items))
-    asked = _run_table(items, None, width, least, common, None).drop("tie")
-    asked = scratch.save(asked.dropDuplicates(["h", "id", "pos"]), "items")
+    asked = _run_table(items, None, width, least, common, None, set(range(least, width + 1)) if exact else set())
+    asked = scratch.save(asked.drop("tie").dropDuplicates(["h", "id", "pos"]), "items")
     bitmap = _bitmap(asked)
     # ``width`` and shorter lengths that an item has: a few numbers at most.
-    widths = sorted(r["width"] for r in asked.select("width").distinct().collect())
-    found = _run_table(picked(docs, id_column, text_column), widths, width, least, common, bitmap)
-    found = scratch.save(found.select("h", "id", "tie", "pos", "slots"), "found")
+    had = {(r["width"], r["reading"]) for r in asked.select("width", "reading").distinct().collect()}
+    widths, by_value = sorted({w for w, _ in had}), {w for w, reading in had if reading == _VALUES}
+    found = _run_table(picked(docs, id_column, text_column), widths, width, least, common, bitmap, by_value)
+    found = scratch.save(found.select("h", "id", "tie", "pos", "reading", "slots"), "found")
     item = asked.select(
-        "h", F.col("id").alias("item_id"), F.col("pos").alias("at"), F.col("runs").alias("item_runs"),
-        F.col("slots").alias("item_slots"),
+        "h", F.col("id").alias("item_id"), F.col("pos").alias("at"), F.col("runs").alias("item_templates"),
+        F.col("every").alias("item_runs"), F.col("slots").alias("item_slots"),
     )
     matched = found.join(item, "h").where(F.size("slots") == F.size("item_slots"))
     pairs = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "slots"))))
-    enough = F.least(F.lit(need), F.greatest(F.lit(1), F.col("item_runs") - 1))
+    enough, enough_exact = (
+        F.least(F.lit(need), F.greatest(F.lit(1), F.col(n) - 1)) for n in ("item_templates", "item_runs")
+    )
+    template, own = F.col("reading") != _VALUES, F.col("slots") == F.col("item_slots")
+    at_of = lambda holds: F.size(F.collect_set(F.when(holds, F.col("at"))))
+    same = (F.col("exact") >= enough_exact) | (F.col("exact_templates") >= enough)
     aligned = (
-        matched.groupBy("id", "tie", "item_id", "item_runs", (F.col("pos") - F.col("at")).alias("diagonal"))
+        matched.groupBy(
+            "id", "tie", "item_id", "item_templates", "item_runs", (F.col("pos") - F.col("at")).alias("diagonal")
+        )
         .agg(
             F.size(F.collect_set("at")).alias("runs"),
-            F.size(F.collect_set(F.when(F.col("slots") == F.col("item_slots"), F.col("at")))).alias("exact"),
+            at_of(template).alias("templates"),
+            at_of(own).alias("exact"),
+            at_of(template & own).alias("exact_templates"),
             F.min("pos").alias("start"),
             pairs.alias("slots"),
         )
-        .where(F.col("runs") >= enough)
+        .where((F.col("templates") >= enough) | same)
     )
     keys = F.transform("slots", lambda s: s["item_slots"])
-    same = F.col("exact") >= enough
     consistent = aligned.where(same | (F.size("slots") == F.size(F.array_distinct(keys))))
     named = F.transform("slots", lambda s: F.struct(s["item_slots"].alias("item"), s["slots"].alias("document")))
     kind = F.when(same, "verbatim").otherwise("reparameterised")

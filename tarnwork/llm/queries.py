@@ -82,7 +82,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op5_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, as it is or re-parameterised."""
-    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), spark)
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), spark, exact=True)
     return found.select(F.col("id").alias("doc_id"), "item_id", "kind", "runs", "item_runs", "start")
 
 

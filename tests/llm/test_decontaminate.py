@@ -100,3 +100,18 @@ def test_verbatim_leaks_against_all_windows(spark):
 def test_empty_tables(spark):
     assert found(spark, [], BENCH)[1].count() == 0
     assert found(spark, DOCS, [])[1].count() == 0
+
+
+def test_copies_of_items_rich_in_values(spark):
+    bench = [
+        (1, "What is 12 * 7 + 3 ?"), (2, "12 13 14 15 16 17 18 19 20 21"),
+        (3, "Anna Berta Carla Dora 5 6 7 8 9 10 11 12 13 in all of these rows of numbers"),
+    ]
+    docs = [(i, doc(FILL, text, FILL)) for i, text in bench] + [
+        (4, doc(FILL, "What is 12 * 7 + 4 ?", FILL)), (5, "12 13 14 15 16 17 18 91 20 21"), (6, FILL),
+        (7, "Anna Berta Carla Dora 5 6 7 8 9 10 11 12 14 in none of those rows"),
+    ]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r["id"], r["item_id"], r["kind"]) for r in D.contaminated(d, b, spark, exact=True).collect()}
+    assert got == {(1, 1, "verbatim"), (2, 2, "verbatim"), (3, 3, "verbatim")}
