@@ -9,8 +9,12 @@ slots, the values behind the placeholders, have to be consistent: a value of the
 always stands for the same value of the document. Runs with the item's own values need no
 such check.
 
+A title-case word that opens a sentence may be a name or not. Runs with such words that the
+benchmark never writes in lower case are hashed in both readings, all of them as literals or
+all as names, in items and documents alike.
+
 An alignment counts when it has ``need`` runs, or all but one of the item's runs where those
-are fewer: a name at the start of a sentence is written like any other word there.
+are fewer.
 The defaults ask for 6 runs of 8 tokens, 13 tokens in all. Items of fewer than ``width``
 tokens are one run of their own length; items of fewer than ``least`` tokens say too little
 and match nothing. A run of a template needs a literal token in every second place at least.
@@ -49,6 +53,7 @@ _LITERAL, _NUMBER, _UNIT, _NAME, _AMOUNT, _NOTHING = range(6)
 #: Template tokens of the placeholders.
 _MARKS = mix64(np.arange(1, 7, dtype=np.uint64))
 
+_NAME_PARTS = re.compile(r"['\u2019-]")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _IS_NUMBER = re.compile(r"\d[\d.,:/]*(?:st|nd|rd|th|%)?$")
 _IS_AMOUNT = re.compile(r"\d[\d.,]*([^\W\d_]{1,6})$")
@@ -104,10 +109,16 @@ class Templates:
         low = core.lower()
         if low in _UNITS:
             return _UNIT, core, low
-        if low != core and core[0].isupper() and len(core) > 1 and core[1:].islower():
+        if low != core and core[0].isupper() and len(core) > 1 and (core[1:].islower() or self._many_capitals(core)):
             return _NAME, core, low
         return _LITERAL, core, low
 
+    @staticmethod
+    def _many_capitals(core: str) -> bool:
+        """Names as O'Neil, McDonald, Jean-Luc."""
+        parts = [p for p in _NAME_PARTS.split(core) if p != "s"]
+        return any(c.islower() for c in core) and all(p.isalpha() and p[0].isupper() for p in parts)
+
     def _add(self, word: str) -> int:
         kind, core, low = self._kind(word)
         h = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"), 5)
@@ -121,8 +132,9 @@ class Templates:
         self.values.append(core)
         return at
 
-    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Template tokens, whether each is a literal, and the word of each."""
+    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Template tokens, whether each is a literal, the word of each, and whether it is a
+        literal that may be a name as it opens a sentence."""
         if len(self.values) > REMEMBERED:
             self._clear()
         get, add = self.known.get, self._add
@@ -132,25 +144,29 @@ class Templates:
         first[1:] = ends[at[:-1]]
         kept = kind != _NOTHING
         at, kind, first = at[kept], kind[kept], first[kept]
-        kind = np.where((kind == _NAME) & first, _LITERAL, kind)
+        opening = (kind == _NAME) & first
+        kind = np.where(opening, _LITERAL, kind)
         after_number = np.zeros(len(at), bool)
         after_number[1:] = kind[:-1] == _NUMBER
         kind = np.where((kind == _UNIT) & ~after_number, _LITERAL, kind)
-        return np.where(kind == _LITERAL, hashes[at], _MARKS[kind]), kind == _LITERAL, at
+        return np.where(kind == _LITERAL, hashes[at], _MARKS[kind]), kind == _LITERAL, at, opening
 
     def value(self, at: int) -> str:
         return self.values[at]
 
 
-#: Readings of a run: a template, or the values themselves.
-_TEMPLATE, _VALUES = 0, 2
+#: Readings of a run: a template, one whose opening words are names, the values themselves.
+_TEMPLATE, _NAMED, _VALUES = range(3)
 
 
 def _runs(templates: Templates, text: str | None, widths: list[int], exact: set[int]) -> Iterator[tuple]:
     """``(width, hashes, usable, tokens, reading)`` per width and reading; ``exact`` has the
     widths at which runs of too few literals are taken by their values."""
-    tokens, literal, at = templates.of(text)
+    tokens, literal, at, opening = templates.of(text)
     mixed, values = mix64(tokens), None
+    if opening.any():
+        named, fewer = mix64(np.where(opening, _MARKS[_NAME], tokens)), literal & ~opening
+        opened, few = (np.concatenate(([0], np.cumsum(x))) for x in (opening, fewer))
     for width in widths:
         found = window_hashes(mixed, width)
         if not len(found):
@@ -158,6 +174,9 @@ def _runs(templates: Templates, text: str | None, widths: list[int], exact: set[
         sums = np.concatenate(([0], np.cumsum(literal)))
         usable = 2 * (sums[width:] - sums[:-width]) >= width
         yield width, mix64(found ^ np.uint64(width)), usable, literal, at, _TEMPLATE
+        if opening.any():
+            either = (2 * (few[width:] - few[:-width]) >= width) & (opened[width:] > opened[:-width])
+            yield width, mix64(window_hashes(named, width) ^ np.uint64(width)), either, fewer, at, _NAMED
         if width in exact and not usable.all():
             values = mix64(templates.hashes[at] ^ _MARKS[0]) if values is None else values
             found = window_hashes(values, width)
@@ -283,7 +302,12 @@ def contaminated(
         F.col("every").alias("item_runs"), F.col("slots").alias("item_slots"),
     )
     matched = found.join(item, "h").where(F.size("slots") == F.size("item_slots"))
-    pairs = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "slots"))))
+    # An opening word is a slot only where the run does not match with it as a literal.
+    zipped = F.struct("at", F.arrays_zip("item_slots", "slots").alias("slots"))
+    plain = F.collect_set(F.when(F.col("reading") == _TEMPLATE, F.col("at")))
+    opened = F.filter(F.collect_list(F.when(F.col("reading") == _NAMED, zipped)), lambda x: ~F.array_contains(plain, x["at"]))
+    others = F.collect_list(F.when(F.col("reading") != _NAMED, zipped))
+    pairs = F.array_distinct(F.flatten(F.transform(F.concat(others, opened), lambda x: x["slots"])))
     enough, enough_exact = (
         F.least(F.lit(need), F.greatest(F.lit(1), F.col(n) - 1)) for n in ("item_templates", "item_runs")
     )

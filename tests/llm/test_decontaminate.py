@@ -115,3 +115,23 @@ def test_copies_of_items_rich_in_values(spark):
     b = spark.createDataFrame(bench, "item_id long, text string")
     got = {(r["id"], r["item_id"], r["kind"]) for r in D.contaminated(d, b, spark, exact=True).collect()}
     assert got == {(1, 1, "verbatim"), (2, 2, "verbatim"), (3, 3, "verbatim")}
+
+
+def test_names_that_open_sentences(spark):
+    bench = [
+        (1, "Alice bought 12 apples at the shop for 3 dollars. Bob sold 5 pears for 2 dollars."),
+        (2, "McDonald walked 4 miles to the old mill. O'Neil ran 9 miles from there to town. Then both took a bus home."),
+    ]
+    docs = [
+        (1, "Berta bought 15 apples at the shop for 4 dollars. Carl sold 7 pears for 3 dollars."),
+        (2, doc(FILL + ".", "MacArthur walked 6 miles to the old mill. O'Hara ran 3 miles from there to town. Then both took a bus home.")),
+        (3, "Berta bought 15 apples at the shop for 4 dollars. Carl ate 7 plums for 3 dollars."),
+        (4, bench[0][1]),
+    ]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(bench, "item_id long, text string")
+    hits = D.contaminated(d, b, spark, exact=True).collect()
+    got = {(r["id"], r["item_id"], r["kind"]) for r in hits}
+    assert got == {(1, 1, "reparameterised"), (2, 2, "reparameterised"), (4, 1, "verbatim")}
+    slots = {s["item"]: s["document"] for r in hits if r["id"] == 1 for s in r["slots"]}
+    assert slots["Alice"] == "Berta" and slots["Bob"] == "Carl"
