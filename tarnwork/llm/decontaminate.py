@@ -22,9 +22,12 @@ With ``exact``, runs that have fewer are joined by a hash of their own values, s
 of numbers and names are found as they are; ``item_runs`` then counts all runs.
 
 Before the join, documents drop runs whose hash is not in a bitmap of the benchmark's
-hashes. This bitmap, and that of the benchmark's lower-case words, have a fixed size of
-``FILTER_BITS`` bits whatever the benchmark, so they may be sent to the workers; they only
-let through more when the benchmark is large.
+hashes. This bitmap has a fixed size of ``FILTER_BITS`` bits whatever the benchmark; it only
+lets through more when the benchmark is large. The bitmap of the benchmark's lower-case words
+decides what is a name, so it grows with them: ``ROOM`` bits a word at least, by which a name
+is taken for a word by chance once in ``ROOM`` times. A name that the benchmark also writes in
+lower case (mark, rose) is a literal, and copies that change it are missed around it; a larger
+benchmark has more of these.
 
 A null or empty text has no runs. A null id is an id like any other. Rows that repeat id
 and text are one document. An empty benchmark matches nothing.
@@ -46,6 +49,8 @@ from tarnwork.llm.common import Scratch, mix64, to_signed
 from tarnwork.llm.substring import window_hashes
 
 FILTER_BITS = 1 << 24
+#: Bits per lower-case word of the benchmark, at least.
+ROOM = 256
 #: Words whose template token a worker remembers.
 REMEMBERED = 500_000
 
@@ -67,7 +72,7 @@ _UNITS = frozenset(
 
 
 def _in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(FILTER_BITS - 1)
+    place = hashes & np.uint64(8 * len(bitmap) - 1)
     return bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 > 0
 
 
@@ -251,20 +256,25 @@ def _run_table(
     return docs.mapInArrow(run, _RUNS)
 
 
-def _bitmap(runs: DataFrame) -> bytes:
-    """The hashes of ``runs (h)`` as a bitmap of fixed size, made where they are."""
-    place = F.col("h").bitwiseAND(FILTER_BITS - 1)
+def _bitmap(runs: DataFrame, bits: int = FILTER_BITS) -> bytes:
+    """The hashes of ``runs (h)`` as a bitmap of ``bits`` bits, made where they are."""
+    place = F.col("h").bitwiseAND(F.lit(bits - 1))
     words = (
         runs.select(F.shiftright(place, 5).alias("word"), F.expr("shiftleft(1L, cast(h & 31 AS int))").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
     )
-    made = np.zeros(FILTER_BITS >> 5, "<u4")
+    made = np.zeros(bits >> 5, "<u4")
     for row in words.toLocalIterator():
         made[row["word"]] = row["bits"]
     return made.tobytes()
 
 
+def _word_bits(words: int) -> int:
+    """A power of two with ``ROOM`` bits a word or more."""
+    return max(FILTER_BITS, 1 << (max(1, ROOM * words) - 1).bit_length())
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -288,7 +298,8 @@ def contaminated(
         return df.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
 
     items = picked(benchmark, item_column, item_text_column)
-    common = _bitmap(_lower_words(items))
+    lower = scratch.save(_lower_words(items).distinct(), "lower")
+    common = _bitmap(lower, _word_bits(lower.count()))
     asked = _run_table(items, None, width, least, common, None, set(range(least, width + 1)) if exact else set())
     asked = scratch.save(asked.drop("tie").dropDuplicates(["h", "id", "pos"]), "items")
     bitmap = _bitmap(asked)

@@ -135,3 +135,15 @@ def test_names_that_open_sentences(spark):
     assert got == {(1, 1, "reparameterised"), (2, 2, "reparameterised"), (4, 1, "verbatim")}
     slots = {s["item"]: s["document"] for r in hits if r["id"] == 1 for s in r["slots"]}
     assert slots["Alice"] == "Berta" and slots["Bob"] == "Carl"
+
+
+def test_bitmap_of_words_grows_with_them(spark):
+    assert D._word_bits(0) == D._word_bits(1000) == D.FILTER_BITS
+    words = 400_000
+    bits = D._word_bits(words)
+    assert D.ROOM * words <= bits <= 2 * D.ROOM * words
+    rows = spark.range(words).select(F.xxhash64("id").alias("h"))
+    bitmap = np.frombuffer(D._bitmap(rows, bits), np.uint8)
+    held = np.array([r["h"] for r in rows.limit(1000).collect()], np.int64).view(np.uint64)
+    other = np.random.default_rng(3).integers(0, 2**63, 100_000).astype(np.uint64)
+    assert D._in_bitmap(bitmap, held).all() and D._in_bitmap(bitmap, other).mean() < 1.2 / D.ROOM
