@@ -542,6 +542,17 @@ def hex_of(fp: str = "fp", lane: int = 0):
     return F.lower(F.lpad(F.hex(F.col(fp)[lane]), 16, "0"))
 
 
+def survivors(docs: DataFrame, grouped: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of each group of ``grouped (id, raw, root)``: the smallest id, of equal ids and
+    among rows without id the smallest hash of the text. Texts under one id are told apart."""
+    order = F.struct(F.col("id").isNull(), "id", "raw")
+    best = grouped.groupBy("root").agg(F.min(order).alias("best")).select("best.id", "best.raw").distinct()
+    best = best.select(F.col("id").alias("__id"), F.col("raw").alias("__raw"))
+    hashed = docs.withColumn("__text", F.xxhash64(text_column))
+    same = (hashed["__text"] == best["__raw"]) & hashed[id_column].eqNullSafe(best["__id"])
+    return hashed.join(best, same, "left_semi").dropDuplicates([id_column, "__text"]).drop("__text")
+
+
 def first_of_group(docs: DataFrame, grouped: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """The document that names its group, for each group. Rows without an id stay;
     rows that repeat an id are one document."""

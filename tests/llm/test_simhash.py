@@ -168,3 +168,13 @@ def test_near_groups_are_exact_among_candidates(spark, monkeypatch, cut):
     assert all(want[i] == want[got[i]] for i in got)  # nothing below the similarity is joined
     assert right >= len(texts) * (len(texts) - 1) // 2 - 5
     assert got[361] == 361  # equal fingerprints, other shingles
+
+
+def test_near_duplicates_tell_texts_of_one_id_apart(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(5, a), (5, b), (5, b), (6, a), (7, b), (None, c), (None, c), (None, c.replace("c59", "x")), (None, d), (8, d), (9, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [tuple(r) for r in corpus_pipeline.near_duplicates_stage(spark, docs, "").collect()]
+    assert sorted((i or 0, (t or "")[:1]) for i, t in left) == [(0, "c"), (5, "a"), (5, "b"), (8, "d"), (9, "")]
