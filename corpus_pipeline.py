@@ -57,7 +57,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix, read back."""
-    folder = tokens.write_tokens(docs, spark, tokenizer_file(), end_id=0)
+    folder = tokens.write_tokens(docs, spark, tokenizer_file(), end_id=0, added=True)
     return tokens.read_tokens(spark, folder).select(
         F.col("id").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )

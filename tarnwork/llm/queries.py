@@ -162,7 +162,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to token files and read back."""
-    folder = tokens.write_tokens(_table(spark, sf_dir, "documents"), spark, corpus_pipeline.tokenizer_file(), end_id=0)
+    folder = tokens.write_tokens(_table(spark, sf_dir, "documents"), spark, corpus_pipeline.tokenizer_file(), end_id=0, added=True)
     return tokens.read_tokens(spark, folder).select(
         F.col("id").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )

@@ -50,16 +50,20 @@ class Encoder:
     The pre-tokenizer of byte-level vocabularies never joins what stands before a single
     space to what follows it, so a text may be encoded word by word. Texts in which a
     space touches other white space are encoded whole, as are all texts when the
-    tokenizer is of another kind. Words not yet known are encoded many at a time, and the
+    tokenizer is of another kind. With ``added``, a text that holds an added token
+    (``<|endoftext|>``) is encoded whole too and gets that token's id, as the library does
+    by default; without, such a token is text like any other. Words not yet known are encoded many at a time, and the
     ids are dealt out to them by their bytes, which the tokens cut up without rest.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        contents = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.added = re.compile("|".join(map(re.escape, contents))) if contents else None
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
         kind = self.tokenizer.pre_tokenizer
@@ -99,7 +103,7 @@ class Encoder:
         for i, text in enumerate(texts):
             if not text:
                 out[i] = b""
-            elif not self.by_word or _TIED.search(text):
+            elif not self.by_word or _TIED.search(text) or (self.added and self.added.search(text)):
                 whole.append(i)
             else:
                 words = text.split(" ")
@@ -120,13 +124,13 @@ class Encoder:
         return out
 
 
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, added: bool) -> Encoder:
     """The encoder of this worker, which keeps what it knows from task to task."""
     store = sys.modules.setdefault("_tarnwork_worker", types.ModuleType("_tarnwork_worker"))
     held = store.__dict__.setdefault("encoders", {})
-    if path not in held:
-        held[path] = Encoder(path)
-    return held[path]
+    if (path, added) not in held:
+        held[path, added] = Encoder(path, added)
+    return held[path, added]
 
 
 def _ordered(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -139,7 +143,7 @@ def _ordered(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return picked.repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie")
 
 
-def _write_shards(ordered: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
+def _write_shards(ordered: DataFrame, folder: str, tokenizer: str, end_id: int, added: bool) -> DataFrame:
     schema = "shard string, width int, docs long, nulls long, ids long, first_id long, first_tie long"
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +152,7 @@ def _write_shards(ordered: DataFrame, folder: str, tokenizer: str, end_id: int)
             if not batch.num_rows:
                 continue
             if encoder is None:
-                encoder = _encoder(tokenizer)
+                encoder = _encoder(tokenizer, added)
                 end = np.array([end_id], encoder.dtype).tobytes()
                 out, lengths, names = files.create(f"{folder}/{shard}.ids"), [], []
                 nulls, first = 0, (batch.column("id")[0].as_py(), batch.column("tie")[0].as_py())
@@ -199,12 +203,13 @@ def write_tokens(
     folder: str | None = None,
     id_column: str = "doc_id",
     text_column: str = "text",
+    added: bool = False,
 ) -> str:
     """Write a data set and return its folder, a new one in the shared folder unless one
-    is given. The tokenizer file must be there on every machine."""
+    is given. ``added`` says whether added tokens in a text get their ids. The tokenizer file must be there on every machine."""
     scratch = Scratch(spark, "tokens")
     folder = folder or scratch.path("set")
-    shards = scratch.save(_write_shards(_ordered(docs, id_column, text_column), folder, tokenizer, end_id), "written")
+    shards = scratch.save(_write_shards(_ordered(docs, id_column, text_column), folder, tokenizer, end_id, added), "written")
     before = Window.orderBy("first_id", "first_tie").rowsBetween(Window.unboundedPreceding, -1)
     based = shards.withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0)))
     count = max(1, shards.count())

@@ -71,3 +71,11 @@ def test_crc_of_an_empty_text(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert tokens.read_tokens(spark, tokens.write_tokens(docs, spark, PATH)).count() == 0
+
+
+def test_added_tokens_get_their_ids():
+    encoder, plain = tokens.Encoder(PATH, added=True), Tokenizer.from_file(PATH)
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|>b c", "no such token here", *odd_texts()]
+    want = [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, np.uint16).tolist() for x in encoder.encode(texts)] == want
+    assert 50256 in want[0]
