@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tarnwork.llm import chat, decontaminate, langid, mixing, quality, simhash, substring, tokens, topk, warc
+from tarnwork.llm import chat, decontaminate, langid, lines, mixing, quality, simhash, substring, tokens, topk, warc
 from tarnwork.llm.common import fold
 
 QUERIES: dict = {}
@@ -168,6 +168,31 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    r"""
+    WITH d AS (
+      SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+    ), l AS (
+      SELECT doc_id, i, lines[i] AS line,
+        translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)
+    ), k AS (
+      SELECT key, max(doc_id) AS chief FROM l WHERE length(key) >= 40
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (chief <> doc_id) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (chief IS NULL OR chief = doc_id), '')) AS kept_sha256
+    FROM l LEFT JOIN k ON k.key = l.key GROUP BY doc_id
+    """
+)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines of 40 characters that five documents hold."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lines.without_repeats(docs, lines.bitmaps(docs, spark, least=40, documents=5))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @_query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline.py`` over the documents."""
