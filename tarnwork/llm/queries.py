@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tarnwork.llm import chat, decontaminate, langid, lines, mixing, quality, simhash, substring, tokens, topk, warc
-from tarnwork.llm.common import fold
+from tarnwork.llm import chat, decontaminate, langid, lines, mixing, periods, quality, simhash, substring, tokens, topk, warc
+from tarnwork.llm.common import WORD, fold
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """Documents whose id hashes to a multiple of ten get a tail of equal stretches: with n
+    words, word i from word a = g % n on becomes word a + (i - a) % p, where g is a tenth of the
+    hash and p = 1 + floor((n - a) / (3 + g % 8))."""
+    hashed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    chosen = F.when(hashed % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+    words, a, p = F.col("__words"), F.col("__a"), F.col("__p")
+    rows = docs.withColumn("__words", chosen).withColumn("__n", F.size(words))
+    rows = rows.withColumn("__a", F.when(F.col("__n") > 0, F.floor(hashed / 10) % F.col("__n")))
+    rows = rows.withColumn("__p", 1 + F.floor((F.col("__n") - a) / (3 + F.floor(hashed / 10) % 8)))
+    tail = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
+    repeated = F.when(F.col("__n") > 0, F.array_join(tail, " ")).otherwise(F.col("text"))
+    return rows.withColumn("text", repeated).select(*docs.columns)
+
+
 @_query()
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roles of all messages, learned from four fifths of the conversations, and their
@@ -168,6 +183,27 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, a tenth of which get a repeated tail."""
+    docs = with_repeated_tails(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periods.periodic(docs, least=24, times=3).withColumnRenamed("id", "doc_id")
+    higher = lambda best, r: r["length"] * best["period"] > best["length"] * r["period"]
+    top = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, r: F.when(higher(best, r), r).otherwise(best))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.withColumn("top", top).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 @_query(
     r"""
     WITH d AS (
