@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tarnwork.llm import chat, decontaminate, langid, lines, mixing, periods, quality, simhash, substring, tokens, topk, warc
+from tarnwork.llm import chat, decontaminate, langid, lines, mixing, periods, quality, simhash, substring, tokens, topk, vector_codes, warc
 from tarnwork.llm.common import WORD, fold
 
 QUERIES: dict = {}
@@ -204,6 +204,54 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _codes_sql() -> str:
+    """Six rounds, each a pair of tables: the nearest entry of every part, the moved entries."""
+    c = [f"x{i}" for i in range(8)]
+    far = " + ".join(f"(v.{x} - b.{x}) * (v.{x} - b.{x})" for x in c)
+    nearest = "{name} AS MATERIALIZED (SELECT vec_id, part, {own}, min(({far}) * 16 + entry) AS found FROM v JOIN {book} b USING (part) GROUP BY ALL)"
+    own = ", ".join(f"v.{x}" for x in c)
+    floored = ", ".join(f"coalesce((sum(a.{x}) - ((sum(a.{x}) % count(a.part)) + count(a.part)) % count(a.part)) // count(a.part), b.{x})::BIGINT AS {x}" for x in c)
+    steps = []
+    for k in range(6):
+        steps.append(nearest.format(name=f"a{k}", book=f"b{k}", far=far, own=own))
+        group = ", ".join(f"b.{x}" for x in c)
+        steps.append(
+            f"b{k + 1} AS MATERIALIZED (SELECT b.part, b.entry, {floored} FROM b{k} b LEFT JOIN a{k} a"
+            f" ON a.part = b.part AND a.found % 16 = b.entry GROUP BY b.part, b.entry, {group})"
+        )
+    steps.append(nearest.format(name="last", book="b6", far=far, own=own))
+    cut = ", ".join(f"floor(4096 * embedding[8 * part + {i + 1}]::DOUBLE)::BIGINT AS x{i}" for i in range(8))
+    return f"""
+    WITH e AS MATERIALIZED (
+      SELECT vec_id, label, embedding FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), v AS MATERIALIZED (
+      SELECT vec_id, part, {cut} FROM (SELECT vec_id, embedding, unnest(range(8)) AS part FROM e)
+    ), b0 AS MATERIALIZED (
+      SELECT part, entry, {", ".join(c)}
+      FROM v JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM e) USING (vec_id) WHERE entry < 16
+    ), {", ".join(steps)}, coded AS (
+      SELECT vec_id, string_agg(printf('%02x', found % 16), '' ORDER BY part) AS code, sum(found // 16)::BIGINT AS error
+      FROM last GROUP BY vec_id
+    ), book AS (
+      SELECT sha256(string_agg(concat_ws(',', {", ".join(c)}), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b6
+    )
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+    FROM coded JOIN e USING (vec_id), book
+    """
+
+
+@_query(_codes_sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of eight parts of all vectors and the errors they make, by vector and label."""
+    table = _table(spark, sf_dir, "embeddings")
+    made = vector_codes.compress(table, spark, parts=8, entries=16, rounds=6, scale=4096.0, carry=["label"])
+    total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(2**63 - 1)).cast("long")
+    by_label = made.rows.groupBy(F.col("label").alias("of")).agg(total.alias("label_error"))
+    rows = made.rows.join(by_label, F.col("label").eqNullSafe(F.col("of")))
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(made.digest()).alias("codebooks_sha256"))
+
+
 @_query(
     r"""
     WITH d AS (
