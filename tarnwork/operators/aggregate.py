@@ -57,15 +57,12 @@ def with_scalars(df: DataFrame, aggs: Aggs) -> DataFrame:
     return df.withColumns({n: row[n] for n in aggs})
 
 
-def with_group_stats(
-    df: DataFrame, keys: Sequence[str], aggs: Aggs, few_groups: bool = False
-) -> DataFrame:
+def with_group_stats(df: DataFrame, keys: Sequence[str], aggs: Aggs) -> DataFrame:
     """Aggregates of its group beside each row. The aggregate is combined before
     its shuffle, and the join back can be split by the adaptive planner where a
-    key is hot, which a window over the key cannot. With ``few_groups`` the
-    aggregate is measured and, if small, broadcast, so the rows stay where they are.
-    """
-    return attach(df, group(df, keys, aggs), keys, broadcast=few_groups)
+    key is hot, which a window over the key cannot. An aggregate that turns out small
+    is broadcast by adaptive execution, so the rows stay where they are."""
+    return attach(df, group(df, keys, aggs), keys)
 
 
 # -- reshaping -------------------------------------------------------------
@@ -126,86 +123,91 @@ def correlation(
     return df.groupBy(*keys).agg(F.corr(a, b).alias(out))
 
 
-#: Relative rank error of the sketch that brackets a median.
-_SKETCH_ACCURACY = 50_000
+#: Buckets of a pass of the median selection; half of the first pass' are for either sign.
+_BUCKETS = 1 << 16
+
+
+def _by_size(x: Column) -> Column:
+    """The bucket of a double by sign and logarithm, ascending with the number; a bucket
+    spans a twentieth of its numbers' size."""
+    half = _BUCKETS // 2
+    steps = F.least(F.floor((F.ln(F.abs(x)) + 745) * ((half - 2) / 1456)), F.lit(half - 2))
+    return F.when(x > 0, half + steps).when(x < 0, half - 2 - steps).otherwise(half - 1)
+
+
+def _between(x: Column, low: float, high: float) -> Column:
+    """The bucket of a double when ``low`` to ``high`` is cut evenly; ascends with the
+    number, the two ends never share one."""
+    return F.least(F.floor((x - low) / F.lit(high - low) * _BUCKETS), F.lit(_BUCKETS - 1))
+
+
+def _chosen(entries: DataFrame, ranks: Mapping[str, int] | None) -> dict[str, tuple]:
+    """Of ``entries (name, bucket, value)`` and for each name: the rank that is looked for
+    (the lower middle one, where ``ranks`` does not say), the rows before its bucket, and the
+    smallest and largest value in it."""
+    counts = entries.groupBy("name", "bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    # At most 65,536 rows a name.
+    whole = Window.partitionBy("name")
+    upto = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    rank = F.floor((F.sum("n").over(whole) + 1) / 2)
+    if ranks is not None:
+        rank = F.element_at(F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair]), F.col("name"))
+    found = (
+        counts.withColumns({"upto": F.sum("n").over(upto), "rank": rank})
+        .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
+        .select("name", "rank", (F.col("upto") - F.col("n")).alias("before"), "low", "high")
+    )
+    return {r["name"]: (r["rank"] - r["before"], r["low"], r["high"]) for r in found.collect()}
 
 
 def median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Exact medians as elements of the data (the lower one of an even count), one
     row, doubles. NULL and NaN do not count.
 
-    A quantile sketch brackets each median and a second pass counts the values
-    around the bracket; both bring back a few numbers per column. Only the values
-    inside a bracket (a few per hundred thousand) are then grouped and ranked.
-    Should a bracket miss, its side is opened, so the result never depends on the
-    sketch.
+    Radix selection: a pass counts 65,536 buckets of every column, combined before the
+    shuffle, and goes on with the bucket that holds the middle row. The first pass cuts by
+    sign and logarithm, each later one cuts what lies between the smallest and the largest
+    value of the bucket, until these are equal: two or three passes for measures as they
+    come, five for any doubles. Nothing is sorted but buckets, and the driver sees three
+    numbers per column and pass.
     """
-    eps = 2.0 / _SKETCH_ACCURACY
-    names = {c: f"c{i}" for i, c in enumerate(cols)}
+    names = {c: f"c{i}" for i, c in enumerate(dict.fromkeys(cols))}
     vals = df.select(
         *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(n) for c, n in names.items()]
     )
-    sketch = vals.agg(
-        *[
-            F.percentile_approx(n, [0.5 - eps, 0.5 + eps], _SKETCH_ACCURACY).alias(n)
-            for n in names.values()
+
+    def entries(buckets: Mapping[str, Column]) -> DataFrame:
+        rows = [
+            F.when(b.isNotNull(), F.struct(F.lit(n).alias("name"), b.cast("int").alias("bucket"), F.col(n).alias("value")))
+            for n, b in buckets.items()
         ]
-    ).first()
-    brackets = {n: sketch[n] for n in names.values() if sketch[n]}
-    counts = vals.agg(
-        F.lit(0).alias("none"),
-        *[
-            F.struct(
-                F.count(n).alias("n"),
-                F.count_if(F.col(n) < lo).alias("below"),
-                F.count_if(F.col(n) <= hi).alias("upto"),
-            ).alias(n)
-            for n, (lo, hi) in brackets.items()
-        ],
-    ).first()
-
-    conditions, ranks = {}, {}
-    for n, (lo, hi) in brackets.items():
-        seen = counts[n]
-        target = (seen["n"] + 1) // 2
-        inside, ranks[n] = F.col(n).isNotNull(), target
-        if seen["below"] < target:
-            inside, ranks[n] = inside & (F.col(n) >= lo), target - seen["below"]
-        if seen["upto"] >= target:
-            inside = inside & (F.col(n) <= hi)
-        conditions[n] = inside
-    if not brackets:
-        return vals.agg(*[F.max(n).alias(c) for c, n in names.items()])
-
-    some = F.lit(False)
-    for inside in conditions.values():
-        some = some | inside
-    entries = [
-        F.when(inside, F.struct(F.lit(n).alias("name"), F.col(n).alias("value")))
-        for n, inside in conditions.items()
-    ]
-    rank = F.lit(0)
-    for n, r in ranks.items():
-        rank = F.when(F.col("name") == n, F.lit(r)).otherwise(rank)
-    upto = F.sum("n").over(
-        Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    found = (
-        vals.where(some)
-        .select(F.inline(F.array_compact(F.array(*entries))))
-        .groupBy("name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", upto)
-        .where(F.col("upto") >= rank)
-    )
-    return found.agg(
-        *[F.min(F.when(F.col("name") == n, F.col("value"))).alias(c) for c, n in names.items()]
-    )
+        return vals.select(F.inline(F.array_compact(F.array(*rows))))
+
+    def inside(n: str) -> Column:
+        _, low, high = open_[n]
+        return F.when(F.col(n).between(low, high), _between(F.col(n), low, high))
+
+    open_ = _chosen(entries({n: F.when(F.col(n).isNotNull(), _by_size(F.col(n))) for n in names.values()}), None)
+    done: dict[str, float] = {}
+    while True:
+        done |= {n: low for n, (_, low, high) in open_.items() if low == high}
+        open_ = {n: x for n, x in open_.items() if n not in done}
+        if not open_:
+            break
+        open_ = _chosen(entries({n: inside(n) for n in open_}), {n: rank for n, (rank, _, _) in open_.items()})
+    result = [F.lit(done.get(names[c])).cast("double").alias(c) for c in cols]
+    return df.sparkSession.range(1).select(*result)
 
 
 # -- arrays ------------------------------------------------------------------
 
 
+#: Values of an array, unless the caller says otherwise.
+ARRAY_VALUES = 100_000
+
+
 def implode(
     df: DataFrame,
     keys: Sequence[str],
@@ -215,26 +217,28 @@ def implode(
     chunk: int | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Values of each key as one array, in a fixed order.
+    """Values of each key as arrays in the order of ``order_by``.
 
-    One array holds a whole group, so this form is for groups of known size. With
-    ``chunk`` a group is spread over several rows of at most ``chunk`` values,
-    numbered by ``part``, and no value is left out.
+    An array holds ``chunk`` values at most, and no value is left out: a larger group makes
+    several rows, numbered from 0 by ``part``. Without ``chunk`` arrays are cut at
+    ``ARRAY_VALUES`` and not numbered, so that groups of ordinary size are one row each.
     """
     out = out or col
-    if any(o.startswith("-") for o in order_by):
-        raise ValueError("arrays are built in ascending order")
-    item = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order_by)], F.col(col).alias("v"))
-    by = list(keys)
-    if chunk is not None:
-        df = number_rows(df, keys, order_by, "__rn", hot_rows)
-        df = df.withColumn("part", F.floor((F.col("__rn") - 1) / chunk).cast("long"))
-        by.append("part")
-    return (
-        df.groupBy(*by)
-        .agg(F.array_sort(F.collect_list(item)).alias("__items"))
-        .select(*by, F.transform("__items", lambda x: x["v"]).alias(out))
+    part = F.floor((F.col("__rn") - 1) / (chunk or ARRAY_VALUES)).cast("long")
+    numbered = number_rows(df.select(*keys, *_names(order_by, keys, col), col), keys, order_by, "__rn", hot_rows)
+    item = F.struct("__rn", F.col(col).alias("v"))
+    arrays = (
+        numbered.withColumn("part", part)
+        .groupBy(*keys, "part")
+        .agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["v"]).alias(out))
     )
+    return arrays if chunk is not None else arrays.drop("part")
+
+
+def _names(order: Sequence[str], *others: Sequence[str] | str) -> list[str]:
+    """The sort columns that are not among the other columns, each once."""
+    known = {x for other in others for x in ([other] if isinstance(other, str) else other)}
+    return [o for o in dict.fromkeys(o.lstrip("-") for o in order) if o not in known]
 
 
 def word_count(df: DataFrame, text: str, sep: str = " ") -> DataFrame:

@@ -2,7 +2,8 @@
 
 Both types follow the sequence column, never the order of arrival, so late
 changes land where they belong. ``reduce_changes`` shrinks a feed without
-changing what the two operators make of it; the stream form is built on that.
+changing what the two operators make of it; the stream form is built on that. Of two
+changes with equal key and sequence the one with the larger row hash counts.
 """
 
 from __future__ import annotations
@@ -12,24 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnwork.functions.scalars import row_hash
-from tarnwork.operators.skew import HOT_ROWS
-from tarnwork.operators.window import following, latest, top_n
+from tarnwork.operators.skew import HOT_ROWS, bounded_window
+from tarnwork.operators.window import latest
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
-_HASH = "__row_hash"
 
 
 def _is(pred: str | None) -> Column:
     return F.coalesce(F.expr(pred), F.lit(False)) if pred else F.lit(False)
 
 
-def _hashed(df: DataFrame) -> DataFrame:
-    """Row hash: settles which of two changes with equal key and sequence counts."""
-    return df.withColumn(_HASH, row_hash(df))
-
-
 def _latest_per_key(
     changes: DataFrame, keys: Sequence[str], seq: str, truncate_when: str | None
 ) -> DataFrame:
@@ -37,7 +31,7 @@ def _latest_per_key(
     if truncate_when:
         cut = changes.where(_is(truncate_when)).agg(F.max(seq).alias("t")).scalar()
         rows = changes.where(~_is(truncate_when)).where(cut.isNull() | (F.col(seq) >= cut))
-    return latest(_hashed(rows), keys, [seq, _HASH]).drop(_HASH)
+    return latest(rows, keys, [seq])
 
 
 def reduce_changes(
@@ -50,7 +44,7 @@ def reduce_changes(
     """Type 1: the newest change per key, deletes included, and the newest truncate.
     Type 2: one change per key and sequence."""
     if scd_type == 2:
-        return top_n(_hashed(changes), [*keys, seq], [_HASH], 1).drop(_HASH)
+        return latest(changes, [*keys, seq], [seq])
     newest = _latest_per_key(changes, keys, seq, truncate_when)
     if not truncate_when:
         return newest
@@ -83,10 +77,15 @@ def scd2(
     """Every version of a key with the interval it was valid in; open versions have
     no end. A delete closes the version before it; without ``delete_when`` every
     change is a version."""
-    single = reduce_changes(changes, keys, seq, 2)
-    closed = following(single, keys, [seq], seq, END_AT, hot_rows)
+    # The last change of a sequence is followed by one of a later sequence, which is where
+    # it ends; so one sort finds both the change that counts and its end.
+    last, more = F.lead(seq), F.lead(F.lit(True))
+    closed = bounded_window(changes, keys, [seq], lambda w: {END_AT: last.over(w), "__more": more.over(w)}, 1, hot_rows)
+    counts = F.col("__more").isNull() | ~F.col(END_AT).eqNullSafe(F.col(seq))
     return (
-        closed.where(~_is(delete_when))
+        closed.where(counts)
+        .drop("__more")
+        .where(~_is(delete_when))
         .withColumn(START_AT, F.col(seq))
         .drop(*except_cols)
     )

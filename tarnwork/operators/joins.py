@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tarnwork.functions.scalars import row_hash
 from tarnwork.operators.project import prefix_columns
-from tarnwork.operators.skew import fits_broadcast
+from tarnwork.operators.skew import HOT_ROWS, attach, fits_broadcast, has_hot_key
 
-#: Largest side that may be multiplied into every row.
+#: Rows of a pack of the right side of a cross join.
 CROSS_ROWS = 1_000
+#: Hot keys that a full outer join lays out as grids, the hottest first.
+GRID_KEYS = 20_000
 
 On = str | Sequence[str] | Mapping[str, str] | Column
 
@@ -58,27 +60,74 @@ def unmatched(
     return l.join(right, cond, "left").where(F.col(f"__r_{first}").isNull()).drop(*right.columns)
 
 
+def _presence(l: DataFrame, r: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
+    """Keys with the rows they have on either side, ``__nl`` and ``__nr``."""
+    names = [f"k{i}" for i in range(len(pairs))]
+    left = l.select(*[F.col(a).alias(n) for a, n in zip(pairs, names)], F.lit(1).alias("__l"), F.lit(0).alias("__r"))
+    right = r.select(*[F.col(b).alias(n) for b, n in zip(pairs.values(), names)], F.lit(0).alias("__l"), F.lit(1).alias("__r"))
+    return left.union(right).groupBy(*names).agg(F.sum("__l").alias("__nl"), F.sum("__r").alias("__nr"))
+
+
 def full_join(
     l: DataFrame,
     r: DataFrame,
     on: str | Sequence[str] | Mapping[str, str],
     split: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Full outer join on shared names (one key column), or on differently named
     columns (both kept). Other columns must not share names; prefix them.
 
     The adaptive planner cannot split either side of a full outer join where a key
-    is hot. ``split`` therefore builds the result from the inner join and the
-    unmatched rows of both sides, all of which it can; ``split=False`` is the
-    single join for inputs known to have no hot keys.
+    is hot. With ``split`` the keys of both sides are sampled; if one is hot, the rows of
+    all keys are counted, from the key columns alone. A key of more than ``hot_rows`` rows is laid out as a grid: its left rows
+    in as many strips as they need, its right rows in columns, each row repeated for the
+    strips that cross its own, so that every pair meets in one cell. Rows of a key that is
+    on both sides have a partner somewhere; what a cell with an empty strip says about
+    them is left out. NULL keys, which meet nobody, are strips of their own side. So each
+    side is read twice and joined once. ``split=False`` is the plain join.
     """
-    if not split:
+    pairs = _pairs(on)
+    hot = split and (has_hot_key(l, list(pairs), hot_rows) or has_hot_key(r, list(pairs.values()), hot_rows))
+    if not hot:
         return join(l, r, on, "full")
-    reverse = {b: a for a, b in _pairs(on).items()}
-    matched = join(l, r, on, "inner")
-    return matched.unionByName(
-        unmatched(l, r, on), allowMissingColumns=True
-    ).unionByName(unmatched(r, l, reverse), allowMissingColumns=True)
+    names = [f"k{i}" for i in range(len(pairs))]
+    null = F.lit(False)
+    for n in names:
+        null = null | F.col(n).isNull()
+    strips = lambda n: F.greatest(F.ceil(F.col(n) / F.lit(hot_rows)), F.lit(1)).cast("int")
+    met = (F.col("__nl") > 0) & (F.col("__nr") > 0) & ~null
+    grids = (
+        _presence(l, r, pairs)
+        .where(F.greatest("__nl", "__nr") > hot_rows)
+        .orderBy(F.greatest("__nl", "__nr").desc())
+        .limit(GRID_KEYS)
+        .select(*names, F.struct(strips("__nl").alias("l"), strips("__nr").alias("r"), met.alias("met")).alias("__grid"))
+    )
+
+    def laid(side: DataFrame, keys: Sequence[str], own: str, other: str, mark: str) -> DataFrame:
+        grid = attach(side, F.broadcast(grids.withColumnsRenamed(dict(zip(names, keys)))), keys)
+        spread = F.pmod(row_hash(side), F.lit(1 << 30)) + F.spark_partition_id()
+        strip = F.when(F.col("__grid").isNull(), 0).otherwise(F.pmod(spread, F.col(f"__grid.{own}"))).cast("int")
+        crossing = F.when(F.col("__grid.met"), F.sequence(F.lit(0), F.col(f"__grid.{other}") - 1)).otherwise(F.array(F.lit(0)))
+        both = F.coalesce("__grid.met", F.lit(False))
+        rows = grid.withColumns({f"__{own}": strip, mark: both}).withColumn(f"__{other}", F.explode(crossing))
+        return rows.drop("__grid")
+
+    left = laid(l, list(pairs), "l", "r", "__left")
+    right = laid(r, list(pairs.values()), "r", "l", "__right")
+    if isinstance(on, Mapping):
+        # Cells are compared under other names: the right side's would clash.
+        right = right.withColumnsRenamed({"__l": "__l2", "__r": "__r2"})
+        cond = (F.col("__l") == F.col("__l2")) & (F.col("__r") == F.col("__r2"))
+        for a, b in pairs.items():
+            cond = cond & (left[a] == right[b])
+        joined = left.join(right, cond, "full").drop("__l2", "__r2")
+    else:
+        joined = left.join(right, [*pairs, "__l", "__r"], "full")
+    alone = F.col("__left").isNull() | F.col("__right").isNull()
+    spurious = alone & (F.coalesce("__left", F.lit(False)) | F.coalesce("__right", F.lit(False)))
+    return joined.where(~spurious).drop("__l", "__r", "__left", "__right")
 
 
 def reconcile(
@@ -94,14 +143,30 @@ def reconcile(
     return both.na.fill(dict(defaults))
 
 
-def cross(l: DataFrame, r: DataFrame, max_rows: int = CROSS_ROWS) -> DataFrame:
-    """Every row of ``l`` with every row of a small ``r``. The small side becomes one
-    array value that is exploded in place: no product join and no shuffle. A side
-    of more than ``max_rows`` rows is refused."""
-    if len(r.select(F.lit(1)).head(max_rows + 1)) > max_rows:
-        raise ValueError(f"the right side has more than {max_rows} rows")
-    packed = r.agg(F.collect_list(F.struct(*r.columns)).alias("rows")).scalar()
-    return l.withColumn("__r", F.explode(packed)).select(*l.columns, "__r.*")
+def cross(l: DataFrame, r: DataFrame, pack: int = CROSS_ROWS) -> DataFrame:
+    """Every row of ``l`` with every row of ``r``. The right side becomes packs of at most
+    ``pack`` rows, one array each. One pack, the usual case, is sent to all tasks and
+    exploded in place. Several make a grid: left rows are dealt to lanes and sent to every
+    pack, each pack to every lane, and a task holds one pack at a time."""
+    columns = F.struct(*r.columns)
+    rows = r.count()
+    if rows <= pack:
+        packed = r.agg(F.collect_list(columns).alias("rows")).scalar()
+        return l.withColumn("__r", F.explode(packed)).select(*l.columns, "__r.*")
+    # As many cells as there are shuffle partitions, so that no task gets all left rows.
+    tasks = int(l.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lanes = max(1, tasks * pack // rows)
+    packs = (
+        r.withColumn("__pack", F.expr(f"monotonically_increasing_id() div {int(pack)}"))
+        .groupBy("__pack")
+        .agg(F.collect_list(columns).alias("__rows"))
+    )
+    numbers = packs.agg(F.collect_list("__pack").alias("n")).scalar()
+    lane = F.pmod(F.monotonically_increasing_id(), F.lit(lanes))
+    left = l.withColumn("__lane", lane).withColumn("__pack", F.explode(numbers))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long")))
+    met = left.join(packs.withColumn("__lane", every), ["__pack", "__lane"])
+    return met.withColumn("__r", F.explode("__rows")).select(*l.columns, "__r.*")
 
 
 def salted_join(

@@ -8,8 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tarnwork.functions.scalars import flip_order, sort_columns
-from tarnwork.operators.skew import HOT_ROWS, attach, bounded_window, running_window
+from tarnwork.functions.scalars import flip_order, row_hash, sort_columns
+from tarnwork.operators.skew import (
+    HOT_ROWS,
+    SLICES_PER_UNIT,
+    TIE,
+    attach,
+    bounded_window,
+    first_rows,
+    has_hot_key,
+    running_window,
+    measured,
+    tie_column,
+)
 
 _START = Window.unboundedPreceding
 
@@ -62,16 +73,33 @@ def _by_level(
     return attach(df, build(levels).select(*level, out), level)
 
 
+def _peers(
+    df: DataFrame, part: Sequence[str], order: Sequence[str], hot_rows: int | None, many_ties: bool | None
+) -> tuple[int | None, bool]:
+    """How to evaluate a window whose peers share one result: ``hot_rows`` as it holds, and
+    whether to work per distinct sort value. Peers cannot be cut, so that is done where a
+    single value of a hot key has more rows than a slice should."""
+    if many_ties is not None:
+        return hot_rows, many_ties
+    hot_rows = measured(df, part, hot_rows)
+    if hot_rows is None:
+        return None, False
+    level = [*part, *dict.fromkeys(o.lstrip("-") for o in order)]
+    return hot_rows, has_hot_key(df, level, max(1, hot_rows // SLICES_PER_UNIT))
+
+
 def rank(
     df: DataFrame,
     part: Sequence[str],
     order: Sequence[str],
     out: str = "rank",
     hot_rows: int | None = HOT_ROWS,
-    many_ties: bool = False,
+    many_ties: bool | None = None,
 ) -> DataFrame:
     """Rank with gaps. Peers share all sort columns, hence the slice. With
-    ``many_ties`` the ranks are found per distinct sort value and joined back."""
+    ``many_ties`` the ranks are found per distinct sort value and joined back; by
+    default where a sample shows one value of a hot key to be hot itself."""
+    hot_rows, many_ties = _peers(df, part, order, hot_rows, many_ties)
     if many_ties:
         return _by_level(
             df,
@@ -102,9 +130,10 @@ def dense_rank(
     order: Sequence[str],
     out: str = "dense_rank",
     hot_rows: int | None = HOT_ROWS,
-    many_ties: bool = False,
+    many_ties: bool | None = None,
 ) -> DataFrame:
     """Rank without gaps; ``many_ties`` as for ``rank``."""
+    hot_rows, many_ties = _peers(df, part, order, hot_rows, many_ties)
     if many_ties:
         return _by_level(
             df, part, order, {}, lambda levels: number_rows(levels, part, order, out, hot_rows), out
@@ -127,23 +156,30 @@ def dense_rank(
 # row_number/rank compared with a constant is planned as WindowGroupLimit: every
 # map task keeps at most n rows per group (and ties, for rank) before the
 # shuffle, so a hot group arrives as n rows per map task. That is much for a large
-# n, and Spark gives it up above 1,000; then rows are numbered slice by slice.
+# n, and Spark gives it up above 1,000; then the rows of hot groups that lie behind
+# a bound from a sample are left out first.
 
 #: Largest n for which every map task may send n rows of a group.
 GROUP_LIMIT = 100
 
 
 def top_n(
-    df: DataFrame, part: Sequence[str], order: Sequence[str], n: int, out: str | None = None
+    df: DataFrame,
+    part: Sequence[str],
+    order: Sequence[str],
+    n: int,
+    out: str | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """First ``n`` rows of each group in ``order``; ``out`` keeps the row number."""
-    w = Window.partitionBy(*part).orderBy(*sort_columns(order))
+    """First ``n`` rows of each group in ``order``, ties by the rows' hash; ``out`` keeps
+    the row number."""
+    tie = [*order, tie_column(order)]
+    rows = df.withColumn(TIE, row_hash(df))
+    if n > GROUP_LIMIT and measured(df, part, hot_rows) is not None:
+        rows = first_rows(rows, part, tie, n, hot_rows)
     name = out or "__rn"
-    if n <= GROUP_LIMIT:
-        numbered = df.withColumn(name, F.row_number().over(w))
-    else:
-        numbered = number_rows(df, part, order, name).withColumn(name, F.col(name).cast("int"))
-    kept = numbered.where(F.col(name) <= n)
+    numbered = rows.withColumn(name, F.row_number().over(Window.partitionBy(*part).orderBy(*sort_columns(tie))))
+    kept = numbered.where(F.col(name) <= n).drop(TIE)
     return kept if out else kept.drop(name)
 
 
@@ -156,13 +192,11 @@ def earliest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     return top_n(df, keys, order, 1)
 
 
-def group_max_rows(
-    df: DataFrame, part: Sequence[str], col: str, few_groups: bool = False
-) -> DataFrame:
-    """All rows that carry the maximum of ``col`` in their group, ties kept.
-    ``few_groups`` lets the maxima be broadcast once they are measured to be small."""
+def group_max_rows(df: DataFrame, part: Sequence[str], col: str) -> DataFrame:
+    """All rows that carry the maximum of ``col`` in their group, ties kept. Where the
+    maxima turn out small, adaptive execution broadcasts them."""
     peak = df.groupBy(*part).agg(F.max(col).alias("__peak"))
-    return attach(df, peak, part, "inner", few_groups).where(F.col(col) == F.col("__peak")).drop("__peak")
+    return attach(df, peak, part, "inner").where(F.col(col) == F.col("__peak")).drop("__peak")
 
 
 def top_ranked(df: DataFrame, order: Sequence[str], n: int, out: str = "rank") -> DataFrame:
@@ -192,12 +226,14 @@ def running_sum(
     out: str = "running_sum",
     frame: str = "range",
     hot_rows: int | None = HOT_ROWS,
-    many_ties: bool = False,
+    many_ties: bool | None = None,
 ) -> DataFrame:
     """``frame="range"`` gives peers the same value, for which ``many_ties`` works
     as for ``rank``; ``"rows"`` counts row by row."""
     if frame not in ("range", "rows"):
         raise ValueError("frame is 'range' or 'rows'")
+    if frame == "range":
+        hot_rows, many_ties = _peers(df, part, order, hot_rows, many_ties)
     if many_ties and frame == "range":
         return _by_level(
             df,
@@ -232,7 +268,19 @@ def running_min(
     col: str,
     out: str = "running_min",
     hot_rows: int | None = HOT_ROWS,
+    many_ties: bool | None = None,
 ) -> DataFrame:
+    """Minimum of the row, its peers and all rows before; ``many_ties`` as for ``rank``."""
+    hot_rows, many_ties = _peers(df, part, order, hot_rows, many_ties)
+    if many_ties:
+        return _by_level(
+            df,
+            part,
+            order,
+            {"__low": F.min(col)},
+            lambda levels: running_min(levels, part, order, "__low", out, hot_rows, False),
+            out,
+        )
     return running_window(
         df,
         part,
@@ -307,33 +355,19 @@ def with_global_bounds(
     return df.withColumns({low: bounds["lo"], high: bounds["hi"]})
 
 
-def extremes(
-    df: DataFrame,
-    col: str,
-    out: str = "extreme",
-    labels: tuple[str, str] = ("Highest", "Lowest"),
-) -> DataFrame:
-    """Rows at the table's maximum or minimum, labelled. A table with one distinct
-    value gets the first label."""
-    lo, hi = "__lo", "__hi"
-    marked = with_global_bounds(df, col, lo, hi).withColumn(
-        out,
-        F.when(F.col(col) == F.col(hi), labels[0]).when(F.col(col) == F.col(lo), labels[1]),
-    )
-    return marked.where(F.col(out).isNotNull()).drop(lo, hi)
+def extremes(df: DataFrame, col: str, names: Mapping[str, str], out: str = "extreme") -> DataFrame:
+    """Rows at the table's largest or smallest value, with ``names["max"]`` or
+    ``names["min"]`` beside them; where all values are equal, with the first."""
+    ends = df.agg(F.struct(F.min(col).alias("low"), F.max(col).alias("high")).alias("e")).scalar()
+    here = df.where(F.col(col).isin(ends["low"], ends["high"]))
+    return here.withColumn(out, F.when(F.col(col) < ends["high"], F.lit(names["min"])).otherwise(F.lit(names["max"])))
 
 
-def extremes_union(
-    df: DataFrame,
-    col: str,
-    out: str = "extreme",
-    labels: tuple[str, str] = ("Highest", "Lowest"),
-) -> DataFrame:
-    """The union form: a row that is both highest and lowest appears twice."""
-    bounded = with_global_bounds(df, col, "__lo", "__hi")
-    top = bounded.where(F.col(col) == F.col("__hi")).withColumn(out, F.lit(labels[0]))
-    bottom = bounded.where(F.col(col) == F.col("__lo")).withColumn(out, F.lit(labels[1]))
-    return top.unionByName(bottom).drop("__lo", "__hi")
+def extremes_union(df: DataFrame, col: str, names: Mapping[str, str], out: str = "extreme") -> DataFrame:
+    """As ``extremes``, but a row at both ends appears twice."""
+    ends = df.agg(F.struct(F.max(col).alias("max"), F.min(col).alias("min")).alias("e")).scalar()
+    at = [F.when(F.col(col) == ends[end], F.lit(names[end])) for end in ("max", "min")]
+    return df.withColumn(out, F.explode(F.array_compact(F.array(*at))))
 
 
 # -- sets, sorts and limits ------------------------------------------------

@@ -166,14 +166,14 @@ def salted_join_customer(spark, d):
 
 
 def _salted(spark, d, how):
-    """Orders of the first customers against the dimension of all customers."""
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey").where("o_custkey % 3 = 0 OR o_orderkey % 7 = 0")
+    """All orders with the customers who owe nothing and those without orders."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, d, "customer").where("c_acctbal > 0")
     return joins.salted_join(o, c.select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey", 4, how)
 
 
 _SALTED = """SELECT o_orderkey, o_custkey, c_name
-    FROM (SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 3 = 0 OR o_orderkey % 7 = 0)
+    FROM (SELECT o_orderkey, o_custkey FROM orders)
     {} JOIN (SELECT c_custkey AS o_custkey, c_name FROM customer WHERE c_acctbal > 0) USING (o_custkey)"""
 
 

@@ -75,7 +75,7 @@ def largest_lines_per_flag(spark, d):
     l = table(spark, d, "lineitem").select(
         "l_returnflag", "l_orderkey", "l_linenumber", "l_quantity"
     )
-    return window.group_max_rows(l, ["l_returnflag"], "l_quantity", few_groups=True)
+    return window.group_max_rows(l, ["l_returnflag"], "l_quantity")
 
 
 @query(
@@ -87,7 +87,7 @@ def max_order_per_segment_ties(spark, d):
     o = joins.join(
         table(spark, d, "orders"), table(spark, d, "customer"), {"o_custkey": "c_custkey"}
     ).select("c_mktsegment", "o_orderkey", "o_totalprice")
-    return window.group_max_rows(o, ["c_mktsegment"], "o_totalprice", few_groups=True)
+    return window.group_max_rows(o, ["c_mktsegment"], "o_totalprice")
 
 
 @query(
@@ -162,7 +162,7 @@ def monthly_running_and_total_sales(spark, d):
         monthly, ["o_orderpriority"], ["month"], "sales", "running_sales", hot_rows=None
     )
     both = agg.with_group_stats(
-        running, ["o_orderpriority"], {"total_sales": F.sum("sales")}, few_groups=True
+        running, ["o_orderpriority"], {"total_sales": F.sum("sales")}
     )
     return agg.distinct(
         both.select(
@@ -234,7 +234,7 @@ def parts_with_price_bounds(spark, d):
        WHERE c_acctbal IN ((SELECT max(c_acctbal) FROM customer), (SELECT min(c_acctbal) FROM customer))"""
 )
 def extreme_balances(spark, d):
-    c = window.extremes(table(spark, d, "customer"), "c_acctbal", "balance_type")
+    c = window.extremes(table(spark, d, "customer"), "c_acctbal", {"max": "Highest", "min": "Lowest"}, "balance_type")
     n = table(spark, d, "nation")
     return joins.join(c, n, {"c_nationkey": "n_nationkey"}, "left").select(
         "c_custkey", "c_name", "c_acctbal", "n_name", "balance_type"
@@ -249,7 +249,7 @@ def extreme_balances(spark, d):
 )
 def extreme_priced_parts(spark, d):
     p = table(spark, d, "part").select("p_partkey", "p_retailprice")
-    return window.extremes_union(p, "p_retailprice", "price_type")
+    return window.extremes_union(p, "p_retailprice", {"max": "Highest", "min": "Lowest"}, "price_type")
 
 
 @query(

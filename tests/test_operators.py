@@ -1,6 +1,8 @@
 """Operators on small tables with written-out results."""
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import Row
@@ -136,11 +138,31 @@ def test_broadcast_is_checked(spark, rows):
     assert rows(joins.join(l, big, "id", broadcast=True)) == rows(l.join(big, "id"))
 
 
-def test_cross_and_its_limit(spark, rows):
-    l = spark.createDataFrame([("a",), ("b",)], "s string")
-    assert rows(joins.cross(l, spark.range(3))) == [(s, i) for s in "ab" for i in range(3)]
-    with pytest.raises(ValueError):
-        joins.cross(l, spark.range(11), max_rows=10)
+@pytest.mark.parametrize("pack", [1, 7, 1000, 5000, 6000])
+def test_cross_of_any_size(spark, rows, pack):
+    l = spark.createDataFrame([("a",), ("b",), (None,)], "s string").repartition(2)
+    r = spark.range(5000 if pack > 100 else 40).withColumn("v", F.when(F.col("id") % 7 > 0, F.col("id"))).repartition(3)
+    got = joins.cross(l, r, pack)
+    assert got.columns == ["s", "id", "v"]
+    want = l.crossJoin(r)
+    sums = [F.count(F.lit(1)), F.sum("id"), F.count("v"), F.sum(F.xxhash64("s", "id", "v") % 1000)]
+    assert got.agg(*sums).first() == want.agg(*sums).first()
+    assert joins.cross(l, r.limit(0), pack).count() == 0
+
+
+def test_full_join_lays_hot_keys_out_as_grids(spark, rows):
+    left = [(7, i) for i in range(60)] + [(None, i) for i in range(30)] + [(1, 0), (2, 1), (3, 1), (3, 1)] + [(8, 5)] * 25
+    right = [(7, -i) for i in range(45)] + [(None, -1)] * 20 + [(2, 9), (4, 0), (3, 2)] + [(9, i) for i in range(31)]
+    l = spark.createDataFrame(left, "k int, v int").repartition(5)
+    r = spark.createDataFrame(right, "k long, w int").repartition(3)
+    plain = l.join(r, "k", "full")
+    for hot_rows in (1, 4, 20, 10_000):
+        cut = joins.full_join(l, r, "k", hot_rows=hot_rows)
+        assert cut.columns == plain.columns and rows(cut) == rows(plain)
+    q = r.withColumnRenamed("k", "j")
+    both = joins.full_join(l, q, {"k": "j"}, hot_rows=4)
+    assert rows(both) == rows(l.join(q, F.col("k") == F.col("j"), "full"))
+    assert rows(joins.full_join(l.limit(0), r, "k", hot_rows=4)) == rows(l.limit(0).join(r, "k", "full"))
 
 
 def test_resolve_parent(spark, rows):
@@ -219,11 +241,32 @@ def test_median_equals_exact_quantile(spark, monkeypatch):
     df = spark.range(5001).selectExpr("pow(id % 977, 2) as a", "(id * 7919) % 5003 as b", "-id / 3 as c")
     want = [df.approxQuantile(c, [0.5], 0.0)[0] for c in "abc"]
     assert list(aggregate.median(df, ["a", "b", "c"]).first()) == want
-    # A sketch too coarse to hold the bracket must not change the result.
-    monkeypatch.setattr(aggregate, "_SKETCH_ACCURACY", 5)
+    # The number of buckets must not change the result.
+    monkeypatch.setattr(aggregate, "_BUCKETS", 16)
     assert list(aggregate.median(df, ["a", "b", "c"]).first()) == want
 
 
+def test_median_of_wild_doubles(spark, monkeypatch):
+    rnd = random.Random(4)
+    odd = [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, math.inf, -math.inf, math.nan, None, 1.0, 1.0 + 2**-52]
+    cases = [
+        [rnd.choice(odd) for _ in range(60)],
+        [rnd.uniform(-1, 1) * 10.0 ** rnd.randint(-300, 300) for _ in range(60)],
+        [1.0 + k * 2**-52 for k in range(60)],
+        [math.inf] * 30 + [-math.inf] * 30,
+        [None, math.nan] * 30,
+        [7.0] * 59 + [None],
+    ]
+    df = spark.createDataFrame(list(zip(*cases)), ", ".join(f"c{i} double" for i in range(len(cases)))).repartition(3)
+    want = []
+    for values in cases:
+        known = sorted(v for v in values if v is not None and not math.isnan(v))
+        want.append(known[(len(known) + 1) // 2 - 1] if known else None)
+    for buckets in (8, 1 << 16):
+        monkeypatch.setattr(aggregate, "_BUCKETS", buckets)
+        assert list(aggregate.median(df, df.columns).first()) == want
+
+
 def test_implode(spark, rows):
     df = spark.createDataFrame([(1, "b", 2), (1, "a", 1), (2, "z", 1), (1, "c", 3)], "k int, v string, o int")
     assert rows(aggregate.implode(df, ["k"], "v", ["o"])) == [(1, ["a", "b", "c"]), (2, ["z"])]
@@ -294,8 +337,9 @@ def test_running_frames_on_ties(spark, rows):
 
 def test_extremes_two_forms(spark, rows):
     df = spark.createDataFrame([(1, 810), (2, 975), (3, 640), (4, 975)], "id int, pay int")
-    case = window.extremes(df, "pay", "kind")
-    assert rows(case) == rows(window.extremes_union(df, "pay", "kind")) == [
+    names = {"max": "Highest", "min": "Lowest"}
+    case = window.extremes(df, "pay", names, "kind")
+    assert rows(case) == rows(window.extremes_union(df, "pay", names, "kind")) == [
         (2, 975, "Highest"), (3, 640, "Lowest"), (4, 975, "Highest"),
     ]
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tarnwork.operators import cdc, timeseries, window
-from tarnwork.operators.skew import HOT, SLICE, slice_hot_keys
+from tarnwork.operators.skew import HOT, SLICE, TIE, first_rows, slice_hot_keys
 
 START = dt.datetime(2024, 1, 1)
 
@@ -242,6 +242,64 @@ def test_repeated_rows_do_not_swell_the_sample(spark):
     )
 
 
+def test_one_value_of_a_hot_key_is_hot_itself(spark):
+    """Nine tenths of the rows tie: ranks and sums come per distinct value, of which no
+    slice holds more than twice the mean."""
+    df = spark.range(20_000).selectExpr(
+        "'h' as k", "case when id % 10 > 0 then 5 else id % 1000 end as t", "cast(id % 7 as int) as v", "id"
+    )
+    assert window._peers(df, ["k"], ["t"], 1000, None) == (1000, True)
+    assert window._peers(df, ["k"], ["id"], 1000, None) == (1000, False)
+    assert window._peers(df, ["k"], ["t"], 100_000, None) == (None, False)
+    for op in (window.rank, window.dense_rank):
+        same(op(df, ["k"], ["-t"], "r", 1000), op(df, ["k"], ["-t"], "r", None))
+    same(
+        window.running_sum(df, ["k"], ["t"], "v", "r", "range", 1000),
+        window.running_sum(df, ["k"], ["t"], "v", "r", "range", None),
+    )
+    same(
+        window.running_min(df, ["k"], ["-t"], "v", "r", 1000),
+        window.running_min(df, ["k"], ["-t"], "v", "r", None),
+    )
+    levels = slice_hot_keys(df.select("k", "t").distinct(), ["k"], ["t"], 200)
+    slices, largest, all_ = levels.groupBy(SLICE).count().agg(F.count(F.lit(1)), F.max("count"), F.sum("count")).first()
+    assert largest <= 2 * all_ / slices
+
+
+@pytest.mark.parametrize("order", [["t"], ["-t"], ["t", "-v"]])
+def test_first_rows_by_one_rule_for_any_n(order, spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice("hhhhhhx"), rnd.choice([None, *range(9)]), rnd.randrange(4), i) for i in range(2500)]
+    df = spark.createDataFrame(rows, "k string, t int, v int, id int").repartition(5)
+    for n in (3, window.GROUP_LIMIT, window.GROUP_LIMIT + 1, 1100):
+        cut = window.top_n(df, ["k"], order, n, "r", hot_rows=400)
+        same(cut, window.top_n(df, ["k"], order, n, "r", hot_rows=None))
+    short, long = (
+        {r["id"] for r in window.top_n(df, ["k"], order, n, hot_rows=400).collect()}
+        for n in (window.GROUP_LIMIT, window.GROUP_LIMIT + 1)
+    )
+    assert short < long and len(long - short) == 2
+
+
+def test_few_rows_behind_the_bound_are_sorted(spark):
+    df = spark.range(60_000).selectExpr("'h' as k", "id * 7919 % 60013 as t", "id").withColumn(
+        TIE, F.xxhash64("k", "t", "id")
+    )
+    kept = first_rows(df, ["k"], ["t", TIE], 500, 10_000)
+    assert 500 <= kept.count() < 3 * 500
+    assert {r["t"] for r in kept.orderBy("t").limit(500).collect()} == {r["t"] for r in df.orderBy("t").limit(500).collect()}
+
+
+def test_null_sequences_and_equal_sequences_of_a_dimension(spark):
+    rows = [(1, "a", None), (1, "b", None), (1, "c", 3), (1, "d", 3), (1, "e", 4), (None, "f", None), (2, "g", 1)]
+    df = spark.createDataFrame(rows, "k int, v string, seq int").repartition(3)
+    for hot_rows in (1, None):
+        out = cdc.scd2(df, ["k"], "seq", hot_rows=hot_rows).collect()
+        spans = sorted((str(r["k"]), str(r["seq"]), str(r["__END_AT"])) for r in out)
+        assert spans == [("1", "3", "4"), ("1", "4", "None"), ("1", "None", "3"), ("2", "1", "None"), ("None", "None", "None")]
+    same(cdc.scd2(df, ["k"], "seq"), cdc.scd2(cdc.reduce_changes(df, ["k"], "seq", 2), ["k"], "seq"))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "k string, t int, v int")
     assert window.number_rows(df, ["k"], ["t"], "r", 5).count() == 0
