@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,25 +142,16 @@ def _between(x: Column, low: float, high: float) -> Column:
     return F.least(F.floor((x - low) / F.lit(high - low) * _BUCKETS), F.lit(_BUCKETS - 1))
 
 
-def _chosen(entries: DataFrame, ranks: Mapping[str, int] | None) -> dict[str, tuple]:
-    """Of ``entries (name, bucket, value)`` and for each name: the rank that is looked for
-    (the lower middle one, where ``ranks`` does not say), the rows before its bucket, and the
-    smallest and largest value in it."""
-    counts = entries.groupBy("name", "bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
-    )
-    # At most 65,536 rows a name.
-    whole = Window.partitionBy("name")
-    upto = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+def _places(counts: DataFrame, by: str, ranks: Mapping[int, int] | None) -> DataFrame:
+    """Of ``counts (column, <by>, n, ...)`` the row of each column that holds the rank looked
+    for, the lower middle one where ``ranks`` does not say, and that rank within the row."""
+    whole = Window.partitionBy("column")
+    upto = F.sum("n").over(whole.orderBy(by).rowsBetween(Window.unboundedPreceding, 0))
     rank = F.floor((F.sum("n").over(whole) + 1) / 2)
     if ranks is not None:
-        rank = F.element_at(F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair]), F.col("name"))
-    found = (
-        counts.withColumns({"upto": F.sum("n").over(upto), "rank": rank})
-        .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-        .select("name", "rank", (F.col("upto") - F.col("n")).alias("before"), "low", "high")
-    )
-    return {r["name"]: (r["rank"] - r["before"], r["low"], r["high"]) for r in found.collect()}
+        rank = F.element_at(F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair]), F.col("column"))
+    placed = counts.withColumns({"upto": upto, "rank": rank})
+    return placed.where("upto >= rank AND upto - n < rank").withColumn("rank", F.expr("rank - upto + n"))
 
 
 def median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -169,35 +161,39 @@ def median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Radix selection: a pass counts 65,536 buckets of every column, combined before the
     shuffle, and goes on with the bucket that holds the middle row. The first pass cuts by
     sign and logarithm, each later one cuts what lies between the smallest and the largest
-    value of the bucket, until these are equal: two or three passes for measures as they
-    come, five for any doubles. Nothing is sorted but buckets, and the driver sees three
-    numbers per column and pass.
+    value of the bucket. Once a bucket holds 65,536 rows or fewer, its values are counted
+    one by one: two passes for measures as they come, at most six for any doubles. No task
+    gets more than 65,536 rows of a column, and the driver sees a row per column and pass.
     """
-    names = {c: f"c{i}" for i, c in enumerate(dict.fromkeys(cols))}
-    vals = df.select(
-        *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(n) for c, n in names.items()]
-    )
-
-    def entries(buckets: Mapping[str, Column]) -> DataFrame:
-        rows = [
-            F.when(b.isNotNull(), F.struct(F.lit(n).alias("name"), b.cast("int").alias("bucket"), F.col(n).alias("value")))
-            for n, b in buckets.items()
+    names = list(dict.fromkeys(cols))
+    number = {c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in names}
+    vals = df.select(*[number[c].alias(f"c{i}") for i, c in enumerate(names)])
+
+    def entries(buckets: Mapping[int, Column]) -> DataFrame:
+        """``(column, bucket, value)`` where a bucket is not NULL; each part reads one column."""
+        parts = [
+            vals.select(F.lit(i).alias("column"), b.alias("bucket"), F.col(f"c{i}").alias("value")).where("bucket IS NOT NULL")
+            for i, b in buckets.items()
         ]
-        return vals.select(F.inline(F.array_compact(F.array(*rows))))
-
-    def inside(n: str) -> Column:
-        _, low, high = open_[n]
-        return F.when(F.col(n).between(low, high), _between(F.col(n), low, high))
-
-    open_ = _chosen(entries({n: F.when(F.col(n).isNotNull(), _by_size(F.col(n))) for n in names.values()}), None)
-    done: dict[str, float] = {}
-    while True:
-        done |= {n: low for n, (_, low, high) in open_.items() if low == high}
-        open_ = {n: x for n, x in open_.items() if n not in done}
-        if not open_:
-            break
-        open_ = _chosen(entries({n: inside(n) for n in open_}), {n: rank for n, (rank, _, _) in open_.items()})
-    result = [F.lit(done.get(names[c])).cast("double").alias(c) for c in cols]
+        return reduce(DataFrame.union, parts)
+
+    def counted(buckets: Mapping[int, Column], ranks: Mapping[int, int] | None) -> dict[int, tuple]:
+        sizes = {"n": F.count(F.lit(1)), "low": F.min("value"), "high": F.max("value")}
+        rows = entries({i: b.cast("int") for i, b in buckets.items()}).groupBy("column", "bucket").agg(*_named(sizes))
+        return {r["column"]: (r["rank"], r["n"], r["low"], r["high"]) for r in _places(rows, "bucket", ranks).collect()}
+
+    x = {i: F.col(f"c{i}") for i in range(len(names))}
+    seen = counted({i: F.when(c.isNotNull(), _by_size(c)) for i, c in x.items()}, None)
+    wide = lambda: {i: s for i, s in seen.items() if s[1] > _BUCKETS and s[2] < s[3]}
+    while todo := wide():
+        inside = {i: F.when(x[i].between(low, high), _between(x[i], low, high)) for i, (_, _, low, high) in todo.items()}
+        seen |= counted(inside, {i: s[0] for i, s in todo.items()})
+    found = {i: low for i, (_, _, low, high) in seen.items() if low == high}
+    if todo := {i: s for i, s in seen.items() if i not in found}:
+        inside = {i: F.when(x[i].between(low, high), F.lit(0)) for i, (_, _, low, high) in todo.items()}
+        rows = entries(inside).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        found |= {r["column"]: r["value"] for r in _places(rows, "value", {i: s[0] for i, s in todo.items()}).collect()}
+    result = [F.lit(found.get(names.index(c))).cast("double").alias(c) for c in cols]
     return df.sparkSession.range(1).select(*result)
 
 
