@@ -166,7 +166,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text or "")
-        if not words or not self.langs:
+        if not words or not self.langs or not any(map(str.isalpha, text)):
             return "und", 0.0
         total = self._total(words)
         best = int(total.argmax())

@@ -35,7 +35,7 @@ from tarnwork.llm.common import WORD, Scratch
 #: Exponents tried at a time: five bisection steps in one pass over the sources.
 TRIED = 32
 ROUNDS = 6
-#: Documents per block, about.
+#: Documents per block, at most and on average; half of that at least.
 BLOCK_DOCS = 2048
 
 
@@ -82,7 +82,9 @@ def _documents(docs: DataFrame, id_column: str, text_column: str, source_column:
 
 
 def _power_of_two(least: Column) -> Column:
-    return F.pow(F.lit(2.0), F.greatest(F.lit(0), F.ceil(F.log2(least)))).cast("long")
+    """The smallest power of two that is ``least`` or more."""
+    digits = F.length(F.bin(least.cast("long") - 1))
+    return F.when(least <= 1, F.lit(1).cast("long")).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), digits))
 
 
 def _block(key: Column, blocks: Column) -> Column:
@@ -119,7 +121,7 @@ def plan(
     scratch = Scratch(spark, "mixing")
     sized = scratch.save(_documents(docs, id_column, text_column, source_column), "sized")
     sources = sized.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("documents"))
-    sources = scratch.save(sources.withColumn("blocks", F.ceil(F.col("documents") / BLOCK_DOCS)), "sources")
+    sources = scratch.save(sources.withColumn("blocks", _power_of_two(F.ceil(F.col("documents") / BLOCK_DOCS))), "sources")
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     budget = total if budget is None else budget
     shared = sources.withColumn("share", F.col("tokens") / F.lit(float(max(1, total))))

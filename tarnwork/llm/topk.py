@@ -12,9 +12,9 @@ Scores are exact integers: by matrix product where all sums fit 53 bits, with Py
 integers otherwise; a score outside the range of long is clamped to it.
 
 Vectors that are null or hold null or non-finite components take no part. A shorter vector
-is filled up with zeros. Repeated rows (equal id and vector) count once, rows of equal id
-with other vectors are candidates of their own, but never for a query of their id; queries
-that share an id share one list. A null id takes no part.
+is filled up with zeros. Every row is a candidate, repeated rows (equal id and vector) as
+often as they stand there, but never for a query of its own id; queries that share an id
+share one list, repeated ones are asked once. A null id takes no part.
 
 Queries go to the candidates in blocks: a task holds one block of each. The rows that are
 shuffled are the query blocks, once per candidate block, and k results per query and
@@ -45,11 +45,11 @@ _BLOCK = "block long, ids binary, width long, body binary"
 
 
 def vectors(df: DataFrame, id_column: str, vector_column: str, scale: float) -> DataFrame:
-    """``(id, v)``: distinct usable vectors, scaled and floored."""
+    """``(id, v, scale)``: usable vectors, which ``_blocks`` scales and floors."""
     v = F.col(vector_column).cast("array<double>")
     usable = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     picked = df.select(F.col(id_column).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & usable)
-    return picked.distinct().withColumn("scale", F.lit(float(scale)))
+    return picked.withColumn("scale", F.lit(float(scale)))
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
@@ -175,14 +175,13 @@ def search(
     scratch = Scratch(spark, "topk")
     usable = vectors(df, id_column, vector_column, scale)
     candidates = scratch.save(_blocks(usable, CANDIDATES), "candidates")
-    queries = scratch.save(_blocks(usable.where(is_query), QUERIES), "queries")
-    numbers = candidates.select(F.col("block").alias("at"))
+    queries = scratch.save(_blocks(usable.where(is_query).distinct(), QUERIES), "queries")
     # One row per block of queries and block of candidates: the list of block numbers
-    # has an entry per 16,384 vectors.
+    # has an entry per 16,384 vectors and is made where it is needed.
     asked = queries.select(F.col("ids").alias("query_ids"), F.col("width").alias("query_width"), F.col("body").alias("query_body"))
-    every = numbers.agg(F.collect_list("at").alias("all")).first()["all"]
-    spread = asked.withColumn("block", F.explode(F.array(*[F.lit(x) for x in every]).cast("array<long>")))
-    pairs = spread.repartition(max(1, len(every)), "block").join(candidates, "block")
+    every = candidates.agg(F.collect_list("block").alias("all")).scalar()
+    spread = asked.withColumn("block", F.explode(every))
+    pairs = spread.repartition(max(1, candidates.count()), "block").join(candidates, "block")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:

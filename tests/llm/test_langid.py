@@ -48,9 +48,9 @@ def test_words_first_then_shorter_grams(spark):
 
 def test_predictions_and_odd_rows(spark):
     model = L.learn(frame(spark), spark)
-    rows = [(1, "The DOG and the cat!", None), (2, None, "en"), (3, "", "en"), (4, "123 -- ?", "de"), (5, "ж", "fr"), (6, "und " * 100_000, "en"), (None, "le chien", None), (1, "The DOG and the cat!", None)]
+    rows = [(1, "The DOG and the cat!", None), (2, None, "en"), (3, "", "en"), (4, "123 -- ?", "de"), (5, "ж", "fr"), (6, "und " * 100_000, "en"), (None, "le chien", None), (1, "The DOG and the cat!", None), (7, "½ ² ³ Ⅷ", "en")]
     got = {(r["id"], r["lang_pred"]) for r in L.predict(frame(spark, rows), spark, model).collect()}
-    assert got == {(1, "en"), (2, "und"), (3, "und"), (4, "und"), (5, "de"), (6, "de"), (None, "fr")}
+    assert got == {(1, "en"), (2, "und"), (3, "und"), (4, "und"), (5, "de"), (6, "de"), (None, "fr"), (7, "und")}
     scores = {r["id"]: r["score"] for r in L.predict(frame(spark, rows), spark, model).collect()}
     assert scores[2] == 0 and abs(scores[5] - 1 / 3) < 1e-9 and all(0 <= s <= 1 for s in scores.values())
 

@@ -98,6 +98,60 @@ def test_part_epoch_is_a_prefix_of_the_block_permutation(spark, monkeypatch):
     assert p["full"] == 0 and taken == want and 0 < len(want) < 300
 
 
+def test_blocks_are_permuted(spark):
+    """Every block has a place of its own, whatever the number of blocks asked for."""
+    sizes = spark.range(1, 301).select(F.col("id").alias("asked"), mixing._power_of_two(F.col("id")).alias("blocks"))
+    one = lambda n: F.lit(n).cast("long")
+    place = mixing._block_order(3, F.col("epoch"), F.lit("a"), F.col("block"), F.col("blocks"))
+    rows = sizes.withColumn("epoch", F.explode(F.array(one(0), one(1)))).withColumn("block", F.explode(F.sequence(one(0), F.col("blocks") - 1)))
+    by = {}
+    for r in rows.select("asked", "blocks", "epoch", "block", place.alias("at")).collect():
+        by.setdefault((r["asked"], r["blocks"], r["epoch"]), []).append(r["at"])
+    assert len(by) == 600
+    orders = set()
+    for (asked, blocks, _), places in by.items():
+        assert blocks == 1 << (asked - 1).bit_length()
+        assert sorted(places) == list(range(blocks))
+        orders.add(tuple(places))
+    assert len(orders) > 10
+
+
+def test_whole_mix_by_hand(spark, monkeypatch):
+    """Blocks of 16 documents. Spark gives the hashes; places, ends and epochs are worked out
+    here one document after the other."""
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 16)
+    rows, docs = table(spark, {"big": 700, "mid": 150, "small": 20}, seed=8)
+    planned = mixing.plan(docs, spark, 9000, 0.95, 3.0, seed=11)
+    plans = {r["source"]: r for r in planned.collect()}
+    assert plans["big"]["blocks"] == 64 and plans["mid"]["blocks"] == 16 and plans["small"]["blocks"] == 2
+    key, epoch = F.struct("doc_id", F.xxhash64("text")), F.col("e")
+    hashed = docs.withColumn("e", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long")))).select(
+        "doc_id", "source", "e", F.xxhash64(key).alias("h"), F.xxhash64(F.lit(12), epoch, key).alias("order"),
+        F.xxhash64(F.lit(13), epoch, "source").alias("times"), F.xxhash64(F.lit(14), epoch, "source").alias("shift"),
+    ).collect()
+    size = {i: len(t.split()) for i, t, _ in rows}
+    want = Counter()
+    for source, p in plans.items():
+        total = sum(size[i] for i, _, s in rows if s == source)
+        full, left = divmod(p["quota"], total)
+        order = []
+        for r in hashed:
+            if r["source"] == source and r["e"] == full:
+                last = p["blocks"] - 1
+                place = (((r["times"] & last) | 1) * (r["h"] % p["blocks"]) + (r["shift"] & last)) & last
+                order.append((place, r["order"], r["doc_id"]))
+        assert len({o[0] for o in order}) > p["blocks"] / 2
+        for i, _, s in rows:
+            want[i] += full * (s == source)
+        for _, _, i in sorted(order):
+            if size[i] > left:
+                break
+            left -= size[i]
+            want[i] += 1
+    got = Counter(r["doc_id"] for r in mixing.mix(docs, planned).collect())
+    assert got == +want
+
+
 def test_mix_blocks_hold_all_sources_in_proportion(spark):
     _, docs = table(spark, {"a": 4000, "b": 1000})
     mixed = mixing.mix(docs, mixing.plan(docs, spark, entropy=0.95, repeats=None), mix_blocks=8)
