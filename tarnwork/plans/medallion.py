@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tarnwork.operators.aggregate import group
 from tarnwork.operators.joins import join_current
 from tarnwork.operators.quality import expect_all_or_drop
-from tarnwork.sources.writers import save_table
-from tarnwork.streaming.changes import apply_changes, read_scd1, read_scd2
+from tarnwork.sources.writers import save_table, sql_text
+from tarnwork.streaming.changes import apply_changes, compact_changes, new_batches, read_scd1, read_scd2
 from tarnwork.streaming.flows import append_flows, read_flows
 
 
@@ -27,14 +27,11 @@ def materialize(
     spark = df.sparkSession
     save_table(df, name, path=path)
 
-    def text(value: str) -> str:
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
     if properties:
-        pairs = ", ".join(f"{text(k)} = {text(v)}" for k, v in properties.items())
+        pairs = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
     if comment:
-        spark.sql(f"COMMENT ON TABLE {name} IS {text(comment)}")
+        spark.sql(f"COMMENT ON TABLE {name} IS {sql_text(comment)}")
     return spark.table(name)
 
 
@@ -93,6 +90,8 @@ class LayerSpec:
     split_values: Sequence[str] = ()
     stamp: str | None = "loaded_at"
     names: Mapping[str, str] = field(default_factory=dict)
+    #: Batches that a change store may hold before they are folded into its base.
+    compact_after: int = 8
 
     def name(self, table: str) -> str:
         return self.names.get(table, table)
@@ -122,6 +121,9 @@ def run_layers(spark: SparkSession, spec: LayerSpec) -> dict[str, DataFrame]:
     append_flows(store("facts"), facts, state)
     for stream in running:
         stream.awaitTermination()
+    for part, kind, truncate in (("now", 1, spec.truncate_when), ("versions", 2, None)):
+        if len(new_batches(spark, store(part))) > spec.compact_after:
+            compact_changes(spark, store(part), spec.keys, spec.seq, kind, truncate)
 
     built = {
         "now": read_scd1(

@@ -33,6 +33,32 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, replaced as a whole."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """A file, or a directory with what it holds."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def first_line(spark: SparkSession, path: str) -> str | None:
     """First line of a text file, decompressed if its suffix names a codec. Reads
     one buffer of the file."""
@@ -70,3 +96,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, empty place under the shared folder."""
     return f"{shared_dir(spark)}/tarnwork/{name}-{uuid.uuid4().hex}"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system. Without one it could mean another place to code that
+    opens files by itself."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()

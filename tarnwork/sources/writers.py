@@ -9,8 +9,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def sql_text(value: str) -> str:
+    """A text literal of SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_schema(spark: SparkSession, name: str, comment: str | None = None) -> None:
-    note = f" COMMENT '{comment}'" if comment else ""
+    note = f" COMMENT {sql_text(comment)}" if comment else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{note}")
 
 
@@ -65,8 +70,9 @@ def clone_table(spark: SparkSession, src: str, dst: str, path: str | None = None
 
 
 def append_query(spark: SparkSession, target: str, df: DataFrame, limit: int | None = None) -> None:
-    """Append by position, at most ``limit`` rows if given."""
-    (df if limit is None else df.limit(limit)).write.insertInto(target)
+    """Append by position; with ``limit`` the first rows in partition order, which stay in
+    their partitions."""
+    (df if limit is None else prefix_rows(df, limit)).write.insertInto(target)
 
 
 def append_rows(spark: SparkSession, target: str, rows: Sequence[Sequence[Any]]) -> None:

@@ -308,6 +308,72 @@ def test_stores_before_anything_arrived(spark, tmp_path):
     assert changes.read_scd1(spark, path, ["id"], "n", schema="id int, n int").count() == 0
 
 
+def test_paths_with_their_file_system(spark):
+    from tarnwork.sources.storage import qualified
+
+    assert qualified(spark, "/a/b") == "file:/a/b" == qualified(spark, "file:/a/b")
+
+
+def test_half_written_batches_of_a_flow_are_not_seen(spark, tmp_path, rows):
+    src, target = str(tmp_path / "src"), tmp_path / "t"
+    spark.range(3).write.parquet(src)
+    stream = spark.readStream.schema("id long").parquet(src)
+    flows.append_flows(str(target), {"x": stream}, str(tmp_path / "c"))
+    spark.range(5).write.parquet(str(target / "flow=x" / "batch=7"))  # its writer died before the entry
+    spark.range(5).write.parquet(str(target / "flow=y" / "batch=0"))
+    assert rows(flows.read_flows(spark, str(target))) == [(0,), (1,), (2,)]
+    assert flows.committed_batches(spark, str(target)) == [f"{target}/flow=x/batch=0"]
+    with pytest.raises(FileNotFoundError):
+        flows.read_flows(spark, str(tmp_path / "none"))
+
+
+def test_a_late_change_rewrites_one_bucket(spark, tmp_path, rows):
+    feed, path, schema = str(tmp_path / "feed"), tmp_path / "store", "k int, v string, n int"
+
+    def bring(data):
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(schema).parquet(feed)
+        changes.apply_changes(stream, str(path), str(tmp_path / "c"), ["k"], "n", 2, buckets=8).awaitTermination()
+        return changes.compact_changes(spark, str(path), ["k"], "n", 2)
+
+    def files():
+        upto, base = changes._manifest(spark, str(path))
+        found = {b: sorted(f.name for f in (path / f"base/upto={u}/__bucket={b}").glob("*.parquet")) for b, u in base.items()}
+        assert all(found.values())
+        return found
+
+    every = [(k, "first", 5) for k in range(100)]
+    assert bring(every) == 0
+    before = files()
+    assert len(before) == 8
+    late = [(17, "late", 3), (17, "later", 9)]
+    assert bring(late) == 1
+    after = files()
+    changed = [b for b in before if before[b] != after[b]]
+    bucket = spark.createDataFrame([(17,)], "k int").select(changes._bucket(["k"], 8)).first()[0]
+    assert changed == [bucket]
+    want = rows(cdc.scd2(spark.createDataFrame(every + late, schema), ["k"], "n"))
+    assert rows(changes.read_scd2(spark, str(path), ["k"], "n")) == want
+    assert changes.compact_changes(spark, str(path), ["k"], "n", 2) == 1  # nothing new
+    assert changes.remove_compacted(spark, str(path)) == 4  # two batches, a manifest, a bucket
+    assert rows(changes.read_scd2(spark, str(path), ["k"], "n")) == want
+    assert files() == after
+
+
+def test_a_bucket_that_a_truncate_empties(spark, tmp_path, rows):
+    feed, path, schema = str(tmp_path / "feed"), str(tmp_path / "store"), "k int, act string, n int"
+    steps = [[(k, "I", k % 3) for k in range(20)], [(None, "T", 2)], [(k, "I", 1) for k in range(20)], [(3, "I", 7)]]
+    for data in steps:
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(schema).parquet(feed)
+        changes.apply_changes(stream, path, str(tmp_path / "c"), ["k"], "n", 1, "act = 'T'", 4).awaitTermination()
+        changes.compact_changes(spark, path, ["k"], "n", 1, "act = 'T'")
+        changes.remove_compacted(spark, path)
+    every = spark.createDataFrame([r for data in steps for r in data], schema)
+    want = rows(cdc.scd1(every, ["k"], "n", None, "act = 'T'"))
+    assert rows(changes.read_scd1(spark, path, ["k"], "n", None, "act = 'T'")) == want
+
+
 def test_a_batch_without_marker_is_an_error(spark, tmp_path):
     path = str(tmp_path / "log")
     spark.range(1).selectExpr("id", "id AS n").write.parquet(f"{path}/log/batch=0")
