@@ -88,3 +88,19 @@ def where(df: DataFrame, pred: Column | str) -> DataFrame:
 def where_ci(df: DataFrame, col: str, value: str) -> DataFrame:
     """Equality that ignores case."""
     return df.where(F.upper(as_column(col)) == value.upper())
+
+
+_COMPARED = {
+    "=": lambda a, b: a == b,
+    "<>": lambda a, b: a != b,
+    "<": lambda a, b: a < b,
+    "<=": lambda a, b: a <= b,
+    ">": lambda a, b: a > b,
+    ">=": lambda a, b: a >= b,
+}
+
+
+def where_number(df: DataFrame, col: str, op: str, value: float) -> DataFrame:
+    """Rows whose text, read as a number, compares so with ``value``. Text that is no number
+    compares with nothing, where a plain comparison of text and number would end the query."""
+    return df.where(_COMPARED[op](F.col(col).try_cast("double"), F.lit(value)))

@@ -10,7 +10,6 @@ from pyspark.sql.window import Window
 
 from tarnwork.functions.scalars import date_gap, minutes_between
 from tarnwork.operators.aggregate import with_group_stats
-from tarnwork.operators.joins import unmatched
 from tarnwork.operators.skew import HOT_ROWS, running_window
 from tarnwork.operators.window import (
     earliest,
@@ -131,15 +130,14 @@ def rapid_followed(
     key: str | Sequence[str],
     ts: str,
     minutes: float,
+    out: str = "suspicious",
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Events followed by another within ``minutes``, flagged as suspicious."""
-    return (
-        following(df, _keys(key), [ts], ts, "next_ts", hot_rows)
-        .withColumn("gap_minutes", minutes_between(ts, "next_ts"))
-        .where(F.col("gap_minutes") < minutes)
-        .withColumn("suspicious", F.col("gap_minutes") < minutes)
-    )
+    """Every event, with ``next_ts``, ``gap_minutes`` and a flag: whether another event of the
+    key comes within ``minutes``."""
+    events = following(df, _keys(key), [ts], ts, "next_ts", hot_rows)
+    gap = minutes_between(ts, "next_ts")
+    return events.withColumns({"gap_minutes": gap, out: F.coalesce(gap < minutes, F.lit(False))})
 
 
 def gap_flag(
@@ -203,8 +201,9 @@ def streaks(
     date: str,
     dedupe: bool = True,
     hot_rows: int | None = HOT_ROWS,
+    names: tuple[str, str, str] = ("from_day", "to_day", "n_days"),
 ) -> DataFrame:
-    """Runs of consecutive days. ``dedupe=False`` lets a repeated day start a new run."""
+    """Runs of consecutive days: first day, last day and their number, called ``names``. ``dedupe=False`` lets a repeated day start a new run."""
     days = distinct_days(df, key, date) if dedupe else df
     return (
         islands(
@@ -217,9 +216,9 @@ def streaks(
         )
         .groupBy(*_keys(key), "streak_id")
         .agg(
-            F.min(date).alias("start_date"),
-            F.max(date).alias("end_date"),
-            (date_gap(F.max(date), F.min(date)) + 1).alias("days_present"),
+            F.min(date).alias(names[0]),
+            F.max(date).alias(names[1]),
+            (date_gap(F.max(date), F.min(date)) + 1).alias(names[2]),
         )
     )
 
@@ -239,16 +238,6 @@ def date_spine(
     )
 
 
-def missing_dates(
-    df: DataFrame, key: str | Sequence[str], date: str, out: str = "missing_date"
-) -> DataFrame:
-    """Dates of the spine on which the key has no row."""
-    keys = _keys(key)
-    present = distinct_days(df, keys, date)
-    spine = date_spine(df, keys, date, out)
-    return unmatched(spine, present, {**{k: k for k in keys}, out: date})
-
-
 def missing_ranges(df: DataFrame, key: str | Sequence[str], date: str) -> DataFrame:
     """Missing dates as closed ranges. Each hole lies between two neighbouring
     days of the key, so the spine is not built."""
@@ -261,6 +250,15 @@ def missing_ranges(df: DataFrame, key: str | Sequence[str], date: str) -> DataFr
     )
 
 
+def missing_dates(
+    df: DataFrame, key: str | Sequence[str], date: str, out: str = "missing_date"
+) -> DataFrame:
+    """Dates between a key's first and last on which it has no row, spelled out from the
+    missing ranges."""
+    ranges = missing_ranges(df, key, date)
+    return ranges.select(*_keys(key), F.explode(F.sequence("missing_from", "missing_to")).alias(out))
+
+
 def missing_envelope(df: DataFrame, key: str | Sequence[str], date: str) -> DataFrame:
     """First and last missing date per key. Covers present days as well when a
     key has several holes; use ``missing_ranges`` for the holes themselves."""

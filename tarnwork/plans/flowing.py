@@ -1,6 +1,7 @@
 """Streams, quality rules, changing dimensions and the layered tables."""
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -240,12 +241,34 @@ def append_flows(spark, d):
     return _profile(flows.read_flows(spark, root + "/t"))
 
 
+@query(
+    """SELECT 'before' AS moment, 0::BIGINT AS row_count, NULL::BIGINT AS key_sum
+       UNION ALL SELECT 'after', count(*), sum(o_orderkey)::BIGINT FROM orders"""
+)
+def empty_target_filled_later(spark, d):
+    """A target that is empty until its flow has run, read with its schema both times."""
+    root, schema = scratch_dir(spark, "empty-target"), table(spark, d, "orders").schema
+
+    def told(moment):
+        rows = flows.read_flows(spark, root + "/t", schema=schema)
+        sums = agg.scalar_agg(rows, {"row_count": F.count(F.lit(1)), "key_sum": F.sum("o_orderkey")})
+        return sums.select(F.lit(moment).alias("moment"), "row_count", "key_sum")
+
+    before = told("before")
+    flows.append_flows(root + "/t", {"orders": _order_stream(spark, d)}, root + "/state")
+    return before.unionByName(told("after"))
+
+
 # -- layered tables ----------------------------------------------------------------------
 
 
-def _layers(spark, d, dim, facts, **more):
+def _new_schema():
+    return f"layers_{uuid.uuid4().hex[:12]}"
+
+
+def _layers(spark, d, dim, facts, schema=None, **more):
     """Run a flow whose dimension is a table of the test data, put once."""
-    root, schema = scratch_dir(spark, "layers"), f"layers_{uuid.uuid4().hex[:12]}"
+    root, schema = scratch_dir(spark, "layers"), schema or _new_schema()
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{root}/schema'")
     feed = dim.withColumns(
         {"change_kind": F.lit("put"), "changed_at": F.lit("2024-01-01").cast("timestamp_ntz")}
@@ -264,13 +287,14 @@ def _layers(spark, d, dim, facts, **more):
     return medallion.run_layers(spark, spec)
 
 
-def _orders_by_segment(spark, d, states):
+def _orders_by_segment(spark, d, states, schema=None):
     segment = F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("c_mktsegment")
     return _layers(
         spark,
         d,
         table(spark, d, "customer").select("c_custkey", "c_name", segment),
         {"parquet": _order_stream(spark, d), "files": _csv_order_stream(spark, d)},
+        schema,
         keys=["c_custkey"],
         on={"c_custkey": "o_custkey"},
         by=["c_mktsegment"],
@@ -329,3 +353,39 @@ def layers_of_suppliers(spark, d):
         stamp=None,
     )
     return built["rollup"]
+
+
+@query(
+    """SELECT c_mktsegment, count(*) AS versions, max(c_custkey) AS last_key FROM customer
+       WHERE c_mktsegment <> 'BUILDING' GROUP BY 1"""
+)
+def named_view_between_tables(spark, d):
+    """The versions of the dimension, a view by name between the store and the detail."""
+    _orders_by_segment(spark, d, ["O"])
+    return spark.sql(
+        "SELECT c_mktsegment, count(*) AS versions, max(c_custkey) AS last_key FROM versions"
+        " WHERE __END_AT IS NULL GROUP BY c_mktsegment"
+    )
+
+
+@query(
+    f"""SELECT 'detail' AS table_name, 'detail' AS layer, 'open versions with their facts' AS comment,
+          count(*) AS row_count FROM {_DETAIL}
+        UNION ALL SELECT 'segments', 'rollup', 'by c_mktsegment', count(DISTINCT c_mktsegment) FROM {_DETAIL}
+        UNION ALL SELECT 'by_value', 'rollup', 'by o_orderstatus', count(*)
+          FROM (SELECT DISTINCT o_orderstatus, c_mktsegment FROM {_DETAIL} WHERE o_orderstatus IN ('F', 'O'))
+        UNION ALL SELECT 'rollup_' || lower(s), 'rollup', 'o_orderstatus ' || s,
+          (SELECT count(DISTINCT c_mktsegment) FROM {_DETAIL} WHERE o_orderstatus = s) FROM (VALUES ('F'), ('O')) v(s)"""
+)
+def layer_catalogue(spark, d):
+    """Layer tags and comments as the catalogue has them, beside the rows of each table."""
+    schema = _new_schema()
+    built = _orders_by_segment(spark, d, ["O", "F"], schema)
+    named = {"detail": "detail", "segments": "rollup", "by_value": "by_value", "rollup_o": "rollup_O", "rollup_f": "rollup_F"}
+    counts = [
+        agg.scalar_agg(built[of], {"row_count": F.count(F.lit(1))}).withColumn("table_name", F.lit(name))
+        for name, of in named.items()
+    ]
+    sizes = reduce(lambda a, b: a.unionByName(b), counts)
+    tables = readers.catalogue(spark, schema, ["layer"]).where("NOT is_view")
+    return joins.join(tables, sizes, "table_name").select("table_name", "layer", "comment", "row_count")

@@ -328,27 +328,27 @@ def drop_all_null(spark, d):
     return nulls.drop_null(p, ["price", "p_name"], how="all")
 
 
-_ADDRESS = """SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS line1,
-                CASE WHEN c_acctbal >= 0 THEN c_name END AS line2 FROM customer"""
-
-
-def _addresses(spark, d):
-    return table(spark, d, "customer").select(
-        "c_custkey",
-        F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("line1"),
-        F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("line2"),
-    )
+_SHORT_PARTS = """SELECT p_partkey, nullif(p_brand, 'Brand#11') AS brand,
+                    CASE WHEN p_size > 10 THEN p_type END AS kind, p_name FROM part"""
 
 
 @query(
-    f"""SELECT c_custkey, line1, line2, coalesce(line1, 'Unknown segment') AS line1_clean,
-          coalesce(line1, '') || ', ' || coalesce(line2, '') AS full_address,
-          concat_ws(', ', line1, line2) AS short_address FROM ({_ADDRESS})"""
+    f"""SELECT p_partkey, brand, coalesce(kind, 'SMALL GOODS') AS kind,
+          coalesce(brand, '') || '/' || coalesce(kind, '') || '/' || coalesce(p_name, '') AS shelf_mark,
+          concat_ws('/', brand, kind, p_name) AS spoken_mark FROM ({_SHORT_PARTS})"""
 )
 def null_defaults_and_joined_text(spark, d):
-    a = nulls.default_text(_addresses(spark, d), {"line1": "Unknown segment"}, "_clean")
-    a = nulls.join_text(a, ["line1", "line2"], "full_address")
-    return nulls.join_text(a, ["line1", "line2"], "short_address", skip_empty=True)
+    """Shelf marks of parts: with a place for every field, and as they are read out."""
+    parts = table(spark, d, "part").select(
+        "p_partkey",
+        F.nullif(F.col("p_brand"), F.lit("Brand#11")).alias("brand"),
+        F.when(F.col("p_size") > 10, F.col("p_type")).alias("kind"),
+        "p_name",
+    )
+    fields = ["brand", "kind", "p_name"]
+    marked = nulls.join_text(parts, fields, "shelf_mark", "/")
+    marked = nulls.join_text(marked, fields, "spoken_mark", "/", skip_empty=True)
+    return nulls.default_text(marked, {"kind": "SMALL GOODS"}).drop("p_name")
 
 
 # -- arrays, text and JSON --------------------------------------------------------

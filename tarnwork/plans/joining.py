@@ -266,6 +266,25 @@ def filters_mixed(spark, d):
     )
 
 
+_BALANCE_AS_TEXT = """SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'not told'
+      WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE ' ' || round(c_acctbal)::BIGINT END AS balance FROM customer"""
+
+
+@query(
+    f"""SELECT c_custkey, balance, TRY_CAST(balance AS DOUBLE) <= 0 AS owes FROM ({_BALANCE_AS_TEXT})
+        WHERE TRY_CAST(balance AS DOUBLE) > 5000 OR TRY_CAST(balance AS DOUBLE) <= 0"""
+)
+def text_against_number(spark, d):
+    """Balances kept as text, some of them no numbers, compared with numbers."""
+    balance = F.when(F.col("c_mktsegment") == "BUILDING", "not told").when(
+        F.col("c_mktsegment") != "MACHINERY", F.concat(F.lit(" "), F.round("c_acctbal").cast("long"))
+    )
+    c = table(spark, d, "customer").select("c_custkey", balance.alias("balance"))
+    rich = project.where_number(c, "balance", ">", 5000).withColumn("owes", F.lit(False))
+    owing = project.where_number(c, "balance", "<=", 0).withColumn("owes", F.lit(True))
+    return rich.unionByName(owing)
+
+
 @query("SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000")
 def filter_by_text(spark, d):
     o = project.where(table(spark, d, "orders"), "o_orderstatus == 'F' AND o_totalprice > 300000")

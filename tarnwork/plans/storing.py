@@ -3,9 +3,11 @@ under the shared folder of the session."""
 
 import uuid
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tarnwork.operators import aggregate as agg
+from tarnwork.operators import joins
 from tarnwork.plans.registry import query, table
 from tarnwork.sources import incremental, readers, writers
 from tarnwork.sources.storage import scratch_dir
@@ -209,3 +211,71 @@ def orders_per_month_number(spark, d):
     counts = agg.group(o, ["month_no"], {"orders": F.count("o_orderkey")})
     joined = months.join(counts, months["id"] == counts["month_no"], "left")
     return joined.select("id", F.coalesce("orders", F.lit(0)).alias("orders"))
+
+
+# -- literal tables, columns and schemas ---------------------------------------------
+
+
+@query(
+    """SELECT o_orderkey, s.meaning, s.weight FROM orders
+       JOIN (VALUES ('F', 'filled', 1.0::DOUBLE), ('O', 'open', 2.5::DOUBLE), ('P', NULL, NULL)) s(code, meaning, weight)
+       ON o_orderstatus = s.code"""
+)
+def literal_with_schema(spark, d):
+    """States spelled out from a table with a fixed schema, NULL values included."""
+    states = readers.literal_table(
+        spark, [("F", "filled", 1.0), ("O", "open", 2.5), ("P", None, None)], "code string, meaning string, weight double"
+    )
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return joins.join(o, states, {"o_orderstatus": "code"}).select("o_orderkey", "meaning", "weight")
+
+
+@query(
+    """SELECT o_orderpriority, count(*) AS order_count, max(w.days) AS days, max(w.note) AS note
+       FROM orders JOIN (VALUES ('1-URGENT', 1, 'row'), ('2-HIGH', 3, 'dict'), ('5-LOW', 0, 'scalar')) w(name, days, note)
+       ON o_orderpriority = w.name GROUP BY 1"""
+)
+def literal_from_rows_dicts_scalars(spark, d):
+    """Priorities from ``Row`` objects, dicts and plain scalars in one union."""
+    of_rows = readers.literal_table(spark, [Row(name="1-URGENT", days=1, note="row")])
+    of_dicts = readers.literal_table(spark, [{"name": "2-HIGH", "days": 3, "note": "dict"}])
+    of_scalars = readers.literal_table(spark, ["5-LOW"], "string").toDF("name")
+    of_scalars = of_scalars.withColumns({"days": F.lit(0).cast("long"), "note": F.lit("scalar")})
+    every = of_rows.unionByName(of_dicts).unionByName(of_scalars)
+    joined = joins.join(table(spark, d, "orders"), every, {"o_orderpriority": "name"})
+    return agg.group(
+        joined,
+        ["o_orderpriority"],
+        {"order_count": F.count(F.lit(1)), "days": F.max("days").cast("int"), "note": F.max("note")},
+    )
+
+
+@query(
+    """SELECT (row_number() OVER () - 1)::INT AS pos, column_name AS col_name,
+         CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+           WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' END AS data_type
+       FROM (DESCRIBE orders)"""
+)
+def columns_of_orders(spark, d):
+    return readers.describe_columns(table(spark, d, "orders"))
+
+
+@query(
+    """SELECT count(*) AS supplier_count, 'suppliers'' own \\ copy' AS schema_comment,
+         count(DISTINCT s_nationkey) AS nation_count FROM supplier"""
+)
+def schema_with_comment(spark, d):
+    """A schema made once, although asked for twice, with a comment full of quotes; a table in it."""
+    schema = _name("shop")
+    for _ in range(2):
+        writers.create_schema(spark, schema, "suppliers' own \\ copy")
+    copy = writers.ctas(spark, f"{schema}.supplier", table(spark, d, "supplier"), scratch_dir(spark, schema))
+    told = F.lit(spark.catalog.getDatabase(schema).description)
+    return agg.scalar_agg(
+        copy,
+        {
+            "supplier_count": F.count(F.lit(1)),
+            "schema_comment": F.max(told),
+            "nation_count": F.count_distinct("s_nationkey"),
+        },
+    )

@@ -53,7 +53,7 @@ def rapid_repeats(spark, d):
        SELECT user_id, event_id, ts, next_ts, round(m, 4) AS gap_minutes, true AS suspicious FROM g WHERE m < 5"""
 )
 def rapid_followed(spark, d):
-    r = ts.rapid_followed(_events(spark, d), "user_id", "ts", 5)
+    r = ts.rapid_followed(_events(spark, d), "user_id", "ts", 5).where("suspicious")
     return r.withColumn("gap_minutes", F.round("gap_minutes", 4))
 
 
@@ -97,8 +97,8 @@ _DAYS = "days AS (SELECT DISTINCT user_id, ts::DATE AS ts FROM events)"
                            WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
           s AS (SELECT user_id, ts, sum(CASE WHEN gap = 1 THEN 0 ELSE 1 END)
                   OVER (PARTITION BY user_id ORDER BY ts)::BIGINT AS streak_id FROM g)
-        SELECT user_id, streak_id, min(ts) AS start_date, max(ts) AS end_date,
-          (date_diff('day', min(ts), max(ts)) + 1)::INT AS days_present FROM s GROUP BY 1, 2"""
+        SELECT user_id, streak_id, min(ts) AS from_day, max(ts) AS to_day,
+          (date_diff('day', min(ts), max(ts)) + 1)::INT AS n_days FROM s GROUP BY 1, 2"""
 )
 def active_day_streaks(spark, d):
     return ts.streaks(_events(spark, d), "user_id", "ts")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import csv
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,18 +19,65 @@ from tarnwork.sources.writers import observed_rows
 _FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+#: Bytes read of the head of a file at a time.
+_HEAD_BYTES = 1 << 14
+
+
+def _by_header(spark: SparkSession, files: DataFrame) -> dict[str, list[str]]:
+    """Paths grouped by the first line of the files. Heads are read where the tasks run; the
+    driver gets a row per distinct header. Only files on a file system that is known to
+    Hadoop alone are opened by the driver. Files without a line are left out."""
+    block = _HEAD_BYTES
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from urllib.parse import quote
+
+        from pyarrow import fs
+
+        def head(path: str) -> str | None:
+            if path.startswith(("file:", "/")):
+                system, place = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+            else:
+                system, place = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+            with system.open_input_stream(place, compression="detect") as stream:
+                data = b""
+                while b"\n" not in data and (more := stream.read(block)):
+                    data += more
+            line = data.split(b"\n", 1)[0].removesuffix(b"\r").decode()
+            return line if data else None
+
+        for batch in frames:
+            paths, heads, opened = batch.column("path").to_pylist(), [], []
+            for path in paths:
+                try:
+                    heads.append(head(path))
+                    opened.append(True)
+                except (pa.ArrowException, ImportError, OSError):
+                    heads.append(None)
+                    opened.append(False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array(heads, pa.string()), pa.array(opened)],
+                names=["path", "head", "opened"],
+            )
+
+    read = files.select("path").mapInArrow(run, "path string, head string, opened boolean")
+    grouped = read.groupBy("head", "opened").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    groups: dict[str, list[str]] = defaultdict(list)
+    for row in grouped:
+        for path in row["paths"]:
+            head = row["head"] if row["opened"] else first_line(spark, path)
+            if head is not None:
+                groups[head].append(path)
+    return dict(sorted(groups.items()))
+
+
 def _read_csv_by_header(
-    spark: SparkSession, paths: Sequence[str], options: Mapping[str, str]
+    spark: SparkSession, files: DataFrame, options: Mapping[str, str]
 ) -> DataFrame:
     """Files grouped by their header line, one read per distinct header, then a
     union by name. Reading unlike headers together would match columns by place."""
     sep = options.get("sep", ",")
-    with ThreadPoolExecutor(16) as pool:
-        heads = list(pool.map(lambda p: first_line(spark, p), paths))
-    groups: dict[str, list[str]] = defaultdict(list)
-    for path, head in zip(paths, heads):
-        if head is not None:  # an empty file has no header and no rows
-            groups[head].append(path)
+    groups = _by_header(spark, files)
     merged = None
     for head, members in groups.items():
         names = next(csv.reader([head.lstrip("﻿")], delimiter=sep))
@@ -44,6 +91,7 @@ def _read_csv_by_header(
 
 def _read_batch(
     spark: SparkSession,
+    files: DataFrame,
     paths: Sequence[str],
     fmt: str,
     schema: StructType | str | None,
@@ -51,7 +99,7 @@ def _read_batch(
     options: Mapping[str, str],
 ) -> DataFrame:
     if fmt == "csv" and merge_schema and schema is None:
-        return _read_csv_by_header(spark, paths, options)
+        return _read_csv_by_header(spark, files, options)
     opts = dict(options)
     if fmt == "csv":
         opts.setdefault("header", "true")
@@ -94,10 +142,11 @@ def load_new_files(
     loaded: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # The names of one batch, files_per_batch at most, are what the reader is given.
         paths = sorted(r["path"] for r in batch.select("path").collect())
         if not paths:
             return
-        rows = _read_batch(spark, paths, fmt, schema, merge_schema, options or {})
+        rows = _read_batch(spark, batch, paths, fmt, schema, merge_schema, options or {})
         if not rows.columns:
             return
         if select:

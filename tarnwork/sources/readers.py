@@ -84,5 +84,19 @@ def describe_columns(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "pos int, col_name string, data_type string")
 
 
+def catalogue(spark: SparkSession, schema: str, properties: Sequence[str] = ()) -> DataFrame:
+    """The tables of a schema and the session's views, a row each: ``table_name, kind, is_view,
+    comment`` and one column for each property asked for. Only metadata is read."""
+    rows = []
+    for t in spark.catalog.listTables(schema):
+        set_ = {}
+        if properties and not t.isTemporary:
+            name = ".".join(f"`{part}`" for part in (*(t.namespace or [schema]), t.name))
+            set_ = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        rows.append((t.name, t.tableType, t.isTemporary or t.tableType == "VIEW", t.description, *map(set_.get, properties)))
+    fields = ["table_name string", "kind string", "is_view boolean", "comment string", *(f"`{p}` string" for p in properties)]
+    return spark.createDataFrame(rows, ", ".join(fields))
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -43,22 +43,41 @@ def test_literal_tables(spark, rows):
 
 
 def test_projection_routes(spark, rows):
-    df = spark.createDataFrame([("c1", "Rome", 5), ("c2", "Oslo", 7)], ["cust_id", "city", "amount"])
-    renamed = project.rename(df, {"cust_id": "Customer_ID", "city": "City"})
-    aliased = df.select(F.col("cust_id").alias("Customer_ID"), F.col("city").alias("City"), "amount")
-    assert renamed.columns == aliased.columns and rows(renamed) == rows(aliased)
-    assert project.reorder(renamed, ["amount", "City", "Customer_ID"]).columns[0] == "amount"
-    assert project.prefix_columns(df, "p_").columns == ["p_cust_id", "p_city", "p_amount"]
-    assert project.columns_of_type(df, T.NumericType) == ["amount"]
-    assert [project.snake_case(c) for c in ("userId", "isActive", "age")] == ["user_id", "is_active", "age"]
-    assert project.snake_case_columns(spark.createDataFrame([(1, 2)], ["userId", "joinDate"])).columns == [
-        "user_id",
-        "join_date",
-    ]
+    df = spark.createDataFrame([("reed", "C", 5), ("brass", "Bb", 7)], ["family", "key", "pipes"])
+    renamed = project.rename(df, {"family": "Stop Family", "key": "Pitch"})
+    assert renamed.columns == ["Stop Family", "Pitch", "pipes"] and rows(renamed) == rows(df)
+    assert project.reorder(renamed, ["pipes", "Pitch", "Stop Family"]).columns[0] == "pipes"
+    assert project.prefix_columns(df, "organ_").columns == ["organ_family", "organ_key", "organ_pipes"]
+    assert project.columns_of_type(df, T.NumericType) == ["pipes"]
+    assert [project.snake_case(c) for c in ("windPressure", "rankOfPipes", "key")] == ["wind_pressure", "rank_of_pipes", "key"]
+    assert project.snake_case_columns(spark.createDataFrame([(1, 2)], ["swellBox", "stop"])).columns == ["swell_box", "stop"]
     ids = [r[0] for r in project.row_id(df.repartition(3)).select("row_id").collect()]
     assert len(set(ids)) == 2
 
 
+def test_text_compared_as_a_number(spark, rows):
+    df = spark.createDataFrame([("9",), ("10.5",), ("n/a",), ("",), (None,), (" 11 ",), ("1e2",), ("NaN",)], "t string")
+    assert rows(project.where_number(df, "t", ">", 9)) == [(" 11 ",), ("10.5",), ("1e2",), ("NaN",)]
+    assert rows(project.where_number(df, "t", "<=", 10.5)) == [("10.5",), ("9",)]
+    assert rows(project.where_number(df, "t", "<>", 9)) == [(" 11 ",), ("10.5",), ("1e2",), ("NaN",)]
+    with pytest.raises(KeyError):
+        project.where_number(df, "t", "~", 1)
+
+
+def test_catalogue_of_a_schema(spark, tmp_path, rows):
+    schema = f"catalogue_{tmp_path.name}".replace("-", "_")
+    writers.create_schema(spark, schema, "it's a \\ schema")
+    assert spark.catalog.getDatabase(schema).description == "it's a \\ schema"
+    writers.save_table(spark.range(2), f"{schema}.one", path=str(tmp_path / "one"))
+    spark.sql(f"ALTER TABLE {schema}.one SET TBLPROPERTIES ('layer' = 'raw')")
+    spark.sql(f"COMMENT ON TABLE {schema}.one IS 'first'")
+    spark.range(1).createOrReplaceTempView(f"view_{schema}")
+    got = readers.catalogue(spark, schema, ["layer", "missing"])
+    assert got.columns == ["table_name", "kind", "is_view", "comment", "layer", "missing"]
+    assert rows(got.where("not is_view")) == [("one", "EXTERNAL", False, "first", "raw", None)]
+    assert rows(got.where("is_view"), "table_name").count((f"view_{schema}",)) == 1
+
+
 def test_nested_fields_two_spellings(spark, rows):
     df = spark.createDataFrame(
         [(1, {"city": "Graz", "state": "ST"}), (2, {"city": "Linz"})], "id int, address map<string,string>"
@@ -389,7 +408,9 @@ def test_intervals_and_gaps(spark, rows):
 def test_rapid_events(spark, rows):
     base = TS(2024, 1, 1, 10, 0)
     df = spark.createDataFrame([("u", base + dt.timedelta(minutes=m)) for m in (0, 3, 20, 22)], "u string, ts timestamp_ntz")
-    assert [r[0].minute for r in rows(timeseries.rapid_followed(df, "u", "ts", 5), "ts")] == [0, 20]
+    assert [r[0].minute for r in rows(timeseries.rapid_followed(df, "u", "ts", 5).where("suspicious"), "ts")] == [0, 20]
+    flags = rows(timeseries.rapid_followed(df, "u", "ts", 5, "near"), "ts", "near")
+    assert [f for _, f in flags] == [True, False, True, False]
     assert [r[0].minute for r in rows(timeseries.rapid_repeats(df, "u", "ts", 5), "ts")] == [3, 22]
 
 
@@ -474,23 +495,25 @@ def test_dates(spark, rows):
 
 # -- quality and dimensions ------------------------------------------------------------------------
 
-RULES = {"valid status": "status in ('O', 'F', 'P')", "valid price": "price > 0"}
+MELT_RULES = {"melts in range": "melt between -40 and 900", "named": "length(alloy) >= 2"}
 
 
 @pytest.fixture()
-def dirty(spark):
-    return spark.createDataFrame([(1, "NA", 5.0), (2, "O", 100.0), (3, None, 9.0), (4, "F", -1.0)], "id int, status string, price double")
+def samples(spark):
+    made = [("A7", 310.5), ("", 420.0), (None, 38.9), ("Zn3", None), ("q", 9000.0), ("Pb2", -40.0)]
+    return spark.createDataFrame([(i, *m) for i, m in enumerate(made)], "lot int, alloy string, melt double")
 
 
-def test_rules(dirty, rows):
-    assert rows(quality.expect_all_or_drop(dirty, RULES), "id") == [(2,)]
-    assert rows(quality.expect_all(dirty, RULES, "warn"), "id", "failed_rules") == [
-        (1, ["valid status"]), (2, []), (3, ["valid status"]), (4, ["valid price"]),
+def test_rules(samples, rows):
+    range_, named = MELT_RULES
+    assert rows(quality.expect_all_or_drop(samples, MELT_RULES), "lot") == [(0,), (5,)]
+    assert rows(quality.expect_all(samples, MELT_RULES, "warn"), "lot", "failed_rules") == [
+        (0, []), (1, [named]), (2, [named]), (3, [range_]), (4, [range_, named]), (5, []),
     ]
-    assert rows(quality.rule_report(dirty, RULES)) == [("valid price", 3, 1), ("valid status", 2, 2)]
-    with pytest.raises(Exception, match="row fails: valid"):
-        quality.expect_all(dirty, RULES, "fail").collect()
-    assert quality.expect_all(dirty.where("id = 2"), RULES, "fail").count() == 1
+    assert rows(quality.rule_report(samples, MELT_RULES)) == [(range_, 4, 2), (named, 3, 3)]
+    with pytest.raises(Exception, match="row fails: "):
+        quality.expect_all(samples, MELT_RULES, "fail").collect()
+    assert quality.expect_all(samples.where("lot in (0, 5)"), MELT_RULES, "fail").count() == 2
 
 
 def change(key, text, action, day):

@@ -1,6 +1,7 @@
 """Streams, incremental loads and the layered tables over several runs."""
 
 import datetime as dt
+import gzip
 import uuid
 
 import pytest
@@ -380,3 +381,48 @@ def test_a_batch_without_marker_is_an_error(spark, tmp_path):
     (tmp_path / "log" / "log" / "batch=0" / "_SUCCESS").unlink()
     with pytest.raises(RuntimeError, match="marker"):
         changes.read_scd1(spark, path, ["id"], "n")
+
+
+def test_headers_are_read_where_the_files_are(spark, tmp_path):
+    write_csv(tmp_path / "in/a.csv", "id,v", "1,x")
+    write_csv(tmp_path / "in/b.csv", "v,id", "y,2")
+    write_csv(tmp_path / "in/c d%20e.csv", "id,v")
+    (tmp_path / "in/empty.csv").write_text("")
+    (tmp_path / "in/wide.csv").write_text(",".join(f"column_{i}" for i in range(4000)) + "\r\n")
+    with gzip.open(tmp_path / "in/z.csv.gz", "wt") as out:
+        out.write("id,v\n3,z\n")
+    files = spark.createDataFrame([(f"file:{p}",) for p in (tmp_path / "in").iterdir()], "path string")
+    groups = incremental._by_header(spark, files)
+    short = {h: [p.rsplit("/", 1)[1] for p in paths] for h, paths in groups.items() if len(h) < 10}
+    assert short == {"id,v": ["a.csv", "c d%20e.csv", "z.csv.gz"], "v,id": ["b.csv"]}
+    assert len(groups) == 3
+    rows = incremental._read_csv_by_header(spark, files.where("path NOT LIKE '%wide%' AND path NOT LIKE '%/c d%'"), {})
+    assert sorted((r["id"], r["v"]) for r in rows.collect()) == [("1", "x"), ("2", "y"), ("3", "z")]
+
+
+def test_layers_fold_their_stores(spark, tmp_path, rows):
+    schema = name("folded")
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{tmp_path}/schema'")
+    dim, fact = str(tmp_path / "dim"), str(tmp_path / "fact")
+    spark.createDataFrame([(1, 2.0)], "of int, v double").write.parquet(fact)
+    for n in range(4):
+        spark.createDataFrame([(1, f"v{n}", n), (n, "w", 10 + n)], "k int, t string, n int").coalesce(1).write.mode("append").parquet(dim)
+        built = medallion.run_layers(
+            spark,
+            medallion.LayerSpec(
+                dimension=readers.stream_files(spark, dim, "k int, t string, n int", fmt="parquet"),
+                facts={"f": readers.stream_files(spark, fact, "of int, v double", fmt="parquet")},
+                root=str(tmp_path / "root"),
+                schema=schema,
+                keys=["k"],
+                seq="n",
+                on={"k": "of"},
+                by=["t"],
+                measures={"worth": F.sum("v")},
+                compact_after=1,
+            ),
+        )
+    assert len(changes.new_batches(spark, str(tmp_path / "root/versions"))) <= 1
+    every = spark.read.parquet(dim)
+    assert rows(built["versions"]) == rows(cdc.scd2(every, ["k"], "n"))
+    assert rows(built["now"]) == rows(cdc.scd1(every, ["k"], "n"))
