@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.sources.storage import scratch_dir
+from tarnwork.sources.storage import qualified, scratch_dir
 
 #: A word, as SQL text: a run of anything but the six ASCII white-space characters.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -22,7 +22,7 @@ class Scratch:
     loss. A written table also cuts the lineage of what is built on it."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.dir = spark, scratch_dir(spark, name)
+        self.spark, self.dir = spark, qualified(spark, scratch_dir(spark, name))
 
     def path(self, name: str) -> str:
         return f"{self.dir}/{name}"

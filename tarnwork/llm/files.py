@@ -7,7 +7,8 @@ from pyarrow import fs
 
 
 def place(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder or file; paths without a scheme are local."""
+    """File system and path of a folder or file. ``Scratch`` names the file system of all its
+    paths; one without a scheme is local."""
     if uri.startswith("file:"):
         uri = "/" + uri.removeprefix("file:").lstrip("/")
     if uri.startswith("/"):

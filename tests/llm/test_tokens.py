@@ -79,3 +79,9 @@ def test_added_tokens_get_their_ids():
     want = [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(x, np.uint16).tolist() for x in encoder.encode(texts)] == want
     assert 50256 in want[0]
+
+
+def test_scratch_paths_name_their_file_system(spark):
+    from tarnwork.llm.common import Scratch
+
+    assert Scratch(spark, "x").path("y").startswith("file:/")
