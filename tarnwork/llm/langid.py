@@ -2,30 +2,36 @@
 
 Learning counts every word of every labelled training text per language, and every
 character n-gram of those words (with marks for word start and end) weighted by the
-word's count. The most frequent words, at most ``words``, and per length the most frequent
-n-grams, at most ``grams``, make the model, in whole classes of frequency and with smoothed log frequencies per language. These two
-bounds are parameters, so the model that is sent to the workers has at most
-``words + LENGTHS * grams`` rows whatever the corpus; the counts behind it cover all
-training rows.
+word's count. All counts are kept, as a table of words and n-grams with smoothed log
+frequencies per language, so that no language loses its rare words to a larger one.
 
 A text's score for a language is the sum over its words. A known word adds its log
 frequency. An unseen one is looked up by its n-grams of the greatest length; if none is
 known, by the next shorter length, down to single characters; it adds their mean log
 frequency. A word of which not even a character is known adds nothing.
 
+The table is never sent to the tasks. Documents are packed into blocks that name their words
+by number and list each distinct word once. These lists are joined with the table by word;
+words without a match go on as n-grams, each once however many blocks hold it. The log
+frequencies return to the blocks, which stay where they are, and add up their documents.
+
 A null text, or one without a letter, is ``und`` with score 0, as is any text when nothing
 could be learned. Equal scores go to the first language by name. The score is the
-language's share of the summed likelihoods.
+language's share of the summed likelihoods. Rows are independent: repeated rows and ids are
+scored alike, a null id stays null, ids may be of any type; other columns are not read. The
+longest text must fit a worker.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +41,8 @@ from tarnwork.llm.common import Scratch
 LENGTHS = (5, 4, 3, 2, 1)
 #: Entries a counter holds before it is passed on.
 HELD = 300_000
-#: Words a task remembers; frequent ones come early.
-REMEMBERED = 500_000
+#: Characters of the texts of a block.
+BLOCK_CHARS = 64_000_000
 #: Added to every count.
 ALPHA = 0.5
 
@@ -108,140 +114,154 @@ def _count_grams(words: DataFrame) -> DataFrame:
 
 
 class Model:
-    """``rows`` places words (kind 0) and n-grams (kind: their length) in ``logs``, which has
-    a column per language."""
-
-    def __init__(self, langs: list[str], rows: dict[tuple[int, str], int], logs: np.ndarray):
-        self.langs, self.rows, self.logs = langs, rows, logs
-        self.items: dict[int, dict[str, int]] = {kind: {} for kind in (0, *LENGTHS)}
-        for (kind, item), at in rows.items():
-            self.items[kind][item] = at
-        #: Words seen so far and what an occurrence adds to each language.
-        self.place: dict[str, int] = {}
-        self.added = np.zeros((1024, len(langs)))
-
-    def _from_grams(self, word: str) -> list[int]:
-        for length in LENGTHS:
-            marked, get = f"<{word}>" if length > 1 else word, self.items[length].get
-            found = [get(marked[i : i + length]) for i in range(len(marked) - length + 1)]
-            if at := [i for i in found if i is not None]:
-                return at
-        return []
-
-    def _vectors(self, words: list[str]) -> np.ndarray:
-        """A row per word: its own log frequencies, or the mean of its n-grams'."""
-        get = self.items[0].get
-        found = [[i] if (i := get(w)) is not None else self._from_grams(w) for w in words]
-        sizes = np.array([len(x) for x in found])
-        out = np.zeros((len(words), len(self.langs)))
-        known = sizes > 0
-        if known.any():
-            flat = np.array([i for x in found for i in x])
-            starts = np.concatenate(([0], np.cumsum(sizes[known])[:-1]))
-            out[known] = np.add.reduceat(self.logs[flat], starts, axis=0) / sizes[known, None]
-        return out
-
-    def vector(self, word: str) -> np.ndarray:
-        return self._vectors([word])[0]
-
-    def _total(self, words: list[str]) -> np.ndarray:
-        """The sum over words; those met for the first time are worked out together."""
-        get = self.place.get
-        at = list(map(get, words))
-        rest = 0.0
-        if None in at:
-            times = Counter(w for w, i in zip(words, at) if i is None)
-            made = self._vectors(list(times))
-            rest = np.fromiter(times.values(), float, len(times)) @ made
-            at = [i for i in at if i is not None]
-            n = len(self.place)
-            if n < REMEMBERED:
-                if n + len(times) > len(self.added):
-                    grown = np.zeros((2 * (n + len(times)), len(self.langs)))
-                    grown[:n] = self.added[:n]
-                    self.added = grown
-                self.added[n : n + len(times)] = made
-                self.place.update(zip(times, range(n, n + len(times))))
-        return rest + (self.added[at].sum(axis=0) if at else 0.0)
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text or "")
-        if not words or not self.langs or not any(map(str.isalpha, text)):
-            return "und", 0.0
-        total = self._total(words)
-        best = int(total.argmax())
-        return self.langs[best], float(1 / np.exp(np.maximum(total - total[best], -700)).sum())
-
-
-def _most_frequent(items: DataFrame, most: int) -> pa.Table:
-    """The most frequent of ``items (item, all, ...)``, ``most`` rows at most: whole classes
-    of frequency, eight to the octave, as long as they fit, so that no order of all items is
-    needed."""
-    level = F.floor(F.log2("all") * 8)
-    sizes = {r["level"]: r["count"] for r in items.groupBy(level.alias("level")).count().collect()}
-    least, taken = None, 0
-    for at in sorted(sizes, reverse=True):
-        taken += sizes[at]
-        if taken > most:
-            break
-        least = at
-    kept = items.where(F.lit(False)) if least is None else items.where(level >= least)
-    return kept.drop("all").toArrow()
-
-
-def learn(
-    docs: DataFrame,
-    spark: SparkSession,
-    words: int = 50_000,
-    grams: int = 20_000,
-    text_column: str = "text",
-    lang_column: str = "lang",
-) -> Model:
+    """``items``: ``(kind, item, logs)``, words (kind 0) and n-grams (kind: their length) with
+    a log frequency per language of ``langs``."""
+
+    def __init__(self, langs: list[str], items: DataFrame):
+        self.langs, self.items = langs, items
+
+    def vectors(self, words: DataFrame) -> DataFrame:
+        """``(word, logs)`` for the distinct ``words (word)`` that the model can tell
+        something of: the words' own log frequencies, or the mean of their n-grams'."""
+        known = self.items.where("kind = 0").select(F.col("item").alias("word"), "logs")
+        asked = words.select("word").distinct()
+        own = known.join(asked, "word", "left_semi")
+        grams = _grams_of_words(asked.join(known, "word", "left_anti"))
+        hits = grams.join(self.items.where("kind > 0"), ["kind", "item"])
+        means = F.array(*[F.avg(F.col("logs")[i]) for i in range(len(self.langs))])
+        longest = hits.groupBy("word", "kind").agg(means.alias("logs")).groupBy("word").agg(F.max_by("logs", "kind").alias("logs"))
+        return own.unionByName(longest)
+
+
+def _grams_of_words(words: DataFrame) -> DataFrame:
+    """``(word, kind, item)``, a row per n-gram."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in frames:
+            rows = [
+                (word, length, gram)
+                for word in batch.column("word").to_pylist()
+                for length in LENGTHS
+                for gram in grams_of(word, length)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([r[0] for r in rows], pa.string()),
+                    pa.array([r[1] for r in rows], pa.int32()),
+                    pa.array([r[2] for r in rows], pa.string()),
+                ],
+                names=["word", "kind", "item"],
+            )
+
+    return words.mapInArrow(run, "word string, kind int, item string")
+
+
+def learn(docs: DataFrame, spark: SparkSession, text_column: str = "text", lang_column: str = "lang") -> Model:
     """A model from all rows of ``docs`` that have a text and a language."""
     scratch = Scratch(spark, "langid")
     train = docs.select(F.col(text_column).alias("text"), F.col(lang_column).alias("lang")).dropna()
     counted = scratch.save(_count_words(train), "words")
-    gram_counts = scratch.save(_count_grams(counted), "grams")
-    both = counted.unionByName(gram_counts)
-    totals = {(r["kind"], r["lang"]): r["n"] for r in both.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
-    langs = sorted({lang for _, lang in totals})
-    rows: dict[tuple[int, str], int] = {}
-    logs = [np.zeros((0, len(langs)))]
-    for kind, table, most in [(0, counted, words), *[(n, gram_counts, grams) for n in LENGTHS]]:
-        by = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}") for i, lang in enumerate(langs)]
-        top = _most_frequent(table.where(F.col("kind") == kind).groupBy("item").agg(F.sum("n").alias("all"), *by), most)
-        size = np.array([totals.get((kind, lang), 0) for lang in langs]) + ALPHA * (top.num_rows + 1)
-        start = len(rows)
-        rows |= {(kind, item): start + i for i, item in enumerate(top.column("item").to_pylist())}
-        counts = np.zeros((top.num_rows, len(langs)))
-        for i in range(len(langs)):
-            counts[:, i] = top.column(f"n{i}").to_numpy()
-        logs.append(np.log((counts + ALPHA) / size))
-    scratch.drop("words", "grams")
-    return Model(langs, rows, np.concatenate(logs))
+    langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
+    both = counted.unionByName(_count_grams(counted.repartition("item")))
+    by = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}") for i, lang in enumerate(langs)]
+    items = scratch.save(both.groupBy("kind", "item").agg(F.count(F.lit(1)).alias("held"), *by), "items")
+    scratch.drop("words")
+    sums = [F.sum(f"n{i}").alias(f"n{i}") for i in range(len(langs))]
+    sizes = {}
+    for r in items.groupBy("kind").agg(F.count(F.lit(1)).alias("items"), *sums).collect():
+        sizes[r["kind"]] = [float(r[f"n{i}"] + ALPHA * (r["items"] + 1)) for i in range(len(langs))]
+    if not sizes:
+        return Model([], items)
+    size = F.element_at(F.create_map(*[F.lit(x) for kind, s in sizes.items() for x in (kind, s)]), F.col("kind"))
+    logs = F.array(*[F.log((F.col(f"n{i}") + ALPHA) / size[i]) for i in range(len(langs))])
+    return Model(langs, items.select("kind", "item", logs.alias("logs")))
+
+
+def _encoded(docs: DataFrame) -> DataFrame:
+    """Documents ``(id, text)`` in blocks: the ids, the distinct words, and per document how
+    many of them it holds, which ones and how often."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        ids, sizes, which, times, known, size = [], [], [], [], {}, 0
+
+        def close() -> pa.RecordBatch:
+            lists = [pa.array(sizes, pa.int32()), pa.array(which, pa.int32()), pa.array(times, pa.int32()), pa.array(list(known), pa.string())]
+            one = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (pa.concat_arrays(ids), *lists)]
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *one], names=["block", "ids", "sizes", "which", "times", "words"])
+
+        for batch in frames:
+            start = 0
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                some = text is not None and any(map(str.isalpha, text))
+                counts = Counter(words_of(text)) if some else {}
+                sizes.append(len(counts))
+                which.extend([known.setdefault(w, len(known)) for w in counts])
+                times.extend(counts.values())
+                size += len(text or "")
+                if size > BLOCK_CHARS:
+                    ids.append(batch.column("id").slice(start, i + 1 - start))
+                    yield close()
+                    number, start = number + 1, i + 1
+                    ids, sizes, which, times, known, size = [], [], [], [], {}, 0
+            ids.append(batch.column("id").slice(start))
+        if sizes:
+            yield close()
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"block long, ids array<{kind}>, sizes array<int>, which array<int>, times array<int>, words array<string>")
+
+
+def _scored(batch: pa.RecordBatch, i: int, langs: list[str]) -> pa.RecordBatch:
+    """The documents of a block."""
+    one = lambda name: batch.column(name).slice(i, 1).flatten()
+    ids, sizes, which, times = one("ids"), *(one(c).to_numpy() for c in ("sizes", "which", "times"))
+    found = one("found")
+    words = np.zeros((int(which.max(initial=-1)) + 1, len(langs)))
+    if len(found):
+        words[found.field("pos").to_numpy()] = found.field("logs").flatten().to_numpy().reshape(-1, len(langs))
+    total = np.zeros((len(sizes), len(langs)))
+    some = sizes > 0
+    if some.any():
+        starts = (np.cumsum(sizes) - sizes)[some]
+        total[some] = np.add.reduceat(words[which] * times[:, None], starts, axis=0)
+    best = total.argmax(axis=1)
+    score = 1 / np.exp(np.maximum(total - total.max(axis=1)[:, None], -700)).sum(axis=1)
+    named = np.where(some, np.array(langs, object)[best], "und")
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array(named.tolist(), pa.string()), pa.array(np.where(some, score, 0.0))], names=["id", "lang_pred", "score"]
+    )
 
 
 def predict(
     docs: DataFrame, spark: SparkSession, model: Model, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """``(id, lang_pred, score)`` per row, from the text alone."""
-    sent = spark.sparkContext.broadcast((model.langs, model.rows, model.logs))
-    picked = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    picked = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    schema = f"id {picked.schema['id'].dataType.simpleString()}, lang_pred string, score double"
+    langs = model.langs
+    if not langs:
+        return picked.select("id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    scratch, table = Scratch(spark, "langid"), f"langid_{uuid.uuid4().hex}"
+    buckets = max(docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    writer = _encoded(picked).write.bucketBy(buckets, "block").option("path", scratch.path("blocks"))
+    writer.option("compression", "zstd").saveAsTable(table)
+    blocks = spark.table(table)
+    listed = blocks.select("block", F.posexplode("words").alias("pos", "word"))
+    vectors = scratch.save(model.vectors(listed), "vectors")
+    told = listed.join(vectors, "word").groupBy("block").agg(F.collect_list(F.struct("pos", "logs")).alias("found"))
+    both = blocks.drop("words").join(told.hint("shuffle_hash"), "block", "left")
+    none = F.array().cast("array<struct<pos: int, logs: array<double>>>")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*sent.value)
         for batch in frames:
-            found = [model.predict(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    pa.array([x[0] for x in found], pa.string()),
-                    pa.array([x[1] for x in found], pa.float64()),
-                ],
-                names=["id", "lang_pred", "score"],
-            )
+            for i in range(batch.num_rows):
+                yield _scored(batch, i, langs)
 
-    return picked.mapInArrow(run, "id long, lang_pred string, score double")
+    found = scratch.save(both.withColumn("found", F.coalesce("found", none)).mapInArrow(run, schema), "result")
+    spark.sql(f"DROP TABLE {table}")
+    scratch.drop("blocks", "vectors")
+    return found
 
 
 def accuracy(lang: Column, predicted: Column) -> Column:

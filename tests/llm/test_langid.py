@@ -3,6 +3,7 @@
 import math
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tarnwork.llm import langid as L
@@ -42,8 +43,40 @@ def by_hand(word, langs):
 def test_words_first_then_shorter_grams(spark):
     model = L.learn(frame(spark), spark)
     assert model.langs == ["de", "en", "fr"]
-    for word in ("the", "und", "undz", "thecat", "xq", "ж", "chatz"):
-        assert model.vector(word).tolist() == __import__("pytest").approx(by_hand(word, model.langs))
+    words = ("the", "und", "undz", "thecat", "xq", "ж", "chatz")
+    asked = spark.createDataFrame([(w,) for w in words] * 3, "word string").repartition(3)
+    got = {r["word"]: r["logs"] for r in model.vectors(asked).collect()}
+    assert "ж" not in got
+    for word in words:
+        assert got.get(word, [0.0] * 3) == pytest.approx(by_hand(word, model.langs))
+
+
+def test_texts_in_blocks_by_hand(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK_CHARS", 40)
+    model = L.learn(frame(spark), spark)
+    texts = [" ".join(("the", "dog", "undz", "chatz", "ж", "Katze")[i % 6 : i % 6 + 1 + i % 4]) for i in range(40)]
+    rows = [(i, t, None) for i, t in enumerate(texts)]
+    got = {r["id"]: r for r in L.predict(frame(spark, rows).repartition(3), spark, model).collect()}
+    assert len(got) == 40
+    for i, t in enumerate(texts):
+        total = [sum(x) for x in zip(*(by_hand(w, model.langs) for w in L.words_of(t)))]
+        best = max(total)
+        assert got[i]["lang_pred"] == model.langs[total.index(best)]
+        assert got[i]["score"] == pytest.approx(1 / sum(math.exp(x - best) for x in total))
+
+
+def test_a_rare_language_keeps_its_words(spark):
+    """One row in a thousand, words that occur once: predicted as with equal shares."""
+    def text(alphabet, i):
+        return " ".join("".join(alphabet[(i * 7 + j * j + k * 3) % len(alphabet)] for k in range(6)) for j in range(12))
+
+    large = spark.range(4000).select(F.col("id"), F.concat(F.lit("the word number "), F.sha2(F.col("id").cast("string"), 256)).alias("text"), F.lit("en").alias("lang"))
+    small = spark.createDataFrame([(10_000 + i, text("aeioulmnrst", i), "xx") for i in range(4)], "id long, text string, lang string")
+    model = L.learn(large.unionByName(small), spark)
+    asked = spark.createDataFrame([(i, " ".join(text("aeioulmnrst", i).split()[:5])) for i in range(4)], "doc_id long, text string")
+    assert {r["lang_pred"] for r in L.predict(asked, spark, model).collect()} == {"xx"}
+    words = spark.createDataFrame([(w,) for i in range(4) for w in text("aeioulmnrst", i).split()], "word string").distinct()
+    assert model.items.where("kind = 0").join(words, F.col("item") == F.col("word"), "left_semi").count() == words.count()
 
 
 def test_predictions_and_odd_rows(spark):
@@ -55,12 +88,6 @@ def test_predictions_and_odd_rows(spark):
     assert scores[2] == 0 and abs(scores[5] - 1 / 3) < 1e-9 and all(0 <= s <= 1 for s in scores.values())
 
 
-def test_bounds_keep_whole_classes_of_frequency(spark):
-    model = L.learn(frame(spark), spark, words=3, grams=5)
-    assert {w for k, w in model.rows if k == 0} == {"the", "der"}
-    assert all(sum(k == n for k, _ in model.rows) <= 5 for n in L.LENGTHS)
-
-
 def test_nothing_to_learn_from(spark):
     empty = frame(spark, [])
     model = L.learn(empty, spark)
