@@ -499,7 +499,7 @@ def _verified(pieces: DataFrame, similarity: float) -> DataFrame:
     return pieces.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long")
 
 
-def near_groups(
+def near_rows(
     docs: DataFrame,
     spark: SparkSession,
     words: int,
@@ -510,20 +510,23 @@ def near_groups(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """``(id, raw, root, component_id)`` per row of ``docs``: rows whose sets of shingles
-    can be reached over links of ``similarity`` or more share ``root``, and
-    ``component_id`` is their smallest id. ``raw`` is the hash of the text. Links are
-    looked for among texts that hang together within ``radius`` bits."""
+    """``(id, raw, root)`` per row of ``docs``: rows whose sets of shingles can be reached over
+    links of ``similarity`` or more share ``root``. ``raw`` is the hash of the text. Links
+    are looked for among texts that hang together within ``radius`` bits. Texts are told
+    apart by 128 bits of their words; one row stands for all copies of a text, so copies do
+    not meet when texts are looked up."""
     scratch = Scratch(spark, "near")
     made = scratch.save(_text_rows(docs, words, lanes, id_column, text_column), "texts")
     loose = _rooted(made, bands, lanes, radius, scratch).select("fp", F.col("root").alias("loose"))
-    texts = made.groupBy("t1", "t2", "fp").agg(F.min("raw").alias("raw"), F.max("size").alias("size"))
-    texts = texts.join(loose, "fp").select("t1", "t2", "raw", "size", "loose")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "raw")).alias("first")
+    texts = made.groupBy("t1", "t2", "fp").agg(first, F.max("size").alias("size"))
+    texts = texts.join(loose, "fp").select("t1", "t2", F.col("first.id").alias("of"), F.col("first.raw").alias("raw"), "size", "loose")
     texts = scratch.save(texts.withColumn("node", F.monotonically_increasing_id()), "candidates")
     many = texts.groupBy("loose").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).where(F.col("n") > 1)
     asked = scratch.save(texts.join(many, "loose"), "asked")
-    picked = docs.select(F.xxhash64(text_column).alias("raw"), F.col(text_column).alias("text"))
-    sets = _sets(picked.join(asked.select("raw"), "raw", "left_semi").dropDuplicates(["raw"]).select("text"), words)
+    picked = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text_column).alias("hashed"), F.col(text_column).alias("text"))
+    one = (F.col("hashed") == F.col("raw")) & F.col("id").eqNullSafe(F.col("of"))
+    sets = _sets(picked.join(asked.select("of", "raw"), one, "left_semi").select("text"), words)
     slices = F.greatest(F.ceil(F.col("n") / SLICE), F.ceil(F.col("total") / SLICE_SHINGLES))
     own = F.pmod(F.xxhash64("node"), slices)
     held = asked.join(scratch.save(sets.dropDuplicates(["t1", "t2"]), "sets"), ["t1", "t2"])
@@ -534,7 +537,13 @@ def near_groups(
     edges = scratch.save(_verified(pieces, similarity), "similar")
     roots = connected(edges, Scratch(spark, "near_stars"))
     labels = texts.join(roots, "node", "left").select("t1", "t2", F.coalesce("root", "node").alias("root"))
-    rows = scratch.save(made.join(labels, ["t1", "t2"]).select("id", "raw", "root"), "rows")
+    return scratch.save(made.join(labels, ["t1", "t2"]).select("id", "raw", "root"), "rows")
+
+
+def near_groups(docs: DataFrame, spark: SparkSession, *args, **options) -> DataFrame:
+    """The rows of ``near_rows``, which takes the same arguments, with ``component_id``, the
+    smallest id of their root."""
+    rows = near_rows(docs, spark, *args, **options)
     return rows.join(rows.groupBy("root").agg(F.min("id").alias("component_id")), "root")
 
 
@@ -544,7 +553,9 @@ def hex_of(fp: str = "fp", lane: int = 0):
 
 def survivors(docs: DataFrame, grouped: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row of each group of ``grouped (id, raw, root)``: the smallest id, of equal ids and
-    among rows without id the smallest hash of the text. Texts under one id are told apart."""
+    among rows without id the smallest hash of the text. Texts under one id are told apart.
+    Groups are reduced before their shuffle if ``grouped`` is not yet dealt by root, as the
+    written rows of ``near_rows`` are not."""
     order = F.struct(F.col("id").isNull(), "id", "raw")
     best = grouped.groupBy("root").agg(F.min(order).alias("best")).select("best.id", "best.raw").distinct()
     best = best.select(F.col("id").alias("__id"), F.col("raw").alias("__raw"))
