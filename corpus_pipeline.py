@@ -40,7 +40,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group, or by text hash without ids."""
-    grouped = simhash.near_groups(docs, spark, WORDS, RADIUS, LANES, BANDS, SIMILARITY)
+    grouped = simhash.near_rows(docs, spark, WORDS, RADIUS, LANES, BANDS, SIMILARITY)
     return simhash.survivors(docs, grouped)
 
 
