@@ -1,5 +1,7 @@
 """The positive-unlabelled classifier on made-up classes."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -56,3 +58,48 @@ def test_nothing_to_learn_from(spark):
     assert sorted((r["id"] or 0, r["score"]) for r in got) == [(0, 0.0), (1, 0.0), (1, 0.0)]
     empty = docs.where(F.lit(False))
     assert Q.score(empty, spark, Q.learn(empty, none, spark)).count() == 0
+
+
+def risk_by_hand(w, positive, unlabelled, prior, ridge=1e-6):
+    """Non-negative risk, one row after the other, with its ridge."""
+    loss = lambda rows, sign: sum(math.log1p(math.exp(-sign * float(r @ w))) for r in rows) / len(rows)
+    negative = loss(unlabelled, -1) - prior * loss(positive, -1)
+    return prior * loss(positive, 1) + max(0.0, negative) + ridge / 2 * float(w @ w), negative
+
+
+def sample_of_two_kinds(seed):
+    rng = np.random.default_rng(seed)
+    n = len(Q.FEATURES)
+    good, bad = rng.normal(1, 1, (60, n)), rng.normal(-1, 1, (90, n))
+    return good[:30], np.concatenate((good[30:], bad))
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.3, 0.9])
+def test_first_step_follows_the_slope_of_the_risk(prior):
+    """From zero weights the first step goes 0.1 against the sign of the slope; where the
+    negative part of the risk is below zero, along that part's own slope."""
+    positive, unlabelled = sample_of_two_kinds(3)
+    model = Q.fit(positive, unlabelled, prior, steps=1)
+    p, u = model.design(positive), model.design(unlabelled)
+    zero = np.zeros(p.shape[1])
+    _, negative = risk_by_hand(zero, p, u, prior)
+    part = (lambda w: risk_by_hand(w, p, u, prior)[0]) if negative >= 0 else (lambda w: -risk_by_hand(w, p, u, prior)[1])
+    for j in range(0, len(zero), 7):
+        step = np.zeros(len(zero))
+        step[j] = 1e-5
+        slope = (part(zero + step) - part(zero - step)) / 2e-5
+        want = -0.1 * slope / (abs(slope) + 1e-8) if abs(slope) > 1e-6 else 0.0
+        assert model.weights[j] == pytest.approx(want, abs=1e-3)
+
+
+def test_fitted_weights_are_not_beaten_nearby():
+    positive, unlabelled = sample_of_two_kinds(4)
+    model = Q.fit(positive, unlabelled, 0.3)
+    p, u = model.design(positive), model.design(unlabelled)
+    least, _ = risk_by_hand(model.weights, p, u, 0.3)
+    assert least < risk_by_hand(np.zeros(p.shape[1]), p, u, 0.3)[0] / 2
+    rng = np.random.default_rng(5)
+    for scale in (0.01, 0.1, 1.0):
+        for _ in range(10):
+            near = model.weights + scale * rng.normal(size=len(model.weights))
+            assert risk_by_hand(near, p, u, 0.3)[0] > least - 5e-3
