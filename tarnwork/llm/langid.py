@@ -113,6 +113,11 @@ def _count_grams(words: DataFrame) -> DataFrame:
     return words.mapInArrow(run, _COUNTS).groupBy("kind", "item", "lang").agg(F.sum("n").alias("n"))
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Partitions for rows that are small and costly: adaptive execution would join them."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 class Model:
     """``items``: ``(kind, item, logs)``, words (kind 0) and n-grams (kind: their length) with
     a log frequency per language of ``langs``."""
@@ -120,40 +125,56 @@ class Model:
     def __init__(self, langs: list[str], items: DataFrame):
         self.langs, self.items = langs, items
 
-    def vectors(self, words: DataFrame) -> DataFrame:
-        """``(word, logs)`` for the distinct ``words (word)`` that the model can tell
-        something of: the words' own log frequencies, or the mean of their n-grams'."""
+    def vectors(self, words: DataFrame, scratch: Scratch) -> DataFrame:
+        """``(word, logs)`` for the model's words and for those of ``words (word)`` that are
+        none but have known n-grams: the mean of these. N-grams are looked up length by
+        length, each only for words that no longer one has answered."""
         known = self.items.where("kind = 0").select(F.col("item").alias("word"), "logs")
-        asked = words.select("word").distinct()
-        own = known.join(asked, "word", "left_semi")
-        grams = _grams_of_words(asked.join(known, "word", "left_anti"))
-        hits = grams.join(self.items.where("kind > 0"), ["kind", "item"])
+        unseen = scratch.save(words.select("word").distinct().join(known, "word", "left_anti"), "unseen")
         means = F.array(*[F.avg(F.col("logs")[i]) for i in range(len(self.langs))])
-        longest = hits.groupBy("word", "kind").agg(means.alias("logs")).groupBy("word").agg(F.max_by("logs", "kind").alias("logs"))
-        return own.unionByName(longest)
+        for length in LENGTHS:
+            grams = _grams_of_words(unseen.repartition(_tasks(scratch.spark), "word"), length)
+            hits = grams.join(self.items.where(F.col("kind") == length), "item").groupBy("word").agg(means.alias("logs"))
+            hits = scratch.save(hits, f"vectors{length}")
+            known = known.unionByName(hits)
+            unseen = unseen.join(hits, "word", "left_anti")
+        return known
+
+
+def _grams_of_words(words: DataFrame, length: int) -> DataFrame:
+    """``(word, item)``, a row per n-gram."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in frames:
+            rows = [(word, gram) for word in batch.column("word").to_pylist() for gram in grams_of(word, length)]
+            columns = [pa.array([r[i] for r in rows], pa.string()) for i in range(2)]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "item"])
+
+    return words.mapInArrow(run, "word string, item string")
 
 
-def _grams_of_words(words: DataFrame) -> DataFrame:
-    """``(word, kind, item)``, a row per n-gram."""
+def _packed(told: DataFrame) -> DataFrame:
+    """Rows ``(block, pos, logs)`` of a batch packed into one row per block."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
-            rows = [
-                (word, length, gram)
-                for word in batch.column("word").to_pylist()
-                for length in LENGTHS
-                for gram in grams_of(word, length)
-            ]
+            if not batch.num_rows:
+                continue
+            block, pos = batch.column("block").to_numpy(), batch.column("pos").to_numpy().astype(np.int32)
+            logs = batch.column("logs").flatten().to_numpy().astype(np.float32).reshape(len(block), -1)
+            order = np.argsort(block, kind="stable")
+            cuts = np.flatnonzero(np.diff(block[order])) + 1
+            parts = np.split(order, cuts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([r[0] for r in rows], pa.string()),
-                    pa.array([r[1] for r in rows], pa.int32()),
-                    pa.array([r[2] for r in rows], pa.string()),
+                    pa.array([block[x[0]] for x in parts]),
+                    pa.array([pos[x].tobytes() for x in parts], pa.binary()),
+                    pa.array([logs[x].tobytes() for x in parts], pa.binary()),
                 ],
-                names=["word", "kind", "item"],
+                names=["block", "pos", "logs"],
             )
 
-    return words.mapInArrow(run, "word string, kind int, item string")
+    return told.mapInArrow(run, "block long, pos binary, logs binary")
 
 
 def learn(docs: DataFrame, spark: SparkSession, text_column: str = "text", lang_column: str = "lang") -> Model:
@@ -162,7 +183,7 @@ def learn(docs: DataFrame, spark: SparkSession, text_column: str = "text", lang_
     train = docs.select(F.col(text_column).alias("text"), F.col(lang_column).alias("lang")).dropna()
     counted = scratch.save(_count_words(train), "words")
     langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
-    both = counted.unionByName(_count_grams(counted.repartition("item")))
+    both = counted.unionByName(_count_grams(counted.repartition(_tasks(spark), "item")))
     by = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}") for i, lang in enumerate(langs)]
     items = scratch.save(both.groupBy("kind", "item").agg(F.count(F.lit(1)).alias("held"), *by), "items")
     scratch.drop("words")
@@ -216,10 +237,9 @@ def _scored(batch: pa.RecordBatch, i: int, langs: list[str]) -> pa.RecordBatch:
     """The documents of a block."""
     one = lambda name: batch.column(name).slice(i, 1).flatten()
     ids, sizes, which, times = one("ids"), *(one(c).to_numpy() for c in ("sizes", "which", "times"))
-    found = one("found")
     words = np.zeros((int(which.max(initial=-1)) + 1, len(langs)))
-    if len(found):
-        words[found.field("pos").to_numpy()] = found.field("logs").flatten().to_numpy().reshape(-1, len(langs))
+    for piece in one("found").to_pylist():
+        words[np.frombuffer(piece["pos"], np.int32)] = np.frombuffer(piece["logs"], np.float32).reshape(-1, len(langs))
     total = np.zeros((len(sizes), len(langs)))
     some = sizes > 0
     if some.any():
@@ -248,10 +268,10 @@ def predict(
     writer.option("compression", "zstd").saveAsTable(table)
     blocks = spark.table(table)
     listed = blocks.select("block", F.posexplode("words").alias("pos", "word"))
-    vectors = scratch.save(model.vectors(listed), "vectors")
-    told = listed.join(vectors, "word").groupBy("block").agg(F.collect_list(F.struct("pos", "logs")).alias("found"))
+    told = _packed(listed.join(model.vectors(listed, scratch), "word").select("block", "pos", "logs"))
+    told = told.groupBy("block").agg(F.collect_list(F.struct("pos", "logs")).alias("found"))
     both = blocks.drop("words").join(told.hint("shuffle_hash"), "block", "left")
-    none = F.array().cast("array<struct<pos: int, logs: array<double>>>")
+    none = F.array().cast("array<struct<pos: binary, logs: binary>>")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
@@ -260,7 +280,7 @@ def predict(
 
     found = scratch.save(both.withColumn("found", F.coalesce("found", none)).mapInArrow(run, schema), "result")
     spark.sql(f"DROP TABLE {table}")
-    scratch.drop("blocks", "vectors")
+    scratch.drop("blocks", "unseen", *(f"vectors{length}" for length in LENGTHS))
     return found
 
 
