@@ -115,3 +115,41 @@ def test_stages_of_empty_and_odd_tables(spark, sf_dir):
         docs = spark.createDataFrame(rows, schema)
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, sf_dir).count() <= 4 * len(rows)
+
+
+def test_near_duplicates_of_odd_rows_by_hand(spark, sf_dir):
+    """Ids that are missing, shared or repeated, texts without words and very long ones: one
+    document of each group stays, found here by all pairs of five-word sets."""
+    import random
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base, long = [word() for _ in range(300)], [word() for _ in range(40_000)]
+    near = [w if i != 150 else "changed" for i, w in enumerate(base)]
+    longer = [w if i % 2000 else "changed" for i, w in enumerate(long)]
+    half = base[:150] + [word() for _ in range(150)]
+    texts = [
+        (5, " ".join(base)), (2, " ".join(near)), (9, " ".join(base)), (None, " ".join(half)), (None, "another text with no id"),
+        (None, "another text with no id"), (7, " ".join(long)), (3, " ".join(longer)), (4, None), (1, ""), (6, " "),
+        (8, "one"), (8, "two"), (8, "two"),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def shingles(text):
+        words = (text or "").split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+    rows = list(dict.fromkeys(texts))
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    want = []
+    for r in set(root):
+        group = [rows[i] for i in range(len(rows)) if root[i] == r]
+        want.append(min(i for i, _ in group) if all(i is not None for i, _ in group) else None)
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    got = [r["doc_id"] for r in stage(spark, docs.repartition(4), sf_dir).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
