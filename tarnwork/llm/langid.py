@@ -89,12 +89,28 @@ def _counted(kind_counts: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 
 def _count_words(train: DataFrame) -> DataFrame:
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def texts():
-            for batch in frames:
-                for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                    yield 0, words_of(text), lang, 1
+        held: dict[str, Counter] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, counts in held.items():
+                n = len(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.zeros(n, np.int32)),
+                        pa.array(list(counts), pa.string()),
+                        pa.array([lang] * n, pa.string()),
+                        pa.array(list(counts.values()), pa.int64()),
+                    ],
+                    names=["kind", "item", "lang", "n"],
+                )
+            held.clear()
 
-        yield from _counted(texts())
+        for batch in frames:
+            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
+                held.setdefault(lang, Counter()).update(words_of(text))
+                if sum(map(len, held.values())) > HELD:
+                    yield from flush()
+        yield from flush()
 
     return train.mapInArrow(run, _COUNTS).groupBy("kind", "item", "lang").agg(F.sum("n").alias("n"))
 
