@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,18 @@ def texts_of(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(name).cast(pa.large_binary()).to_pylist()
 
 
+def slices(batch: pa.RecordBatch, name: str = "text", rows: int = 512, room: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with ``rows`` rows at most and ``room`` bytes in column ``name``, or one
+    row if that alone is longer. What is made of a part goes before the next is taken."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + room, side="right"))
+        to = min(batch.num_rows, at + rows, max(at + 1, full))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def batches(schema: pa.Schema, rows: Iterable[tuple], size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Pack row tuples into Arrow batches of at most ``size`` rows."""
     held: list[tuple] = []

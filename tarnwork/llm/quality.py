@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnwork.llm.common import slices
+
 FEATURES = (
     "log_words", "mean_word", "short_words", "long_words", "distinct", "doubled", "unlettered", "odd_ends",
     "upper_letters", "title_words", "digits", "symbols", "punctuation", "stops", "lines", "line_words", "same_lines",
@@ -110,10 +112,10 @@ def described(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     picked = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in frames:
-            rows = [describe(t) for t in batch.column("text").to_pylist()]
+        for part in (p for batch in frames for p in slices(batch)):
+            rows = [describe(t) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(rows, pa.list_(pa.float64()))], names=["id", "features"]
+                [part.column("id"), pa.array(rows, pa.list_(pa.float64()))], names=["id", "features"]
             )
 
     return picked.mapInArrow(run, "id long, features array<double>")
@@ -209,9 +211,9 @@ def score(
     sent = spark.sparkContext.broadcast((model.prior, model.cuts, model.weights))
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in frames:
+        for part in (p for batch in frames for p in slices(batch)):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(_scores(Model(*sent.value), batch.column("text")))], names=["id", "score"]
+                [part.column("id"), pa.array(_scores(Model(*sent.value), part.column("text")))], names=["id", "score"]
             )
 
     return picked.mapInArrow(run, "id long, score double")
@@ -227,9 +229,9 @@ def with_scores(docs: DataFrame, spark: SparkSession, model: Model, text_column:
     sent = spark.sparkContext.broadcast((model.prior, model.cuts, model.weights))
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in frames:
-            scores = pa.array(_scores(Model(*sent.value), batch.column(text_column)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, name])
+        for part in (p for batch in frames for p in slices(batch, text_column)):
+            scores = pa.array(_scores(Model(*sent.value), part.column(text_column)))
+            yield pa.RecordBatch.from_arrays([*part.columns, scores], names=[*part.schema.names, name])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{fields}, `{name}` double")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import Scratch, mix64, texts_of, to_signed, to_unsigned
+from tarnwork.llm.common import Scratch, mix64, slices, texts_of, to_signed, to_unsigned
 from tarnwork.llm.components import connected
 
 #: Nodes in a bucket beyond which it is cut further.
@@ -135,7 +135,7 @@ def fingerprints(
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
-            made = [fingerprint(t, words, lanes) for t in texts_of(batch, "text")]
+            made = [fingerprint(t, words, lanes) for part in slices(batch) for t in texts_of(part, "text")]
             flat = to_signed(np.concatenate(made)) if made else np.zeros(0, np.int64)
             offsets = pa.array(np.arange(len(made) + 1, dtype=np.int32) * lanes)
             yield pa.RecordBatch.from_arrays(

@@ -133,6 +133,12 @@ def _encoder(path: str, added: bool) -> Encoder:
     return held[path, added]
 
 
+def _forget() -> None:
+    """Drop this worker's encoders: with all their words they would stay beside whatever the
+    worker does next. What reads the files calls it, as nothing is encoded any more by then."""
+    sys.modules.get("_tarnwork_worker", types.SimpleNamespace()).__dict__.pop("encoders", None)
+
+
 def _ordered(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     picked = docs.select(
         F.col(id_column).cast("long").alias("id"),
@@ -184,6 +190,7 @@ def _write_shards(ordered: DataFrame, folder: str, tokenizer: str, end_id: int,
 
 def _write_offsets(shards: DataFrame, folder: str) -> DataFrame:
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         for batch in frames:
             for row in batch.to_pylist():
                 lengths = np.frombuffer(files.mapped(f"{folder}/{row['shard']}.len"), "<i8")
@@ -225,6 +232,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     count = max(1, shards.count())
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         for batch in frames:
             for row in batch.to_pylist():
                 path = f"{folder}/{row['shard']}"

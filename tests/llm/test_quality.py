@@ -3,10 +3,12 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tarnwork.llm import quality as Q
+from tarnwork.llm.common import slices
 
 
 def test_risk_is_minimised_without_negatives():
@@ -103,3 +105,31 @@ def test_fitted_weights_are_not_beaten_nearby():
         for _ in range(10):
             near = model.weights + scale * rng.normal(size=len(model.weights))
             assert risk_by_hand(near, p, u, 0.3)[0] > least - 5e-3
+
+
+class Frame:
+    """Hands back the function that would run in the tasks."""
+
+    def __init__(self, schema):
+        self.schema = schema
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_texts_of_a_batch_are_scored_in_parts(spark):
+    data = [(i, None if i % 9 == 0 else f"word {i} " * (i % 5)) for i in range(1300)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    model = Q.Model(0.3, np.zeros((len(Q.FEATURES), Q.BINS - 1)), np.linspace(-1, 1, len(Q.FEATURES) * Q.BINS + 1))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in data], "text": [t for _, t in data]})
+    parts = list(Q.with_scores(Frame(docs.schema), spark, model)(iter([batch, batch.slice(0, 0)])))
+    assert max(p.num_rows for p in parts) <= 512
+    whole = pa.Table.from_batches(parts)
+    assert whole.column("doc_id").to_pylist() == [i for i, _ in data]
+    assert whole.column("score").to_pylist() == pytest.approx(model.score(np.array([Q.describe(t) for _, t in data])).tolist())
+
+
+def test_parts_are_bounded_by_their_text():
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * 60, "b" * 60, None, "c" * 500, "", "d" * 99, "e" * 2]})
+    parts = [p.column("text").to_pylist() for p in slices(batch.slice(1), room=100, rows=3)]
+    assert [len(p) for p in parts] == [2, 1, 2, 1] and sum(parts, []) == batch.column("text").to_pylist()[1:]

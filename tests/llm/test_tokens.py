@@ -1,6 +1,7 @@
 """Token files against the tokenizer itself."""
 
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -85,3 +86,19 @@ def test_scratch_paths_name_their_file_system(spark):
     from tarnwork.llm.common import Scratch
 
     assert Scratch(spark, "x").path("y").startswith("file:/")
+
+
+def test_readers_drop_the_encoder_of_their_worker():
+    class Shards:
+        schema = "shard string"
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    tokens._encoder(PATH, True)
+    assert sys.modules["_tarnwork_worker"].encoders
+    assert list(tokens._write_offsets(Shards(), "/nowhere")(iter([]))) == []
+    assert not hasattr(sys.modules["_tarnwork_worker"], "encoders")
+    assert tokens._encoder(PATH, True).encode(["a b"])
+    tokens._forget()
+    tokens._forget()
