@@ -41,18 +41,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import Scratch, mix64, to_signed
+from tarnwork.llm.common import Scratch, mix64, slices, to_signed
 from tarnwork.llm.substring import window_hashes
 
 FILTER_BITS = 1 << 24
 #: Bits per lower-case word of the benchmark, at least.
 ROOM = 256
 #: Words whose template token a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 _LITERAL, _NUMBER, _UNIT, _NAME, _AMOUNT, _NOTHING = range(6)
 #: Template tokens of the placeholders.
@@ -124,37 +125,47 @@ class Templates:
         parts = [p for p in _NAME_PARTS.split(core) if p != "s"]
         return any(c.islower() for c in core) and all(p.isalpha() and p[0].isupper() for p in parts)
 
-    def _add(self, word: str) -> int:
-        kind, core, low = self._kind(word)
-        h = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"), 5)
-        if kind == _NAME and len(self.common) and _in_bitmap(self.common, np.array([h], np.uint64))[0]:
-            kind = _LITERAL
-        self.known[word] = at = len(self.values)
-        if at == len(self.kinds):
-            self._room(2 * at)
-        self.kinds[at], self.hashes[at] = kind, h
-        self.ends[at] = not word[-1].isalnum() and _ENDS.search(word) is not None
-        self.values.append(core)
-        return at
-
-    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Template tokens, whether each is a literal, the word of each, and whether it is a
-        literal that may be a name as it opens a sentence."""
+    def _add(self, words: list[str]) -> None:
+        n, to = len(self.values), len(self.values) + len(words)
+        if to > len(self.kinds):
+            self._room(1 << (to - 1).bit_length())
+        kinds, cores, lows = zip(*map(self._kind, words))
+        digest = xxhash.xxh64_intdigest
+        hashes = np.array([digest(low.encode("utf-8", "surrogatepass"), 5) for low in lows], np.uint64)
+        kinds = np.array(kinds, np.uint8)
+        if len(self.common):
+            kinds[(kinds == _NAME) & _in_bitmap(self.common, hashes)] = _LITERAL
+        self.known.update(zip(words, range(n, n + len(words))))
+        self.values.extend(cores)
+        self.kinds[n:to], self.hashes[n:to] = kinds, hashes
+        self.ends[n:to] = [not w[-1].isalnum() and _ENDS.search(w) is not None for w in words]
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all texts one after another: template tokens, whether each is a literal, the word
+        of each, whether it is a literal that may be a name as it opens a sentence, and the
+        number of its text. Words are looked up once, however often they occur."""
         if len(self.values) > REMEMBERED:
             self._clear()
-        get, add = self.known.get, self._add
-        at = np.array([i if (i := get(w)) is not None else add(w) for w in (text or "").split()], np.int64)
+        # Arrow's white space is that of str.split; at the edges of a text it leaves empty words.
+        lists = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if missing := [w for w in words if w and w not in self.known]:
+            self._add(missing)
+        at = np.array([self.known.get(w, -1) for w in words], np.int64)[coded.indices.to_numpy()]
+        text = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy())[at >= 0]
+        at = at[at >= 0]
         kinds, hashes, ends = self.kinds, self.hashes, self.ends
         kind, first = kinds[at], np.ones(len(at), bool)
-        first[1:] = ends[at[:-1]]
+        first[1:] = ends[at[:-1]] | (text[1:] != text[:-1])
         kept = kind != _NOTHING
-        at, kind, first = at[kept], kind[kept], first[kept]
+        at, kind, first, text = at[kept], kind[kept], first[kept], text[kept]
         opening = (kind == _NAME) & first
         kind = np.where(opening, _LITERAL, kind)
         after_number = np.zeros(len(at), bool)
-        after_number[1:] = kind[:-1] == _NUMBER
+        after_number[1:] = (kind[:-1] == _NUMBER) & (text[1:] == text[:-1])
         kind = np.where((kind == _UNIT) & ~after_number, _LITERAL, kind)
-        return np.where(kind == _LITERAL, hashes[at], _MARKS[kind]), kind == _LITERAL, at, opening
+        return np.where(kind == _LITERAL, hashes[at], _MARKS[kind]), kind == _LITERAL, at, opening, text
 
     def value(self, at: int) -> str:
         return self.values[at]
@@ -164,28 +175,40 @@ class Templates:
 _TEMPLATE, _NAMED, _VALUES = range(3)
 
 
-def _runs(templates: Templates, text: str | None, widths: list[int], exact: set[int]) -> Iterator[tuple]:
-    """``(width, hashes, usable, tokens, reading)`` per width and reading; ``exact`` has the
-    widths at which runs of too few literals are taken by their values."""
-    tokens, literal, at, opening = templates.of(text)
-    mixed, values = mix64(tokens), None
-    if opening.any():
-        named, fewer = mix64(np.where(opening, _MARKS[_NAME], tokens)), literal & ~opening
-        opened, few = (np.concatenate(([0], np.cumsum(x))) for x in (opening, fewer))
-    for width in widths:
-        found = window_hashes(mixed, width)
-        if not len(found):
+def _sums(flags: np.ndarray, width: int) -> np.ndarray:
+    """How many of every ``width`` flags are set."""
+    sums = np.concatenate(([0], np.cumsum(flags)))
+    return sums[width:] - sums[:-width]
+
+
+def _runs(templates: Templates, texts: pa.Array, widths: list[int] | None, width: int, least: int, exact: set[int]) -> Iterator[tuple]:
+    """``(width, runs, starts, hashes, text, slot, at, reading)`` per width and reading: runs of
+    the template in each text, places in all texts of the usable runs with their hashes, and for
+    each place its text, whether it is a slot, and its word. Without ``widths`` a text of
+    ``least`` tokens is taken at ``width`` or its own length. ``exact`` has the widths at which
+    runs of too few literals are taken by their values."""
+    tokens, literal, at, opening, text = templates.of(texts)
+    counts = np.bincount(text, minlength=len(texts))
+    own = np.where(counts >= least, np.minimum(width, counts), 0)
+    mixed = mix64(tokens)
+    named, fewer = mix64(np.where(opening, _MARKS[_NAME], tokens)), literal & ~opening
+    values = mix64(templates.hashes[at] ^ _MARKS[0]) if exact else None
+    for size in widths if widths is not None else np.unique(own[own > 0]).tolist():
+        if len(tokens) < size:
             continue
-        sums = np.concatenate(([0], np.cumsum(literal)))
-        usable = 2 * (sums[width:] - sums[:-width]) >= width
-        yield width, mix64(found ^ np.uint64(width)), usable, literal, at, _TEMPLATE
+        inside = text[size - 1 :] == text[: len(text) - size + 1]
+        if widths is None:
+            inside &= own[text[: len(inside)]] == size
+        hashed = lambda x, starts: mix64(window_hashes(x, size)[starts] ^ np.uint64(size))  # noqa: E731, B023
+        enough = 2 * _sums(literal, size) >= size
+        starts = np.flatnonzero(inside & enough)
+        total = np.bincount(text[starts], minlength=len(texts))
+        yield size, total, starts, hashed(mixed, starts), text, ~literal, at, _TEMPLATE
         if opening.any():
-            either = (2 * (few[width:] - few[:-width]) >= width) & (opened[width:] > opened[:-width])
-            yield width, mix64(window_hashes(named, width) ^ np.uint64(width)), either, fewer, at, _NAMED
-        if width in exact and not usable.all():
-            values = mix64(templates.hashes[at] ^ _MARKS[0]) if values is None else values
-            found = window_hashes(values, width)
-            yield width, mix64(found ^ np.uint64(width)), ~usable, literal, at, _VALUES
+            either = np.flatnonzero(inside & (2 * _sums(fewer, size) >= size) & (_sums(opening, size) > 0))
+            yield size, total, either, hashed(named, either), text, ~fewer, at, _NAMED
+        if size in exact and len(starts := np.flatnonzero(inside & ~enough)):
+            yield size, total, starts, hashed(values, starts), text, np.zeros(len(text), bool), at, _VALUES
 
 
 _RUNS = "h long, id long, tie long, pos long, runs long, every long, width int, reading int, slots array<string>"
@@ -197,8 +220,8 @@ def _lower_words(items: DataFrame) -> DataFrame:
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates()
         for batch in frames:
-            for text in batch.column("text").to_pylist():
-                templates.of(text)
+            for part in slices(batch):
+                templates.of(part.column("text"))
                 low = [i for i, v in enumerate(templates.values) if v and v == v.lower()]
                 yield pa.RecordBatch.from_arrays([pa.array(to_signed(templates.hashes[low]))], names=["h"])
                 templates._clear()
@@ -216,42 +239,29 @@ def _run_table(
     exact: set[int],
 ) -> DataFrame:
     """Runs of every row of ``docs (id, tie, text)``. Without ``widths`` each text is an
-    item, taken at ``width`` or its own length. ``exact`` as in ``_runs``."""
+    item. ``widths`` and ``exact`` as in ``_runs``. Texts are taken some hundreds at a time, as
+    arrays of all their tokens."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates(common)
         filtered = None if bits is None else np.frombuffer(bits, np.uint8)
-        for batch in frames:
-            out: dict[str, list] = {name: [] for name in ("h", "id", "tie", "pos", "runs", "every", "width", "reading", "slots")}
-            columns = [batch.column(c).to_pylist() for c in ("id", "tie", "text")]
-            for key, tie, text in zip(*columns):
-                sizes = widths
-                if sizes is None:
-                    n = len(templates.of(text)[0])
-                    sizes = [min(width, n)] if n >= least else []
-                total = 0
-                for size, found, usable, literal, at, reading in _runs(templates, text, sizes, exact):
-                    if reading == _TEMPLATE:
-                        total = int(usable.sum())
-                    if filtered is not None:
-                        usable = usable & _in_bitmap(filtered, found)
-                    held = found[usable]
-                    if not len(held):
-                        continue
-                    for pos in np.flatnonzero(usable).tolist():
-                        out["pos"].append(pos)
-                        slots = np.flatnonzero(~literal[pos : pos + size]) if reading != _VALUES else np.zeros(0, int)
-                        out["slots"].append([templates.value(at[pos + k]) for k in slots.tolist()])
-                    out["h"].append(to_signed(held))
-                    every = len(found) if size in exact else total
-                    for name, value in (("id", key), ("tie", tie), ("runs", total), ("every", every), ("width", size), ("reading", reading)):
-                        out[name] += [value] * len(held)
-            if out["pos"]:
-                longs = {x: pa.array(out[x], pa.int64()) for x in ("id", "tie", "pos", "runs", "every")}
-                ints = {x: pa.array(out[x], pa.int32()) for x in ("width", "reading")}
-                slots = {"slots": pa.array(out["slots"], pa.list_(pa.string()))}
-                whole = {"h": pa.array(np.concatenate(out["h"]))} | longs | ints | slots
-                yield pa.RecordBatch.from_arrays(list(whole.values()), names=list(whole))
+        for part in (p for batch in frames for p in slices(batch)):
+            for size, total, starts, found, text, slot, at, reading in _runs(
+                templates, part.column("text"), widths, width, least, exact
+            ):
+                if filtered is not None:
+                    held = _in_bitmap(filtered, found)
+                    starts, found = starts[held], found[held]
+                if not len(starts):
+                    continue
+                row = text[starts]
+                first, counts = np.searchsorted(text, row), np.bincount(text, minlength=part.num_rows)
+                every = counts[row] - size + 1 if size in exact else total[row]
+                slots = [[templates.value(at[p + k]) for k in np.flatnonzero(slot[p : p + size]).tolist()] for p in starts.tolist()]
+                longs = [to_signed(found), *(part.column(c).take(pa.array(row)) for c in ("id", "tie")), starts - first, total[row], every]
+                ints = [pa.array(np.full(len(row), x, np.int32)) for x in (size, reading)]
+                columns = [*(pa.array(x) for x in longs), *ints, pa.array(slots, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "id", "tie", "pos", "runs", "every", "width", "reading", "slots"])
 
     return docs.mapInArrow(run, _RUNS)
 

@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tarnwork.llm import decontaminate as D
@@ -147,3 +148,25 @@ def test_bitmap_of_words_grows_with_them(spark):
     held = np.array([r["h"] for r in rows.limit(1000).collect()], np.int64).view(np.uint64)
     other = np.random.default_rng(3).integers(0, 2**63, 100_000).astype(np.uint64)
     assert D._in_bitmap(bitmap, held).all() and D._in_bitmap(bitmap, other).mean() < 1.2 / D.ROOM
+
+
+def test_texts_are_taken_together(spark, monkeypatch):
+    texts = [t for _, t in DOCS[:-4]] + ["", " \n ", "Bob. 5 km", "12", "km in \x1c one"] * 40 + [OTHER, None, "mm"]
+    together, alone = D.Templates(), D.Templates()
+    names = lambda x, at: [x.value(i) for i in at]
+    tokens, literal, at, opening, text = together.of(pa.array(texts))
+    for i, one in enumerate(texts):
+        own, here = alone.of(pa.array([one], pa.string())), text == i
+        assert [x.tolist() for x in (tokens[here], literal[here], opening[here])] == [own[k].tolist() for k in (0, 1, 3)]
+        assert names(together, at[here]) == names(alone, own[2])
+    calls = []
+    monkeypatch.setattr(D, "window_hashes", lambda *a, f=D.window_hashes: calls.append(1) or f(*a))
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "tie": [0] * len(texts), "text": texts})
+    rows = [r for b in D._run_table(Rows(), None, 8, 5, b"", None, set(range(5, 9)))(iter([batch])) for r in b.to_pylist()]
+    assert {r["id"] for r in rows} >= {0, 1, len(texts) - 3} and all(r["width"] <= 8 for r in rows)
+    assert len(calls) <= 12
