@@ -29,30 +29,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnwork.llm import files
-from tarnwork.llm.common import Scratch
+from tarnwork.llm.common import Scratch, slices
 
-#: Words whose ids a worker remembers.
+#: Pieces whose ids a worker remembers.
 REMEMBERED = 600_000
-#: Documents encoded together.
-TOGETHER = 64
-
-#: A space beside other white space; everywhere else a text may be cut before a space.
-_TIED = re.compile(r" \s|\s ")
+#: Documents encoded together, and bytes of their texts.
+TOGETHER, ROOM = 4096, 1 << 22
+
+#: Stands between pieces; a text that holds one is encoded whole.
+_CUT = "\0"
+#: White space as Python knows it, for Arrow's patterns, whose own class is ASCII only.
+_SPACE = "".join(f"\\x{{{ord(c):x}}}" for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
+#: A space beside other white space, or the mark; everywhere else a text may be cut before a space.
+_TIED = f" [{_SPACE}]|[{_SPACE}] |\\x00"
+#: More places where the pre-tokenizer always cuts: after letters before a sign, and around a
+#: line feed between two characters that are no white space.
+_CUTS = (
+    ("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([.,:;!?])", f"\\1{_CUT}\\2"),
+    (f"([^{_SPACE}])\n([^{_SPACE}])", f"\\1{_CUT}\n{_CUT}\\2"),
+)
 
 
 class Encoder:
-    """Encodes texts with a tokenizer file, remembering the ids of words.
+    """Encodes texts with a tokenizer file, remembering the ids of pieces.
 
     The pre-tokenizer of byte-level vocabularies never joins what stands before a single
-    space to what follows it, so a text may be encoded word by word. Texts in which a
-    space touches other white space are encoded whole, as are all texts when the
-    tokenizer is of another kind. With ``added``, a text that holds an added token
-    (``<|endoftext|>``) is encoded whole too and gets that token's id, as the library does
-    by default; without, such a token is text like any other. Words not yet known are encoded many at a time, and the
+    space to what follows it, so a text may be encoded piece by piece: a word with the space
+    before it and, after Latin letters, without the signs behind it. Texts in which a space
+    touches other white space are encoded whole, as are all texts when the tokenizer is of
+    another kind. With ``added``, a text that holds an added token (``<|endoftext|>``) is
+    encoded whole too and gets that token's id, as the library does by default; without, such
+    a token is text like any other. Pieces not yet known are encoded many at a time, and the
     ids are dealt out to them by their bytes, which the tokens cut up without rest.
     """
 
@@ -63,7 +75,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
         contents = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
-        self.added = re.compile("|".join(map(re.escape, contents))) if contents else None
+        self.whole = "|".join([_TIED, *map(re.escape, contents)])
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
         kind = self.tokenizer.pre_tokenizer
@@ -74,22 +86,22 @@ class Encoder:
         if self.by_word:
             # A byte-level token has a character per byte.
             self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
-            self.known[""] = self._ids([" "])[0]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        made = (x for i in range(0, len(texts), 64) for x in self.tokenizer.encode_batch_fast(texts[i : i + 64], add_special_tokens=False))
         return [np.array(x.ids, self.dtype).tobytes() for x in made]
 
-    def _words(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of each word after a space."""
-        found = {w: self._ids([" " + w])[0] for w in words if w[-1].isspace()}
-        plain = [w for w in words if w not in found]
-        groups = [plain[i : i + 512] for i in range(0, len(plain), 512)]
-        made = self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)
-        for group, encoded in zip(groups, made):
-            ids = np.array(encoded.ids, self.dtype)
-            ends = np.cumsum([len(w.encode()) + 1 for w in group])
-            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+    def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of each piece. Words after a space can stand one after another."""
+        alone = [x for x in pieces if x[:1] != " " or x[-1].isspace()]
+        found = dict(zip(alone, self._ids(alone)))
+        plain = [x for x in pieces if x not in found]
+        ends = pc.binary_length(pa.array(plain, pa.string())).to_numpy()
+        for at in range(0, len(plain), 512):
+            group = plain[at : at + 512]
+            made = self.tokenizer.encode_batch_fast(["".join(group)], add_special_tokens=False)
+            ids = np.array(made[0].ids, self.dtype)
+            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(ends[at : at + 512])) + 1
             raw, width = ids.tobytes(), ids.itemsize
             cuts = (cuts * width).tolist()
             found.update(zip(group, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
@@ -97,31 +109,38 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as bytes."""
-        out: list = [None] * len(texts)
-        whole, split, missing = [], {}, set()
-        get = self.known.get
-        for i, text in enumerate(texts):
-            if not text:
-                out[i] = b""
-            elif not self.by_word or _TIED.search(text) or (self.added and self.added.search(text)):
-                whole.append(i)
-            else:
-                words = text.split(" ")
-                ids = list(map(get, words[1:]))
-                if None in ids:
-                    missing.update([w for w, x in zip(words[1:], ids) if x is None])
-                split[i] = words, ids
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
-            out[i] = ids
-        fresh = self._words(list(missing))
-        if len(self.known) < REMEMBERED:  # frequent words come early and stay
+        raw, sizes = self.joined(pa.array(texts, pa.string()))
+        ends = np.cumsum(sizes).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def joined(self, texts: pa.Array, end: bytes = b"") -> tuple[bytes, np.ndarray]:
+        """The ids of all texts one after another, each with ``end`` after it, and the bytes of
+        each. Arrow cuts the texts and finds their distinct pieces, which alone are looked up."""
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        whole = pc.match_substring_regex(texts, self.whole) if self.by_word else pc.not_equal(texts, "")
+        marked = pc.replace_substring(pc.if_else(whole, "", texts), " ", f"{_CUT} ")
+        for pattern, parted in _CUTS:
+            marked = pc.replace_substring_regex(marked, pattern, parted)
+        cut = pc.split_pattern(marked, _CUT)
+        first = cut.offsets.to_numpy()[:-1]
+        pieces = cut.flatten().dictionary_encode()
+        which, listed = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, listed))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        fresh = self._pieces([listed[i] for i in missing])
+        for i in missing:
+            ids[i] = fresh[listed[i]]
+        if len(self.known) < REMEMBERED:  # frequent pieces come early and stay
             self.known.update(fresh)
-        firsts = self._ids([words[0] for words, _ in split.values()])
-        for first, (i, (words, ids)) in zip(firsts, split.items()):
-            if None in ids:
-                ids = [x if x is not None else fresh[w] for w, x in zip(words[1:], ids)]
-            out[i] = b"".join([first, *ids])
-        return out
+        # Texts that are not cut came as "", one piece: it gets an entry of its own.
+        uncut = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        which[first[uncut]] = np.arange(len(uncut)) + len(listed)
+        entries = pa.array([*ids, *self._ids(texts.filter(whole).to_pylist()), end], pa.large_binary())
+        which = np.insert(which, np.append(first[1:], len(which)), len(entries) - 1)
+        taken = entries.take(pa.array(which))
+        offsets = np.frombuffer(taken.buffers()[1], np.int64)[: len(which) + 1]
+        sizes = np.diff(offsets[np.append(first, len(which) - len(first)) + np.arange(len(first) + 1)])
+        return taken.buffers()[2].to_pybytes() if offsets[-1] else b"", sizes
 
 
 def _encoder(path: str, added: bool) -> Encoder:
@@ -162,11 +181,10 @@ def _write_shards(ordered: DataFrame, folder: str, tokenizer: str, end_id: int,
                 end = np.array([end_id], encoder.dtype).tobytes()
                 out, lengths, names = files.create(f"{folder}/{shard}.ids"), [], []
                 nulls, first = 0, (batch.column("id")[0].as_py(), batch.column("tie")[0].as_py())
-            for at in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(at, TOGETHER)
-                encoded = encoder.encode(part.column("text").to_pylist())
-                out.write(b"".join(x for ids in encoded for x in (ids, end)))
-                lengths.append(np.array([len(x) // len(end) + 1 for x in encoded], np.int64))
+            for part in slices(batch, "text", TOGETHER, ROOM):
+                raw, sizes = encoder.joined(part.column("text"), end)
+                out.write(raw)
+                lengths.append(sizes // len(end))
                 nulls += part.column("id").null_count
                 names.append(part.column("id").fill_null(0).to_numpy())
         if encoder is None:

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -102,3 +103,27 @@ def test_readers_drop_the_encoder_of_their_worker():
     assert tokens._encoder(PATH, True).encode(["a b"])
     tokens._forget()
     tokens._forget()
+
+
+def test_pieces_equal_whole_texts():
+    rng = random.Random(9)
+    bits = ["abc", "Éèp", "ß", "don't", "½", "²", "ж", "漢", "7", ".", ",", "!?", "...", "'", "\n", "\n\n", "\r\n", "\0", "\u0301", "ǆ", "×", "ª", "_", " ", " ", " ", "\u2028", "<|endoftext|>"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(6000)]
+    for added in (False, True):
+        encoder, plain = tokens.Encoder(PATH, added), Tokenizer.from_file(PATH)
+        plain.encode_special_tokens = not added
+        want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, np.uint16).tolist() for x in encoder.encode(texts)] == want
+        raw, sizes = encoder.joined(pa.array([*texts, None]), b"\1\0")
+        assert np.frombuffer(raw, np.uint16).tolist() == [i for ids in [*want, []] for i in [*ids, 1]]
+        assert (sizes // 2).tolist() == [len(ids) + 1 for ids in want] + [1]
+
+
+def test_a_piece_is_encoded_once_for_many_texts(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 0)
+    encoder, asked = tokens.Encoder(PATH), []
+    pieces = encoder._pieces
+    monkeypatch.setattr(encoder, "_pieces", lambda new: asked.extend(new) or pieces(new))
+    texts = [f"Alpha{end} beta{end} gamma{end}\nBeta gamma{end}" for end in (".", ",", "!", "") for _ in range(100)]
+    assert encoder.encode(texts) == tokens.Encoder(PATH)._ids(texts)
+    assert sorted(asked) == sorted(["Alpha", " beta", " gamma", "\n", "Beta", ".", ",", "!"])
