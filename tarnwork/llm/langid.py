@@ -28,14 +28,16 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnwork.llm.common import Scratch
+from tarnwork.llm.common import Scratch, slices
 
 #: Lengths of n-grams, tried in this order.
 LENGTHS = (5, 4, 3, 2, 1)
@@ -43,10 +45,19 @@ LENGTHS = (5, 4, 3, 2, 1)
 HELD = 300_000
 #: Characters of the texts of a block.
 BLOCK_CHARS = 64_000_000
+#: Texts cut into words together, and their bytes; words cut into n-grams together.
+TOGETHER, ROOM, WORDS = 4096, 1 << 21, 50_000
+#: Words of texts scored together.
+SCORED = 200_000
+#: Characters of a word up to which all words are cut at once, place by place.
+SHORT = 64
 #: Added to every count.
 ALPHA = 0.5
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+#: A word that Arrow lower-cases as Python does, and signs after it.
+_SIGNS = ".,:;!?"
+_PLAIN = f"^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[{_SIGNS}]*$"
 
 
 def words_of(text: str) -> list[str]:
@@ -58,33 +69,61 @@ def grams_of(word: str, length: int) -> list[str]:
     return [marked[i : i + length] for i in range(len(marked) - length + 1)]
 
 
-_COUNTS = "kind int, item string, lang string, n long"
+def _words_in(stretch: str) -> list[str]:
+    lower = stretch.lower()
+    return [lower] if lower.isalpha() else _LETTERS.findall(lower)
+
+
+class _Words:
+    """The words of some texts, as ``words_of``, found once per distinct stretch between spaces
+    and line feeds, which no word spans. ``listed``: the distinct words; ``at``: a number per
+    stretch, text after text, that start at ``starts``; ``letters``: which stretches have a letter."""
+
+    def __init__(self, texts: pa.Array):
+        cut = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+        found = cut.flatten().dictionary_encode()
+        self.at, self.starts, stretches = found.indices.to_numpy(), cut.offsets.to_numpy(), found.dictionary
+        plain = pc.match_substring_regex(stretches, _PLAIN)
+        lower = pc.utf8_lower(pc.utf8_rtrim(stretches.filter(plain), _SIGNS))
+        rest = stretches.filter(pc.invert(plain)).to_pylist()
+        more = [_words_in(x) for x in rest]
+        words = pa.concat_arrays([lower, pa.array(list(chain.from_iterable(more)), pa.large_string())]).dictionary_encode()
+        self.listed = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        plain = plain.to_numpy(zero_copy_only=False)
+        self.letters, self.sizes = plain.copy(), plain.astype(np.int64)
+        self.letters[~plain] = [any(map(str.isalpha, x)) for x in rest]
+        self.sizes[~plain] = list(map(len, more))
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        # The words of all stretches, one after another.
+        first = np.zeros(len(words), bool)
+        first[self.begins[plain]] = True
+        self.words, numbers = np.zeros(len(words), np.int64), words.indices.to_numpy()
+        self.words[first], self.words[~first] = numbers[: len(lower)], numbers[len(lower) :]
+
+    def of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of stretches one after another, and how many each has."""
+        each = self.sizes[at]
+        return self.words[np.repeat(self.begins[at] - np.cumsum(each) + each, each) + np.arange(each.sum())], each
+
+
+def _all_grams(words: pa.Array, length: int) -> tuple[np.ndarray, pa.Array]:
+    """The n-grams of all words, as ``grams_of``, and for each which word it is of."""
+    marked = pc.binary_join_element_wise("<", words, ">", "") if length > 1 else words
+    sizes = pc.utf8_length(marked).to_numpy()
+    rest = np.flatnonzero(sizes > SHORT)
+    own = [grams_of(w, length) for w in words.take(pa.array(rest)).to_pylist()]
+    of, grams = [np.repeat(rest, list(map(len, own)))], [pa.array([g for x in own for g in x], pa.string())]
+    which = np.flatnonzero(sizes <= SHORT)
+    for at in range(SHORT):
+        which = which[sizes[which] >= at + length]
+        if not len(which):
+            break
+        of.append(which)
+        grams.append(pc.utf8_slice_codeunits(marked.take(pa.array(which)), at, at + length))
+    return np.concatenate(of), pa.concat_arrays(grams)
 
 
-def _counted(kind_counts: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    """Add up ``(kind, item, lang, n)`` as far as memory goes and pass on the sums."""
-    held: Counter = Counter()
-
-    def flush() -> pa.RecordBatch:
-        keys = list(held)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[0] for k in keys], pa.int32()),
-                pa.array([k[1] for k in keys], pa.string()),
-                pa.array([k[2] for k in keys], pa.string()),
-                pa.array(list(held.values()), pa.int64()),
-            ],
-            names=["kind", "item", "lang", "n"],
-        )
-
-    for kind, items, lang, n in kind_counts:
-        for item in items:
-            held[kind, item, lang] += n
-        if len(held) > HELD:
-            yield flush()
-            held.clear()
-    if held:
-        yield flush()
+_COUNTS = "kind int, item string, lang string, n long"
 
 
 def _count_words(train: DataFrame) -> DataFrame:
@@ -106,8 +145,12 @@ def _count_words(train: DataFrame) -> DataFrame:
             held.clear()
 
         for batch in frames:
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                held.setdefault(lang, Counter()).update(words_of(text))
+            for part in slices(batch, "text", TOGETHER, ROOM):
+                for lang in part.column("lang").unique().to_pylist():
+                    found = _Words(part.column("text").filter(pc.equal(part.column("lang"), lang)))
+                    counts, (words, _) = held.setdefault(lang, Counter()), found.of(found.at)
+                    for word, n in zip(found.listed, np.bincount(words, minlength=len(found.listed)).tolist()):
+                        counts[word] += n
                 if sum(map(len, held.values())) > HELD:
                     yield from flush()
         yield from flush()
@@ -117,14 +160,27 @@ def _count_words(train: DataFrame) -> DataFrame:
 
 def _count_grams(words: DataFrame) -> DataFrame:
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def grams():
-            for batch in frames:
-                columns = [batch.column(c).to_pylist() for c in ("item", "lang", "n")]
-                for word, lang, n in zip(*columns):
-                    for length in LENGTHS:
-                        yield length, grams_of(word, length), lang, n
+        held: list[pa.RecordBatch] = []
 
-        yield from _counted(grams())
+        def counted() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held.clear()
+            for lang in rows.column("lang").unique().to_pylist():
+                own = rows.filter(pc.equal(rows.column("lang"), lang))
+                for length in LENGTHS:
+                    of, grams = _all_grams(own.column("item"), length)
+                    grams = grams.dictionary_encode()
+                    n = np.zeros(len(grams.dictionary), np.int64)
+                    np.add.at(n, grams.indices.to_numpy(), own.column("n").to_numpy()[of])
+                    same = [pa.array(np.full(len(n), length, np.int32)), grams.dictionary, pa.array([lang] * len(n), pa.string())]
+                    yield pa.RecordBatch.from_arrays([*same, pa.array(n)], names=["kind", "item", "lang", "n"])
+
+        for batch in frames:
+            held += [batch.select(["item", "lang", "n"])] if batch.num_rows else []
+            if sum(x.num_rows for x in held) >= WORDS:
+                yield from counted()
+        if held:
+            yield from counted()
 
     return words.mapInArrow(run, _COUNTS).groupBy("kind", "item", "lang").agg(F.sum("n").alias("n"))
 
@@ -162,9 +218,8 @@ def _grams_of_words(words: DataFrame, length: int) -> DataFrame:
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
-            rows = [(word, gram) for word in batch.column("word").to_pylist() for gram in grams_of(word, length)]
-            columns = [pa.array([r[i] for r in rows], pa.string()) for i in range(2)]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "item"])
+            of, grams = _all_grams(batch.column("word"), length)
+            yield pa.RecordBatch.from_arrays([batch.column("word").take(pa.array(of)), grams], names=["word", "item"])
 
     return words.mapInArrow(run, "word string, item string")
 
@@ -223,26 +278,33 @@ def _encoded(docs: DataFrame) -> DataFrame:
         ids, sizes, which, times, known, size = [], [], [], [], {}, 0
 
         def close() -> pa.RecordBatch:
-            lists = [pa.array(sizes, pa.int32()), pa.array(which, pa.int32()), pa.array(times, pa.int32()), pa.array(list(known), pa.string())]
+            lists = [*(pa.array(np.concatenate(x).astype(np.int32)) for x in (sizes, which, times)), pa.array(list(known), pa.string())]
             one = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (pa.concat_arrays(ids), *lists)]
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *one], names=["block", "ids", "sizes", "which", "times", "words"])
 
         for batch in frames:
-            start = 0
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                some = text is not None and any(map(str.isalpha, text))
-                counts = Counter(words_of(text)) if some else {}
-                sizes.append(len(counts))
-                which.extend([known.setdefault(w, len(known)) for w in counts])
-                times.extend(counts.values())
-                size += len(text or "")
+            for part in slices(batch, "text", TOGETHER, min(ROOM, BLOCK_CHARS)):
+                found = _Words(pc.fill_null(part.column("text"), ""))
+                row = np.repeat(np.arange(part.num_rows), np.diff(found.starts))
+                some = np.bincount(row, found.letters[found.at], part.num_rows) > 0
+                words, each = found.of(found.at[some[row]])
+                row = np.repeat(row[some[row]], each)
+                used = np.bincount(words, minlength=len(found.listed)).tolist()
+                numbers = np.array([known.setdefault(w, len(known)) if n else 0 for w, n in zip(found.listed, used)], np.int64)
+                words = numbers[words]
+                pairs, counts = np.unique(row << 32 | words, return_counts=True)
+                ids.append(part.column("id"))
+                sizes.append(np.bincount(pairs >> 32, minlength=part.num_rows))
+                which.append((pairs & 0xFFFFFFFF).astype(np.int32))
+                times.append(counts.astype(np.int32))
+                size += pc.sum(pc.utf8_length(part.column("text"))).as_py() or 0
                 if size > BLOCK_CHARS:
-                    ids.append(batch.column("id").slice(start, i + 1 - start))
                     yield close()
-                    number, start = number + 1, i + 1
+                    number += 1
                     ids, sizes, which, times, known, size = [], [], [], [], {}, 0
-            ids.append(batch.column("id").slice(start))
         if sizes:
+            found = words = row = used = numbers = pairs = counts = None
+            pa.default_memory_pool().release_unused()
             yield close()
 
     kind = docs.schema["id"].dataType.simpleString()
@@ -257,10 +319,14 @@ def _scored(batch: pa.RecordBatch, i: int, langs: list[str]) -> pa.RecordBatch:
     for piece in one("found").to_pylist():
         words[np.frombuffer(piece["pos"], np.int32)] = np.frombuffer(piece["logs"], np.float32).reshape(-1, len(langs))
     total = np.zeros((len(sizes), len(langs)))
-    some = sizes > 0
-    if some.any():
-        starts = (np.cumsum(sizes) - sizes)[some]
-        total[some] = np.add.reduceat(words[which] * times[:, None], starts, axis=0)
+    some, ends, at = sizes > 0, np.cumsum(sizes), 0
+    while at < len(sizes):  # some texts at a time, as each of their words has a row here
+        begin = ends[at] - sizes[at]
+        to = max(at + 1, int(np.searchsorted(ends, begin + SCORED, side="right")))
+        own, part = np.flatnonzero(some[at:to]) + at, slice(begin, ends[to - 1])
+        if len(own):
+            total[own] = np.add.reduceat(words[which[part]] * times[part, None], (ends - sizes)[own] - begin, axis=0)
+        at = to
     best = total.argmax(axis=1)
     score = 1 / np.exp(np.maximum(total - total.max(axis=1)[:, None], -700)).sum(axis=1)
     named = np.where(some, np.array(langs, object)[best], "und")
@@ -290,6 +356,7 @@ def predict(
     none = F.array().cast("array<struct<pos: binary, logs: binary>>")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what this worker kept of cutting texts
         for batch in frames:
             for i in range(batch.num_rows):
                 yield _scored(batch, i, langs)

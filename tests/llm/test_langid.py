@@ -3,6 +3,8 @@
 import math
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +96,45 @@ def test_nothing_to_learn_from(spark):
     model = L.learn(empty, spark)
     assert L.predict(empty, spark, model).count() == 0
     assert [tuple(r) for r in L.predict(frame(spark, TEXTS[:1]), spark, model).collect()] == [(1, "und", 0.0)]
+
+
+def test_grams_of_many_words_at_once():
+    words = ["a", "", "été", "straße", "漢字", "x" * 61, "y" * 62, "z" * 63, "ab" * 400, "a"]
+    for length in L.LENGTHS:
+        of, grams = L._all_grams(pa.array(words), length)
+        got = sorted(zip(of.tolist(), grams.to_pylist()))
+        assert got == sorted((i, g) for i, w in enumerate(words) for g in L.grams_of(w, length))
+
+
+def test_words_of_many_texts_equal_words_of_each():
+    texts = ["ΟΔΟΣ ΣΑΣ. Σ ΑΣ'Α", "İstanbul I", "One two.\nTHREE  four_5 six7seven ", "½ ²x", "", " ", "\u2028a\xa0b", "ÀÉß Ÿ×Þ÷ ÿ?! Äa-Öb", "a.b. ..c", "ẞ Ǆ Σ\nΣ"]
+    found = L._Words(pa.array(texts))
+    for i, text in enumerate(texts):
+        at = found.at[found.starts[i] : found.starts[i + 1]]
+        assert [found.listed[k] for k in found.of(at)[0]] == L.words_of(text)
+        assert found.letters[at].any() == any(map(str.isalpha, text))
+    every = "".join(c for c in map(chr, range(0x110000)) if not "\ud800" <= c <= "\udfff")
+    texts = [f"{c} x{c}. {c}y" for c in every]
+    found = L._Words(pa.array(texts))
+    assert [found.listed[k] for k in found.of(found.at)[0]] == [w for t in texts for w in L.words_of(t)]
+
+
+def test_a_stretch_is_cut_once_for_many_texts(spark, monkeypatch):
+    """The work per word is done for distinct ones: here ten, in 500 texts."""
+    class Rows:
+        schema = {"id": type("Field", (), {"dataType": type("Type", (), {"simpleString": lambda self: "bigint"})()})()}
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    cut, asked = L._words_in, []
+    monkeypatch.setattr(L, "_words_in", lambda x: asked.append(x) or cut(x))
+    monkeypatch.setattr(L, "TaskContext", type("Context", (), {"get": staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 3})())}))
+    texts = [" ".join(f"word-{'abcdefghij'[(i + j) % 10]}." for j in range(30)) for i in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(502)), pa.array([*texts, "½ 7", None])], names=["id", "text"])
+    (block,) = L._encoded(Rows())(iter([batch]))
+    assert sum(x.startswith("word") for x in asked) == 10 and block.column("block")[0].as_py() == 3 << 32
+    assert block.column("times")[0].as_py() == [30, *[3] * 10] * 500 and block.column("sizes")[0].as_py() == [11] * 500 + [0, 0]
+    assert len(block.column("words")[0]) == 11  # none of a text without a letter
+    words, which = block.column("words")[0].as_py(), np.array(block.column("which")[0].as_py()).reshape(500, 11)
+    assert all({words[k] for k in row} == set(L.words_of(t)) for row, t in zip(which, texts))
